@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, pii, simhash
+from geoloom.llm import decontaminate, langid, licenses, packing, pii, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,22 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +45,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
+    "op3_langid": op3_langid,
+    "op5_packing": op5_packing,
+    "op6_licenses": op6_licenses,
+    "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
