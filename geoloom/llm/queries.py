@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, langid, licenses, packing, pii, quality, simhash
+from geoloom.llm import decontaminate, htmltext, langid, licenses, packing, pii, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
@@ -50,5 +54,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
+    "op10_html": op10_html,
 }
 ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
