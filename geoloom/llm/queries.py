@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, htmltext, langid, licenses, packing, pii, quality, simhash
+from geoloom.llm import decontaminate, htmltext, langid, licenses, packing, pii, quality, simhash, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
     "op3_langid": op3_langid,
+    "op4_suffixes": op4_suffixes,
     "op5_packing": op5_packing,
     "op6_licenses": op6_licenses,
     "op8_quality": op8_quality,
