@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, htmltext, langid, licenses, packing, pii, quality, simhash, suffixes
+from geoloom.llm import decontaminate, htmltext, katz, langid, licenses, packing, pii, quality, simhash, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.report(table(spark, sf_dir, "documents"), ~katz.held_out())
+    return scored.select("doc_id", katz.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffixes": op4_suffixes,
     "op5_packing": op5_packing,
     "op6_licenses": op6_licenses,
+    "op7_katz": op7_katz,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_html": op10_html,
