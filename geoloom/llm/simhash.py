@@ -24,10 +24,8 @@ from geoloom.llm import common
 SEED = 42
 WORDS = 4
 LIMIT = 4
-#: Widths of the ring's segments; more segments than LIMIT, so that a chain of one must be equal.
-SEGMENTS = (13, 13, 13, 13, 12)
 #: Groups up to this size are compared as arrays of pairs, larger ones by search from member to member.
-SMALL = 24
+SMALL = 64
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -63,33 +61,34 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def ring(segments: tuple[int, ...] = SEGMENTS) -> list[tuple[int, int]]:
-    """Position and width of each segment."""
-    at = np.concatenate(([0], np.cumsum(segments)))
-    return [(int(at[i]), w) for i, w in enumerate(segments)]
+def ring(limit: int) -> list[tuple[int, int]]:
+    """Position and width of each segment: one more than `limit`, so that the first of a chain must be equal."""
+    m = limit + 1
+    widths = [64 // m + (i < 64 % m) for i in range(m)]
+    return list(zip(np.cumsum([0, *widths[:-1]]).tolist(), widths, strict=True))
 
 
-def keys(fp: np.ndarray, segments: tuple[int, ...] = SEGMENTS) -> tuple[np.ndarray, np.ndarray]:
+def keys(fp: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
     """Group keys of each fingerprint (a row each), and the start of the chain that each column stands for."""
-    r, out, starts = ring(segments), [], []
+    r, out, starts = ring(limit), [], []
     for i, (at, w) in enumerate(r):
         at2, w2 = r[(i + 1) % len(r)]
         first = (fp >> np.uint64(at)) & np.uint64((1 << w) - 1)
         second = (fp >> np.uint64(at2)) & np.uint64((1 << w2) - 1)
         for bit in range(w2):
             rest = second & ~np.uint64(1 << bit)
-            out.append((np.uint64(i * 16 + bit) << np.uint64(32)) | (first << np.uint64(w2)) | rest)
+            out.append((np.uint64(i << 16 | bit) << np.uint64(32)) | (first << np.uint64(w2)) | rest)
             starts.append(i)
     return np.stack(out, axis=1), np.array(starts)
 
 
-def chain_masks(start: int, limit: int = LIMIT, segments: tuple[int, ...] = SEGMENTS) -> list[tuple[np.uint64, int]]:
+def chain_masks(start: int, limit: int = LIMIT) -> list[tuple[np.uint64, int]]:
     """Mask and budget of the chains of one segment and more from a start; the last is the full Hamming test."""
-    r, mask, out, m = ring(segments), 0, [], len(segments)
-    for k in range(m):
-        at, w = r[(start + k) % m]
+    r, mask, out = ring(limit), 0, []
+    for k in range(len(r)):
+        at, w = r[(start + k) % len(r)]
         mask |= ((1 << w) - 1) << at
-        out.append((np.uint64(mask), (k + 1) * limit // m))
+        out.append((np.uint64(mask), (k + 1) * limit // len(r)))
     return out
 
 
@@ -118,18 +117,18 @@ def forest(members: np.ndarray, tests: list[tuple[np.uint64, int]]) -> tuple[lis
     return a, b
 
 
-def linked(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def linked(run: Iterator[pa.RecordBatch], limit: int = LIMIT) -> Iterator[pa.RecordBatch]:
     """Links inside the groups of a stream sorted by key; a group may go on in the next batch."""
-    tests = [chain_masks(i) for i in range(len(SEGMENTS))]
+    tests = [chain_masks(i, limit) for i in range(limit + 1)]
 
     def groups(k: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         edge = np.flatnonzero(np.diff(k)) + 1
         lo, hi = np.concatenate(([0], edge)), np.concatenate((edge, [len(k)]))
-        size, start = hi - lo, (k[lo] >> np.uint64(36)).astype(int)
+        size, start = hi - lo, (k[lo] >> np.uint64(48)).astype(int)
         a, b = [], []
         for n in np.unique(size[(size > 1) & (size <= SMALL)]):
             x, y = np.triu_indices(n, 1)
-            for s in range(len(SEGMENTS)):
+            for s in range(limit + 1):
                 at = lo[(size == n) & (start == s)]
                 for part in np.array_split(at, max(1, len(at) * len(x) // 2_000_000)):
                     p, q = v[(part[:, None] + x).ravel()], v[(part[:, None] + y).ravel()]
@@ -163,18 +162,18 @@ def linked(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(q)], names=["a", "b"])
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (fp) that connect all within LIMIT bits; copies of a fingerprint are not expanded."""
+def links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (fp) that connect all within `limit` bits; copies of a fingerprint are not expanded."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for part in np.array_split(fp, max(1, len(fp) // 4096)):
-                k, _ = keys(part)
+                k, _ = keys(part, limit)
                 yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), pa.array(np.repeat(part, k.shape[1]).view(np.int64))], names=["k", "fp"])
 
     dealt = distinct.select("fp").mapInArrow(emit, "k long, fp long").repartition("k").sortWithinPartitions("k")
-    return dealt.mapInArrow(linked, "a long, b long").distinct()
+    return dealt.mapInArrow(lambda run: linked(run, limit), "a long, b long").distinct()
 
 
 def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
@@ -199,13 +198,25 @@ def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links of LIMIT bits or fewer) of each row."""
+def near_duplicates(docs: DataFrame, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links of `limit` bits or fewer) of each row."""
     fps = common.written(fingerprints(docs, words))
     first = common.written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    pairs = links(first)
+    pairs = links(first, limit)
     a, b = first.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), first.select(F.col("fp").alias("b"), F.col("rep").alias("rb"))
     named = pairs.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a is not null and b is not null")
     found = components(first, named)
     final = first.join(found, first.rep == found.node, "left").select("fp", F.coalesce("label", "rep").alias("component_id"))
     return fps.join(final, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
+    """docs with one document of each component: the one with the smallest doc_id. Of rows that share a doc_id one stays; rows without a doc_id all stay."""
+    found = common.written(near_duplicates(docs.select("doc_id", "text"), words, limit))
+    ids = docs.schema["doc_id"].dataType
+    gone = found.where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").cast(ids).alias("doc_id")).distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = common.written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").cast(ids).alias("doc_id")))
+    if not again.isEmpty():
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return kept.select(*docs.columns)

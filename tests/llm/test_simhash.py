@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from geoloom.llm import simhash
@@ -17,14 +18,14 @@ def brute_fp(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def brute(rows):
+def brute(rows, limit=4):
     fp = {d: brute_fp(t) for d, t in rows}
     ids, label = sorted(fp), {d: d for d in fp}
     while True:
         before = dict(label)
         for a in ids:
             for b in ids:
-                if (fp[a] ^ fp[b]).bit_count() <= 4:
+                if (fp[a] ^ fp[b]).bit_count() <= limit:
                     label[a] = label[b] = min(label[a], label[b])
         if before == label:
             return {d: (f"{fp[d]:016x}", label[d]) for d in ids}
@@ -62,16 +63,25 @@ def test_empty_table_and_extra_columns(spark):
     assert got == [(-1, None), (7, 7), (7, 7)]
 
 
-def test_every_pair_within_the_limit_shares_a_passing_group():
+def test_deduplicated_keeps_one_of_each_component(spark):
+    rows = made(60)
+    df = spark.createDataFrame([(d, t, "x") for d, t in rows] + [(12, rows[8][1], "y"), (None, "q", "z"), (None, "q", "z")], "doc_id long, text string, component_id string")
+    got = sorted((r.doc_id for r in simhash.deduplicated(df, limit=8).collect() if r.doc_id is not None))
+    assert got == sorted({c for _, c in brute(rows, 8).values()})
+    assert simhash.deduplicated(df).where("doc_id is null").count() == 2 and simhash.deduplicated(df).columns == df.columns
+
+
+@pytest.mark.parametrize("limit", [4, 8])
+def test_every_pair_within_the_limit_shares_a_passing_group(limit):
     r = random.Random(5)
     for _ in range(3000):
         a = r.getrandbits(64)
         b = a
-        for bit in r.sample(range(64), r.randrange(5)):
+        for bit in r.sample(range(64), r.randrange(limit + 1)):
             b ^= 1 << bit
         x = np.array([a, b], np.uint64)
-        k, start = simhash.keys(x)
-        assert any(k[0, j] == k[1, j] and len(simhash.near(x[:1] ^ x[1:], simhash.chain_masks(start[j]))) for j in range(k.shape[1]))
+        k, start = simhash.keys(x, limit)
+        assert any(k[0, j] == k[1, j] and len(simhash.near(x[:1] ^ x[1:], simhash.chain_masks(start[j], limit))) for j in range(k.shape[1]))
 
 
 def test_forest_connects_dense_groups():
