@@ -1,9 +1,12 @@
-"""All reference-domain queries by name, with the DuckDB SQL that gives the same rows."""
+"""All reference-domain queries by name, with the DuckDB SQL that gives the same rows where SQL can."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
+from geoloom.plans import catalogue, points, space
+
+_ALL = points.QUERIES | space.QUERIES | catalogue.QUERIES
+QUERIES: dict[str, Callable] = {k: q for k, (q, _) in _ALL.items()}
+ORACLES: dict[str, str] = {k: s for k, (_, s) in _ALL.items() if s}
 FLAGSHIP = "q_nonoverlap"
