@@ -17,7 +17,6 @@ kept, and one named like a new one gives way to it.
 from __future__ import annotations
 
 import base64
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -81,14 +80,30 @@ def arcs(w: bytes, root: list) -> list[tuple[int, int, int]]:
     return out
 
 
-def forward(w: bytes, root: list, p: list[list[float]]) -> list[float]:
-    """Probability of w in each language: the sum over all segmentations."""
-    n, k = len(w), len(p[0])
-    sums = [[0.0] * k for _ in range(n + 1)]
-    sums[0] = [1.0] * k
-    for i, j, piece in arcs(w, root):
-        sums[j] = [a + b * c for a, b, c in zip(sums[j], sums[i], p[piece], strict=True)]
-    return sums[n]
+def forward(many: list[bytes], root: list, p: np.ndarray) -> np.ndarray:
+    """Probability of each of many words in each language: the sum over all segmentations, position by position for all words together."""
+    at, end, piece, bounds = [], [], [], []
+    for w in many:
+        found = arcs(w, root)
+        bounds.append(len(found))
+        for i, j, x in found:
+            at.append(i)
+            end.append(j)
+            piece.append(x)
+    word = np.repeat(np.arange(len(many)), bounds)
+    at, end, piece = (np.array(x, np.int64) for x in (at, end, piece))
+    sums = np.zeros((len(many), RUN + 1, p.shape[1]))
+    sums[:, 0] = 1.0
+    flat = sums.reshape(-1, p.shape[1])
+    order = np.argsort(at, kind="stable")
+    edge = np.searchsorted(at[order], np.arange(RUN + 1))
+    for i in range(RUN):
+        own = order[edge[i] : edge[i + 1]]
+        if len(own):
+            add, to = sums[word[own], i] * p[piece[own]], word[own] * (RUN + 1) + end[own]
+            for k in range(p.shape[1]):
+                np.add.at(flat[:, k], to, add[:, k])
+    return sums[np.arange(len(many)), [len(w) for w in many]]
 
 
 def expected(words: Counter, root: list, p: list[float]) -> list[float]:
@@ -123,7 +138,11 @@ def fit(by: dict[str, Counter], found: list[bytes], rounds: int = ROUNDS) -> tup
 def sampled(docs: DataFrame, train: Column, most: int = SAMPLE) -> DataFrame:
     """lang, text of at most `most` labelled texts a language: those with the smallest hash of doc_id."""
     w = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang").withColumn("n", F.row_number().over(w)).where(F.col("n") <= most)
+    able = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
+    # hashes are even, so the smallest lie below a bound that the language's count gives: only about twice the sample is brought together
+    counts = able.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    below = F.xxhash64("doc_id") / float(1 << 64) + 0.5 <= (2.0 * most + 50) / F.col("n")
+    ids = able.join(F.broadcast(counts), "lang").where(below).withColumn("n", F.row_number().over(w)).where(F.col("n") <= most)
     return docs.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
 
@@ -157,33 +176,46 @@ def identified(docs: DataFrame, model: tuple[list[str], list[bytes], np.ndarray]
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, found, table = sent.value
-        root, p, k = tree(found), table.tolist(), len(langs)
+        _, found, p = sent.value
+        root, k = tree(found), len(langs)
         known: dict[str, int] = {}
         logs = np.zeros((1024, k))
+
+        def learn(fresh: list[str]) -> None:
+            nonlocal logs
+            while len(known) + len(fresh) > len(logs):
+                logs = np.concatenate((logs, np.zeros_like(logs)))
+            for lo in range(0, len(fresh), 4096):
+                part = fresh[lo : lo + 4096]
+                cut = [runs(w) for w in part]
+                got = np.log(forward([r for c in cut for r in c], root, p))
+                logs[len(known) : len(known) + len(part)] = np.add.reduceat(got, np.cumsum([0, *[len(c) for c in cut[:-1]]]), axis=0)
+                known.update(zip(part, range(len(known), len(known) + len(part)), strict=True))
+
+        def totals(words: list[str]) -> np.ndarray:
+            total = np.zeros(k)
+            for lo in range(0, len(words), 100_000):
+                part = words[lo : lo + 100_000]
+                total += logs[np.fromiter(map(known.__getitem__, part), np.int64, len(part))].sum(axis=0)
+            return total
+
         for b in batches:
             pred, score = [], []
-            for text in b.column(b.schema.get_field_index("text")).to_pylist():
-                words = LETTERS.findall(text.lower()) if text and k else []
-                if not words:
-                    pred.append("und")
-                    score.append(0.0)
-                    continue
+            texts = b.column(b.schema.get_field_index("text")).to_pylist()
+            for lo in range(0, len(texts), 400):
+                every = [LETTERS.findall(t.lower()) if t and k else [] for t in texts[lo : lo + 400]]
                 if len(known) > MEMORY:
                     known.clear()
-                total = np.zeros(k)
-                for at in range(0, len(words), 100_000):
-                    part = words[at : at + 100_000]
-                    for w in part:
-                        if w not in known:
-                            n = known[w] = len(known)
-                            if n >= len(logs):
-                                logs = np.concatenate((logs, np.zeros_like(logs)))
-                            logs[n] = [sum(map(math.log, x)) for x in zip(*(forward(r, root, p) for r in runs(w)), strict=True)]
-                    total += logs[[known[w] for w in part]].sum(axis=0)
-                best = int(total.argmax())
-                pred.append(langs[best])
-                score.append(float(1 / np.exp(total - total[best]).sum()))
+                learn(list({w for words in every for w in words if w not in known}))
+                for words in every:
+                    if not words:
+                        pred.append("und")
+                        score.append(0.0)
+                        continue
+                    total = totals(words)
+                    best = int(total.argmax())
+                    pred.append(langs[best])
+                    score.append(float(1 / np.exp(total - total[best]).sum()))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)

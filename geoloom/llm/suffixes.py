@@ -88,7 +88,7 @@ def pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring windows with one anchor: anchor hash, text, first and last window start in it."""
+    """Runs of neighbouring windows with one anchor: anchor hash (mixed anew, as elected hashes are small), text, first and last window start in it."""
     out: list[list[np.ndarray]] = [[], [], [], []]
     low = np.uint64((1 << PIECE_BITS) - 1)
     for group in pieces(texts):
@@ -104,7 +104,7 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         last = np.concatenate((first[1:], [len(s)])) - 1
         at = owner[s[first]]
         shift = np.array([p for _, p, _ in group])[at] - (np.cumsum(sizes) - sizes)[at]
-        for x, y in zip(out, (g[a[first]], np.array([i for i, _, _ in group])[at], s[first] + shift, s[last] + shift), strict=True):
+        for x, y in zip(out, (tokens.mix(g[a[first]]), np.array([i for i, _, _ in group])[at], s[first] + shift, s[last] + shift), strict=True):
             x.append(y)
     return tuple(np.concatenate(x) if x else np.zeros(0, d) for x, d in zip(out, (np.uint64, np.int64, np.int64, np.int64), strict=True))
 

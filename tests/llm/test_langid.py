@@ -14,17 +14,17 @@ SF = "/root/testdata/sf0.001"
 def test_forward_sums_all_segmentations():
     r = random.Random(1)
     found = sorted({bytes(r.choice(b"ab c") for _ in range(n)) for n in (1, 2, 3) for _ in range(12)} | {bytes([c]) for c in b"ab c"})
-    p = [[r.random(), r.random()] for _ in found]
+    p = np.array([[r.random(), r.random()] for _ in found])
     index, root = {x: i for i, x in enumerate(found)}, langid.tree(found)
-    for _ in range(20):
-        w = bytes(r.choice(b"abc") for _ in range(r.randrange(1, 8)))
+    many = [bytes(r.choice(b"abc") for _ in range(r.randrange(1, 8))) for _ in range(20)]
+    for w, got in zip(many, langid.forward(many, root, p), strict=True):
         want = np.zeros(2)
         for cuts in itertools.product((0, 1), repeat=len(w) - 1):
             at = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(w)]
             parts = [w[a:b] for a, b in itertools.pairwise(at)]
             if all(x in index for x in parts):
                 want += np.prod([p[index[x]] for x in parts], axis=0)
-        assert np.allclose(langid.forward(w, root, p), want)
+        assert np.allclose(got, want)
 
 
 def test_held_out_accuracy(spark):
