@@ -123,7 +123,10 @@ def close(x: np.ndarray, tests: list[tuple[np.uint64, int]], half: int = 0, full
 def forest(members: np.ndarray, tests: list[tuple[np.uint64, int]], half: int = 0, full: int | None = None) -> tuple[list[int], list[int]]:
     """Links (numbers of members) that connect what the group's own links connect: each search takes what it reaches out of the rest, so a dense group costs little more than its size."""
     v = members.reshape(len(members), -1)
-    left, a, b = np.arange(len(v)), [], []
+    ones = np.stack([(v >> np.uint64(i) & np.uint64(1)).sum(axis=0, dtype=np.int64) for i in range(64)])
+    middle = ((2 * ones > len(v)).astype(np.uint64) << np.arange(64, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64)
+    # searches begin next to the middle of the group, so that all groups with the same members find mostly the same links
+    left, a, b = np.lexsort((*v.T, np.bitwise_count(v ^ middle).sum(axis=1, dtype=np.int64))), [], []
     while len(left) > 1:
         todo, left = [left[0]], left[1:]
         while todo and len(left):
@@ -138,6 +141,30 @@ def forest(members: np.ndarray, tests: list[tuple[np.uint64, int]], half: int =
     return a, b
 
 
+def tree(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of links between rows of v, those that connect as much as all do, the nearest first."""
+    if not len(a):
+        return a, b
+    _, node = np.unique(v, axis=0, return_inverse=True)
+    node = node.ravel()
+    x, y = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+    order = np.lexsort((y, x, np.bitwise_count(v[a] ^ v[b]).sum(axis=1, dtype=np.int64)))
+    top: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while (j := top.get(i, i)) != i:
+            top[i] = i = top.get(j, j)
+        return i
+
+    kept = []
+    for i, p, q in zip(order.tolist(), x[order].tolist(), y[order].tolist(), strict=True):
+        p, q = root(p), root(q)
+        if p != q:
+            top[q] = p
+            kept.append(i)
+    return a[kept], b[kept]
+
+
 def linked(run: Iterator[pa.RecordBatch], limit: int = LIMIT, halves: int = 1, full: int | None = None) -> Iterator[pa.RecordBatch]:
     """Links inside the groups of a stream sorted by key; a group may go on in the next batch."""
     tests = [chain_masks(i, limit) for i in range(limit + 1)]
@@ -163,6 +190,9 @@ def linked(run: Iterator[pa.RecordBatch], limit: int = LIMIT, halves: int = 1, f
             a.append(lo[g] + np.array(p, np.int64))
             b.append(lo[g] + np.array(q, np.int64))
         a, b = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (a, b))
+        a, b = tree(v, a, b)
+        turn = v[a, 0] > v[b, 0] if halves == 1 else (v[a, 0] > v[b, 0]) | (v[a, 0] == v[b, 0]) & (v[a, 1] > v[b, 1])  # equal links of several groups become equal rows
+        a, b = np.where(turn, b, a), np.where(turn, a, b)
         pair = np.unique(np.concatenate((v[a], v[b]), axis=1).view(np.int64), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pair[:, i]) for i in range(2 * halves)], names=names)
 
