@@ -135,10 +135,18 @@ def same(buf: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def suffix_array(h: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows sorted by hash, one entry each, with the smallest doc."""
-    order = np.lexsort((doc, h))
+    order = np.argsort(h)
     h, doc, at = h[order], doc[order], at[order]
-    keep = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
-    return h[keep], doc[keep], at[keep]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else order
+    size = np.diff(np.append(first, len(h)))
+    least = first.copy()
+    several = np.flatnonzero(size > 1)
+    if len(several):  # in each run of equal hashes, the place of the smallest doc
+        n = size[several]
+        place, run = spread(first[several], n), np.repeat(np.arange(len(several)), n)
+        best = np.lexsort((doc[place], run))[np.cumsum(n) - n]
+        least[several] = place[best]
+    return h[first], doc[least], at[least]
 
 
 class Family:
@@ -210,11 +218,11 @@ class Batch:
 
     def own_copies(self) -> np.ndarray:
         """Starts (in the batch) of windows that a text with a smaller id in the batch has too."""
-        order = np.lexsort((self.ids[self.text], self.h))
+        order = np.argsort(self.h)
         h, ids = self.h[order], self.ids[self.text[order]]
-        lo = np.searchsorted(h, h, side="left")
-        hi = np.searchsorted(h, h, side="right") - 1
-        runs = order[ids[lo] < ids[hi]]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else order
+        several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first) if len(h) else first > 0
+        runs = order[np.repeat(several, np.diff(np.append(first, len(h))))]
         runs = runs[np.lexsort((self.first[runs], self.text[runs]))]
         count = self.last[runs] - self.first[runs] + 1
         at = spread(self.start[self.text[runs]] + self.first[runs], count)
