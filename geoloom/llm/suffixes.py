@@ -50,7 +50,7 @@ def doubled(buf: np.ndarray, upto: int) -> list[np.ndarray]:
 
 
 def string_hash(d: list[np.ndarray], n: int) -> np.ndarray:
-    """Hashes of all strings of n bytes from doubled(); the binary digits of n name the pieces."""
+    """Hashes of all strings of n bytes from doubled(); the binary digits of n name the pieces. Not mixed: that would only rename them."""
     total = len(d[0]) - n + 1
     if total <= 0:
         return d[0][:0]
@@ -59,7 +59,7 @@ def string_hash(d: list[np.ndarray], n: int) -> np.ndarray:
         if n >> k & 1:
             piece = d[k][at : at + total]
             h, at = piece if h is None else h * _STEP[7] + piece, at + (1 << k)
-    return tokens.mix(h)
+    return h
 
 
 def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
