@@ -166,7 +166,7 @@ class Family:
         self.levels.append(array)
 
     def scan(self, h: np.ndarray, doc: np.ndarray, at: np.ndarray, buf: np.ndarray) -> np.ndarray:
-        """Which windows some level has, byte for byte, from a smaller doc."""
+        """Which windows some level has, byte for byte, from a smaller doc. Quickest where h ascends, so that batch and level are merged."""
         hit = np.zeros(len(h), bool)
         for level in self.levels:
             if level is None or not len(level[0]):
@@ -185,7 +185,7 @@ class Batch:
         self.texts = texts
         self.start = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
         self.h, self.text, self.first, self.last = anchors(texts)
-        self.keys = np.unique(self.h)
+        self.keys, self.key, self.order, self.edge = tokens.distinct(self.h)
 
     def shared(self, masks: dict[int, bytes], parts: int) -> np.ndarray:
         """Which runs have an anchor that other batches have too."""
@@ -193,7 +193,7 @@ class Batch:
         for k, lo, hi in batches.slices_of(self.keys, parts):
             if k in masks:
                 on[lo:hi] = np.unpackbits(np.frombuffer(masks[k], np.uint8), count=hi - lo)
-        return on[np.searchsorted(self.keys, self.h)]
+        return on[self.key]
 
     def contexts(self, runs: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The different strings that the chosen runs' windows cover, by hash range: range, place in the batch, length, smallest doc (copies inside the batch are one); then the places of all of that doc's runs, and which string each of them is."""
@@ -218,11 +218,9 @@ class Batch:
 
     def own_copies(self) -> np.ndarray:
         """Starts (in the batch) of windows that a text with a smaller id in the batch has too."""
-        order = np.argsort(self.h)
-        h, ids = self.h[order], self.ids[self.text[order]]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else order
-        several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first) if len(h) else first > 0
-        runs = order[np.repeat(several, np.diff(np.append(first, len(h))))]
+        ids, first = self.ids[self.text[self.order]], self.edge
+        several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first) if len(first) else first > 0
+        runs = np.flatnonzero(several[self.key])
         runs = runs[np.lexsort((self.first[runs], self.text[runs]))]
         count = self.last[runs] - self.first[runs] + 1
         at = spread(self.start[self.text[runs]] + self.first[runs], count)
@@ -266,16 +264,23 @@ def report(docs: DataFrame, size: int = batches.SIZE, range_size: int = batches.
     def scan(part: int, got: list[tuple[int, str, bytes]]) -> list[tuple[int, int, str, bytes]]:
         every = [common.unpack(blob) for _, _, blob in got]
         buf = np.concatenate([raw for _, _, raw in every])
-        family, arrays, at = Family(), [], 0
+        family, arrays, orders, at = Family(), [], [], 0
         hashes = window_hashes(buf)
         for doc, length, raw in every:
             ends = np.cumsum(length)
             count = length - LONG + 1
             place = at + spread(ends - length, count)
-            arrays.append((hashes[place], np.repeat(doc, count), place))
+            h, doc = hashes[place], np.repeat(doc, count)
+            order = np.argsort(h)
+            arrays.append((h[order], doc[order], place[order]))
+            orders.append(order)
             family.add(suffix_array(*arrays[-1]))
             at += len(raw)
-        marks = [family.scan(*a, buf) for a in arrays]
+        marks = []
+        for a, order in zip(arrays, orders, strict=True):
+            hit = np.zeros(len(order), bool)
+            hit[order] = family.scan(*a, buf)
+            marks.append(hit)
         return [(b, part, "marks", np.packbits(m).tobytes()) for (b, _, _), m in zip(got, marks, strict=True) if m.any()]
 
     marks = batches.answered(batches.together(table, shared, contexts, batches.MESSAGE), scan)

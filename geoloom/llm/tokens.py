@@ -25,6 +25,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different values of a, ascending; which of them each value is; an order that sorts a, and where each value's run begins in it."""
+    order = np.argsort(a)
+    s = a[order]
+    new = np.ones(len(a), bool)
+    new[1:] = s[1:] != s[:-1]
+    back = np.empty(len(a), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return s[new], back, order, np.flatnonzero(new)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, n at least."""
     size = max(SLICE + 1, 1 << max(0, n).bit_length())
