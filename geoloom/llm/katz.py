@@ -11,7 +11,9 @@ instead. A context whose discounts take nothing off (all counts above K) gives u
 
 Tables are partitioned by a hash of the context: batches of documents send each hash range their pairs with counts, the
 range adds them up and writes, for each batch, the totals, and for each context its count, its counts of counts and the
-unigram mass of what followed it. Documents are scored in their batch from these: pair, else context weight times word.
+unigram mass of what followed it. A context that training texts have more often than a range has tokens on average is
+dealt in shares, by a hash of the word that follows, so no range gets a hot context whole; its figures are sums over
+the shares. Documents are scored in their batch from these: pair, else context weight times word.
 
 Defined results: a null or empty text is scored as its end sign alone; rows with a null doc_id are scored, not learned
 from, and not held out; with no training text at all every token is unknown with probability one; repeated rows count
@@ -20,6 +22,8 @@ as often as they come; other columns are not read.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +34,7 @@ from geoloom.llm import batches, common, tokens
 K = 5
 SIZE = 10 << 20
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000002)
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def discounts(n: np.ndarray, k: int = K) -> np.ndarray:
@@ -81,17 +86,48 @@ class Batch:
             owners.append(lo + np.insert(doc, edge, np.arange(hi - lo)))
         self.doc = np.concatenate(owners)
         h = np.concatenate(hashes)
-        self.keys = np.unique(np.append(h, START))
-        self.token = np.searchsorted(self.keys, h)
+        self.keys, at, _, _ = tokens.distinct(np.append(h, START))
+        self.token, self.start = at[:-1], int(at[-1])
         self.before = np.concatenate(([0], self.token[:-1]))
-        self.before[np.concatenate(([True], self.doc[1:] != self.doc[:-1]))] = np.searchsorted(self.keys, START)
+        self.before[np.concatenate(([True], self.doc[1:] != self.doc[:-1]))] = self.start
         self.counted = self.train[self.doc]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Different pairs by context and word: context, word, training count; and the pair of each token."""
-        code, back = np.unique(self.before * len(self.keys) + self.token, return_inverse=True)
+        code, back, _, _ = tokens.distinct(self.before * len(self.keys) + self.token)
         return code // len(self.keys), code % len(self.keys), np.bincount(back, self.counted, len(code)).astype(np.int64), back
 
+    def groups(self, context: np.ndarray, word: np.ndarray, c: np.ndarray, most: int) -> Groups:
+        """The pairs' groups: contexts, or shares of those that training texts have more than `most` times. All shares of a context are there, with or without pairs of this batch."""
+        times = c.copy()
+        times[self.start] = c[np.searchsorted(self.keys, END)]  # as many starts as ends
+        new = np.ones(len(context), bool)
+        new[1:] = context[1:] != context[:-1]
+        seen, own = context[new], np.cumsum(new) - 1
+        shares = 1 + times[seen] // most
+        first = np.cumsum(shares) - shares
+        parent = np.repeat(np.arange(len(seen)), shares)
+        share = np.arange(len(parent)) - first[parent]
+        key = self.keys[seen][parent]
+        key = np.where(share == 0, key, tokens.mix(key + share.astype(np.uint64) * STEP))
+        order = np.argsort(key)
+        place = np.empty(len(key), np.int64)
+        place[order] = np.arange(len(key))
+        group = place[first[own] + (tokens.mix(self.keys[word]) % shares[own].astype(np.uint64)).astype(np.int64)]
+        size = np.bincount(group, minlength=len(key))
+        return Groups(key[order], parent[order], size, np.concatenate(([0], np.cumsum(size))), np.argsort(group, kind="stable"), own)
+
+
+class Groups(NamedTuple):
+    """Keys (ascending), the context of each, its pairs in the batch and where they begin; the pairs in this order; the context of each pair."""
+
+    key: np.ndarray
+    parent: np.ndarray
+    size: np.ndarray
+    edge: np.ndarray
+    order: np.ndarray
+    own: np.ndarray
+
 
 def small(a: np.ndarray) -> np.ndarray:
     """Counts in the least of 1, 4 or 8 bytes."""
@@ -149,17 +185,18 @@ def report(docs: DataFrame, train: Column, size: int = SIZE, range_size: int = b
     words = batches.answered(batches.asked(table, ask_words), add_words)
     one = Unigrams(summed(words, "word_stats", K + 3))
     counts = words.where(F.col("kind") == "counts")
+    most = max(1, one.total // parts)
 
     def ask_pairs(batch: int, blob: bytes, by: dict) -> pa.Table:
         b = Batch(blob)
         c = looked_up(b.keys, by["counts"], parts)
         context, word, n, _ = b.pairs()
-        seen = np.unique(context)
+        g = b.groups(context, word, c, most)
+        word, n = word[g.order], n[g.order]
         rows = []
-        for k, lo, hi in batches.slices_of(b.keys[seen], parts):
-            own = slice(int(np.searchsorted(context, seen[lo])), int(np.searchsorted(context, seen[hi - 1], side="right")))
-            sizes = np.bincount(np.searchsorted(seen[lo:hi], context[own]), minlength=hi - lo)
-            rows.append((batch, k, "pairs", common.pack(b.keys[seen[lo:hi]], small(sizes), b.keys[word[own]] >> np.uint64(16), small(n[own]), small(np.where(n[own] > 0, c[word[own]], 0)))))
+        for k, lo, hi in batches.slices_of(g.key, parts):
+            own = slice(int(g.edge[lo]), int(g.edge[hi]))
+            rows.append((batch, k, "pairs", common.pack(g.key[lo:hi], small(g.size[lo:hi]), b.keys[word[own]] >> np.uint64(16), small(n[own]), small(np.where(n[own] > 0, c[word[own]], 0)))))
         return batches.messages(rows)
 
     def add_pairs(part: int, got: list[tuple[int, str, bytes]]) -> list[tuple[int, int, str, bytes]]:
@@ -191,23 +228,25 @@ def report(docs: DataFrame, train: Column, size: int = SIZE, range_size: int = b
     def score(_: int, blob: bytes, by: dict) -> pa.Table:
         b = Batch(blob)
         c = looked_up(b.keys, by["counts"], parts)
-        context, _, _, back = b.pairs()
-        seen = np.unique(context)
+        context, word, _, back = b.pairs()
+        g = b.groups(context, word, c, most)
         totals, after, mass, counted = [], [], [], []
-        for k, _, _ in batches.slices_of(b.keys[seen], parts):
+        for k, _, _ in batches.slices_of(g.key, parts):
             t, a, m, *r = common.unpack(by["totals"][k])
             totals.append(t.astype(np.int64))
             after.append(a.astype(np.int64))
             mass.append(m)
             counted.append(np.stack(r).astype(np.int64))
-        total, after, mass, counted = np.concatenate(totals), np.concatenate(after), np.concatenate(mass), np.concatenate(counted, axis=1)
+        total = np.empty(len(context), np.int64)
+        total[g.order] = np.concatenate(totals)
+        after, mass = (np.bincount(g.parent, np.concatenate(x)) for x in (after, mass))
+        counted = np.stack([np.bincount(g.parent, x) for x in np.concatenate(counted, axis=1)])
         off = ((1 - d[1:, None]) * np.arange(1, K + 1)[:, None] * counted).sum(axis=0)
         plain = off <= 0
         denominator = np.where(plain, after + 1, after)
         weight = np.where(after > 0, np.where(plain, 1 / (after + 1), off / np.maximum(after, 1)) / np.maximum(1 - mass, one.unknown), 1.0)
-        own = np.searchsorted(seen, context)
-        pair_p = kept(total, d) / denominator[own]
-        at, r = own[back], total[back]
+        pair_p = kept(total, d) / denominator[g.own]
+        at, r = g.own[back], total[back]
         p = np.where(r > 0, pair_p[back], weight[at] * one.p(c)[b.token])
         n = len(b.ids)
         columns = [
