@@ -208,7 +208,7 @@ def identified(docs: DataFrame, model: tuple[list[str], list[bytes], np.ndarray]
                     known.clear()
                 learn(list({w for words in every for w in words if w not in known}))
                 for words in every:
-                    if not words:
+                    if not any(c.isalpha() for w in words for c in w):  # runs may be of other numeric signs alone
                         pred.append("und")
                         score.append(0.0)
                         continue
