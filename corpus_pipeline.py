@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import common, decontaminate, langid, packing, pii, simhash
+from geoloom.llm import common, decontaminate, langid, packing, pii, shingles
 
-#: Shingles of five words. Near copies differ in at most BITS of one half of their fingerprints and in FULL over all HALVES: about what shingle sets 0.8 alike do.
+#: Shingles of five words. BITS, HALVES and FULL (bits of one half, halves, bits of all) are what the stage estimated similarity by before it compared the sets; simhash.deduplicated still takes them.
 SHINGLE, BITS, HALVES, FULL = 5, 8, 2, 23
 
 
@@ -23,8 +23,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies."""
-    return simhash.deduplicated(docs, SHINGLE, BITS, HALVES, FULL)
+    """Keeps the document with the smallest doc_id of each group of near copies: what links of 0.8 or more of shingle sets connect."""
+    return shingles.deduplicated(docs, SHINGLE)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,21 +32,27 @@ LIMIT = 4
 SMALL = 64
 
 
-def fingerprint(text: bytes, words: int = WORDS, halves: int = 1) -> list[int]:
-    """64 bits for each half: bit b is 1 where over half of the shingles' hashes (mixed anew after the first half) have it."""
+def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
+    """Hashes of the shingles of a text in their order; fewer words than the size give one, no words give none."""
     from xxhash import xxh64_intdigest
 
     got = text.translate(common.LOWER).split()
     if not got:
-        return [0] * halves
+        return np.zeros(0, "<u8")
     joined = b" ".join(got)
     if len(got) <= words:
-        h = np.array([xxh64_intdigest(joined, SEED)], "<u8")
-    else:
-        ends = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        n = len(got) - words + 1
-        h = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)), "<u8", n)
+        return np.array([xxh64_intdigest(joined, SEED)], "<u8")
+    ends = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    n = len(got) - words + 1
+    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)), "<u8", n)
+
+
+def fingerprint(text: bytes, words: int = WORDS, halves: int = 1) -> list[int]:
+    """64 bits for each half: bit b is 1 where over half of the shingles' hashes (mixed anew after the first half) have it."""
+    h = shingles(text, words)
+    if not len(h):
+        return [0] * halves
     out = []
     for half in range(halves):
         ones = np.zeros(64, np.int64)
