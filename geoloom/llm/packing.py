@@ -4,9 +4,9 @@ The global histogram of text lengths is cut into at most `buckets` ranges by dyn
 (each text filled up to the longest length of its range) is the least possible. Inside each bucket texts are numbered
 and dealt into batches of as many rows as fit the token budget.
 
-The histogram has one row per different length. Up to BINS lengths are kept as they are, which makes the optimum exact;
-beyond that neighbouring lengths share a bin (its longest length counts), so what the driver holds stays bounded and
-every text still fits its bucket.
+The histogram has one row per different length and is never coarsened, so the optimum is exact. A length of n takes n words
+at least, so the different lengths number at most the root of twice the corpus' words; they reach the driver about BINS
+at a time.
 
 Rows of a bucket are numbered without bringing the bucket together: rows are dealt to shards by a hash of doc_id, shards
 are numbered inside, and the (small) table of shard counts gives each shard its first number.
@@ -38,15 +38,10 @@ def n_words(text: Column) -> Column:
 
 
 def histogram(lengths: DataFrame, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths (ascending) and how many rows have each; at most `bins` of them."""
-    h = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n"))
-    top = h.agg(F.max("n_tokens"), F.count(F.lit(1))).first()
-    if top[0] is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if top[1] > bins:  # neighbours share a bin of equal ratio: the width grows with the length
-        ratio = (top[0] + 1.0) ** (1.0 / (bins - 1))
-        h = h.groupBy(F.floor(F.log(F.col("n_tokens") + 1.0) / float(np.log(ratio))).alias("bin")).agg(F.max("n_tokens").alias("n_tokens"), F.sum("n").alias("n"))
-    rows = sorted((r.n_tokens, r.n) for r in h.select("n_tokens", "n").collect())
+    """All lengths (ascending) and how many rows have each; about `bins` of them are brought to the driver at once."""
+    h = common.written(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")))
+    parts = -(-h.count() // bins)
+    rows = sorted((r.n_tokens, r.n) for r in (h.repartitionByRange(parts, "n_tokens").toLocalIterator() if parts > 1 else h.collect()))
     return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
 
 
