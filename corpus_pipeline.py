@@ -16,8 +16,10 @@ SHINGLE, BITS, HALVES, FULL = 5, 8, 2, 23
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without any letter; a missing lang becomes the predicted one."""
+    """Drops texts without any letter; a missing lang becomes the predicted one, and stays missing where nothing could be learned from."""
     model = langid.learned(docs, ~langid.held_out(), common.tokenizer_path(langid.VOCABULARY))
+    if not model[0]:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = langid.identified(docs, model).where(F.col("lang_pred") != "und")
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
