@@ -27,8 +27,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What may be an identifier: begins like a word, holds a digit early or an at sign, and is not short.
-CANDIDATE = r"(?<![0-9A-Za-z@._+-])[A-Za-z+(._]{0,24}+[0-9@][0-9A-Za-z().:_@+-]{4,60}+"
+#: What may be an identifier: a whole token, of any length, that has a digit or an at sign and at least four characters after it.
+CANDIDATE = r"(?<![0-9A-Za-z@._+(-])[A-Za-z+(._-]*+[0-9@][0-9A-Za-z().:_@+-]{4,}+"
 #: Characters on either side that contexts are cut from.
 REACH = 40
 #: A pattern needs this many different known instances of its kind, and this share of all its instances.
