@@ -8,7 +8,8 @@ The potentials are fitted by gradient ascent on the likelihood of labelled pages
 `labelled_pages` writes the training pages: layouts, class names and markup habits of web pages with known labels.
 
 Defined results: null and empty pages have the text ""; malformed markup never fails (a `<` that begins no tag is text,
-unclosed elements end with their parent, stray end tags are ignored); a line break inside a block is white space; all
+unclosed elements end with their parent, stray end tags are ignored); what script, style, template, noscript, iframe,
+noembed and noframes hold is no text, up to the page's end where one is not closed; a line break inside a block is white space; all
 Unicode white space, no-break spaces too, counts as white space; repeated rows give repeated results; of the columns
 page_id, url and html are read.
 """
@@ -32,7 +33,8 @@ from geoloom.llm import common
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-RAW = {"script", "style", "template", "noscript", "iframe", "svg", "canvas", "object", "noembed", "noframes", "math", "audio", "video"}
+RAW = {"script", "style", "template", "noscript", "iframe", "noembed", "noframes"}
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I | re.A) for name in RAW}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul"}
 NODES = CLOSES_P - {"hr"} | {"html", "head", "title", "body", "li", "dt", "dd", "caption", "legend", "tbody", "thead", "tfoot", "tr", "td", "th", "button", "select", "option", "textarea", "label"}
@@ -60,7 +62,7 @@ class Page:
 def parse(source: str) -> Page:
     """The element tree of a page; every block's text has its character references decoded and its white space unified."""
     p = Page(["html"], [()], [-1], [0], [0])
-    stack, parts, at, low, links, linked = [0], [], 0, source.lower(), 0, 0
+    stack, parts, at, links, linked = [0], [], 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -96,9 +98,8 @@ def parse(source: str) -> Page:
         end, attrs = (m[1] or m[4]) == "/", m[3] or m[6] or ""
         if name in RAW:
             if not end and not attrs.endswith("/"):
-                stop = low.find(f"</{name}", at)
-                stop = len(source) if stop < 0 else source.find(">", stop) + 1 or len(source)
-                at = stop
+                stop = RAW_END[name].search(source, at)
+                at = stop.end() if stop else len(source)
             parts.append(" ")
         elif name not in NODES:
             if name == "a":
