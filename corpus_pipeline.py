@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    return decontaminate.scanned(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.size("items") == 0).select(*docs.columns)
+    return decontaminate.scanned(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.size("hit_runs") == 0).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ text; a larger benchmark is scanned in several blocks, whose hits are merged per
 is bounded whatever the benchmark's size.
 
 Defined results: null and empty texts have no words and no hits; items without words never occur; items with equal
-windows are all reported; repeated rows and other columns are kept as they are, but a
+windows are all reported; an item without an id hits like any other, but is not among the reported items; repeated rows and other columns are kept as they are, but a
 column named as a new one gives way to it.
 """
 
@@ -45,14 +45,16 @@ def windows(text: bytes, size: int = SIZE) -> set[bytes]:
 
 
 @functools.lru_cache(maxsize=2)
-def automaton(items: tuple[tuple[str, bytes], ...], size: int):
+def automaton(items: tuple[tuple[str | None, bytes], ...], size: int):
     """The automaton over all windows, as latin-1 strings of UTF-8 bytes between spaces; a value is (words, bytes, item ids)."""
     import ahocorasick
 
     by: dict[bytes, list[str]] = {}
     for item, text in items:
         for w in windows(text, size):
-            by.setdefault(w, []).append(item)
+            ids = by.setdefault(w, [])
+            if item is not None:
+                ids.append(item)
     a = ahocorasick.Automaton()
     for w, ids in by.items():
         a.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, ids))
@@ -78,10 +80,10 @@ def scan(text: bytes, found) -> tuple[int, list[tuple[int, int]], set[str]]:
     return len(w), list(zip(np.flatnonzero(on == 1).tolist(), np.flatnonzero(on == -1).tolist(), strict=True)), {i for _, (_, ids) in hits for i in ids}
 
 
-def blocks(bench: DataFrame, most: int = BLOCK_BYTES) -> Iterator[tuple[tuple[str, bytes], ...]]:
-    """The items (item_id as string, text) in blocks of bounded size, one after another."""
+def blocks(bench: DataFrame, most: int = BLOCK_BYTES) -> Iterator[tuple[tuple[str | None, bytes], ...]]:
+    """The items (item_id as string or None, text) in blocks of bounded size, one after another."""
     block, size = [], 0
-    for r in bench.select(F.col("item_id").cast("string").alias("i"), F.encode("text", "UTF-8").alias("t")).where("i is not null and t is not null").toLocalIterator():
+    for r in bench.select(F.col("item_id").cast("string").alias("i"), F.encode("text", "UTF-8").alias("t")).where("t is not null").toLocalIterator():
         t = bytes(r.t)
         if block and size + len(t) > most:
             yield tuple(block)
@@ -131,7 +133,7 @@ def merged(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
     base = parts[0].withColumn("_row", key)
     more = None
     for p in parts[1:]:
-        hit = p.where(F.size("items") > 0).select(key.alias("_row"), "hit_runs", "spans", "items")
+        hit = p.where(F.size("hit_runs") > 0).select(key.alias("_row"), "hit_runs", "spans", "items")
         more = hit if more is None else more.unionByName(hit)
     more = more.groupBy("_row").agg(F.flatten(F.collect_set("hit_runs")).alias("r2"), F.flatten(F.collect_set("spans")).alias("s2"), F.flatten(F.collect_set("items")).alias("i2"))
     j = base.join(more, "_row", "left")
