@@ -24,8 +24,12 @@ class Spline:
         self.w = np.linalg.solve(a, np.vstack((dst / scale, np.zeros((3, 2)))))
 
     def kernel(self, at: np.ndarray) -> np.ndarray:
-        r2 = ((at[:, None] - self.src[None]) ** 2).sum(axis=2)
-        return 0.5 * r2 * np.log(np.where(r2 > 0, r2, 1.0))
+        r2 = (at[:, None, 0] - self.src[None, :, 0]) ** 2
+        r2 += (at[:, None, 1] - self.src[None, :, 1]) ** 2
+        out = np.log(np.where(r2 > 0, r2, 1.0))
+        out *= r2
+        out *= 0.5
+        return out
 
     def __call__(self, pts: np.ndarray) -> np.ndarray:
         at = pts / self.scale
@@ -127,7 +131,7 @@ def homography(p0: np.ndarray, p1: np.ndarray) -> np.ndarray | None:
     one, zero = np.ones(len(a)), np.zeros((len(a), 3))
     ah = np.column_stack((a, one))
     rows = np.vstack((np.hstack((ah, zero, -b[:, :1] * ah)), np.hstack((zero, ah, -b[:, 1:] * ah))))
-    h = np.linalg.inv(tb) @ np.linalg.svd(rows)[2][-1].reshape(3, 3) @ ta
+    h = np.linalg.inv(tb) @ np.linalg.svd(rows, full_matrices=len(rows) < 9)[2][-1].reshape(3, 3) @ ta
     return h / h[2, 2] if abs(h[2, 2]) > 1e-12 and np.isfinite(h).all() else None
 
 

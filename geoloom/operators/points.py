@@ -71,11 +71,12 @@ def filter_ladder(m: DataFrame, cell: int, most: int, size: int, least: float, k
 def balanced(m: DataFrame, width: float, height: float, grid: int, most: int, least: float = 0.0) -> DataFrame:
     """At most `most` points of each scene, taken round by round: one of every cell, then a second one, the most confident first. A scene with no more than that keeps all, in its own order."""
     m = m.where(c("conf") >= least)
-    n = F.count(F.lit(1)).over(W.partitionBy("scene"))
-    m = m.withColumn("n", n).withColumn("cx", F.least(F.lit(grid - 1), F.floor(c("x1") / d(width / grid)))).withColumn("cy", F.least(F.lit(grid - 1), F.floor(c("y1") / d(height / grid))))
+    n = m.groupBy("scene").agg(F.count(F.lit(1)).alias("n"))
+    m = m.join(F.broadcast(n), "scene").withColumn("cx", F.least(F.lit(grid - 1), F.floor(c("x1") / d(width / grid)))).withColumn("cy", F.least(F.lit(grid - 1), F.floor(c("y1") / d(height / grid))))
     few = (c("n") <= most) | F.lit(most <= 0)
     ok = few | inside("x1", "y1", width, height)
     m = m.where(ok).withColumn("round", F.row_number().over(W.partitionBy("scene", "cy", "cx").orderBy(*best_first())))
+    m = m.where(few | (c("round") <= most))  # later rounds have `most` pairs of their own cell before them; what a scene's task sorts is bounded by that
     order = W.partitionBy("scene").orderBy("round", "cy", "cx")
     place = F.when(few, F.row_number().over(W.partitionBy("scene").orderBy("ord"))).otherwise(F.row_number().over(order))
     return m.withColumn("place", place).where(few | (c("place") <= most)).drop("n", "round")

@@ -30,6 +30,11 @@ def cv_folds(spark, sf):
     return b.join(points.folds(b, 5), ["scene", "bx", "by"], "left").select("scene", "bx", "by", "n", "fold")
 
 
+def laddered(spark, sf):
+    """Pairs as robust models get them: the most confident 60 % of a scene, 0.2 at least, and of those eight in a cell of 128 pixels."""
+    return points.spatial_thin(points.confidence_gate(v_matches(spark, sf), 0.2, 60.0), 128, 8, IMAGE, IMAGE)
+
+
 def tile_statuses(spark, sf):
     m = v_matches(spark, sf).select("ord", (c("ord") % 1200 + 1).alias("h"), (c("ord") * 7 % 1200 + 1).alias("w"), (c("ord") * 31 % 100 / d(100)).alias("valid"), F.lit(0).alias("x0"), (c("ord") % 5).alias("x1"), F.lit(0).alias("y0"), (c("ord") % 7).alias("y1"), (c("ord") * 13 % 10 / d(10)).alias("ref_valid"))
     return points.tile_status(m, 64, 0.2).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
@@ -119,7 +124,7 @@ SELECT scene, ord, place FROM p WHERE n <= 300 OR place <= 300""",
         lambda s, sf: v_matches(s, sf).select(to_byte(c("conf"), c("ord") % 10 != 0).alias("byte")).groupBy("byte").agg(F.count(F.lit(1)).alias("n")),
         sql("SELECT CASE WHEN ord % 10 <> 0 THEN least(greatest(round_even(conf * 255.0::DOUBLE, 0), 0), 255)::INT ELSE 0 END AS byte, count(*) AS n FROM v_matches GROUP BY 1", "v_matches"),
     ),
-    "q_ransac_homography": (lambda s, sf: models.ransac_filter(points.spatial_thin(v_matches(s, sf), 250, 1, IMAGE, IMAGE), px=2.5), None),
-    "q_ransac_affine": (lambda s, sf: models.ransac_filter(points.spatial_thin(v_matches(s, sf), 250, 1, IMAGE, IMAGE), "affine", px=2.5), None),
-    "q_tps_filter": (lambda s, sf: models.spline_filter(points.spatial_thin(v_matches(s, sf), 250, 1, IMAGE, IMAGE), IMAGE, IMAGE), None),
+    "q_ransac_homography": (lambda s, sf: models.ransac_filter(laddered(s, sf), px=2.5), None),
+    "q_ransac_affine": (lambda s, sf: models.ransac_filter(laddered(s, sf), "affine", px=2.5), None),
+    "q_tps_filter": (lambda s, sf: models.spline_filter(laddered(s, sf), IMAGE, IMAGE), None),
 }

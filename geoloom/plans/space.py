@@ -84,7 +84,7 @@ def source_values(spark, sf):
 
 def tps_warp(spark, sf):
     """Source places of a coarse grid by each scene's spline through its balanced control points."""
-    g = points.balanced(v_matches(spark, sf), 4000, 4000, 8, 64)
+    g = points.balanced(v_matches(spark, sf), 4000, 4000, 16, 1200)
     own = grid.control_points(g, TEMPLATE, BAND)
     ids = v_matches(spark, sf).select("scene").distinct().withColumn("id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))))
     at = ids.select("scene", "id", (d(300000) + (c("id") % 8) * 5000.0).alias("mx"), (d(4600000) - F.floor(c("id") / 8) * 5000.0).alias("my"))
