@@ -1,8 +1,9 @@
 """License scans by canonical digest: texts are normalised as a whole and joined to the digests of known licences.
 
-Normalising lower-cases A-Z, drops copyright lines, unifies equivalent spellings, and turns everything that is neither
+Normalising lower-cases A-Z, drops lines that are a licence's title, a copyright line or "All rights reserved", unifies equivalent spellings, and turns everything that is neither
 a letter, a digit nor non-ASCII into single spaces. The whole text is looked up, and so is each of its lines by itself,
-for the one-line notices that documents carry. Only text that names a word which every known licence has is hashed.
+for the one-line notices that documents carry. With the table below, only text that names a word which every known licence
+has is hashed; with a caller's table, all text is.
 
 Defined results: null and empty texts, and texts without a match, have no licence (null) and no notices (empty
 string); equal rows get equal results; other columns are not read.
@@ -10,13 +11,21 @@ string); equal rows get equal results; other columns are not read.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm import common
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT = r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$"
+#: Lines that only name a licence or its version (after lower-casing).
+TITLES = (
+    r"(the )?mit license( \(mit\))?", r"(the )?isc license( \(iscl?\))?", r"(the )?(new |modified |simplified |revised )?bsd ([23][- ]clause )?license", r"(the )?zlib license", r"(the )?unlicense",
+    r"apache license(, version 2\.0)?", r"version 2\.0, january 2004", r"https?://www\.apache\.org/licenses/", r"gnu (lesser )?general public license", r"version (2, june 1991|2\.1, february 1999|3, 29 june 2007)",
+    r"mozilla public license,? (version )?2\.0", r"creative commons legal code", r"cc0 1\.0 universal",
+)
+COPYRIGHT = rf"(?m)^[ \t]*((copyright|\(c\)|©)[^\n]*|(all rights reserved\.?|{'|'.join(TITLES)})[ \t\r]*)$"
 OTHER = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 #: Every known text has one of these after lower-casing.
 KEYWORDS = r"(licen[sc]e|permission|redistribution|warrant|public domain)"
@@ -47,7 +56,7 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution.""",
-    "Unlicense": """This is free and unencumbered software released into the public domain.
+    "Unlicense-notice": """This is free and unencumbered software released into the public domain.
 Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
@@ -59,6 +68,11 @@ Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
     "CC-BY-SA-notice": "Licensed under CC BY-SA 4.0.",
     "public-domain-notice": "This work is in the public domain.",
 }
+#: Licences with a file of their own: Apache-2.0, BSD-3-Clause-UC, CC0-1.0, GPL-2.0, GPL-3.0, LGPL-2.1, LGPL-3.0, MPL-2.0, Unlicense; "-terms" is one without what follows its terms.
+KNOWN |= {p.stem: p.read_text() for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+END = "END OF TERMS AND CONDITIONS"
+KNOWN |= {f"{k}-terms": v[: v.index(END) + len(END)] for k, v in KNOWN.items() if END in v}
+KNOWN["BSD-3-Clause"] = KNOWN["BSD-2-Clause"].replace("THIS SOFTWARE IS", "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\nTHIS SOFTWARE IS", 1)
 
 
 def normalised(text: Column) -> Column:
@@ -83,8 +97,9 @@ def known(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame
 def report(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     """doc_id, license_id of the whole text, notices (licences that lines are, comma-joined) of each row. The table of known digests has a fixed size and is broadcast."""
     table = known(docs.sparkSession) if licences is None else licences
-    named = F.translate("text", UPPER, LOWER).rlike(KEYWORDS)
-    lines = F.filter(F.split("text", "\n", -1), lambda s: F.translate(s, UPPER, LOWER).rlike(KEYWORDS))
+    likely = lambda t: F.translate(t, UPPER, LOWER).rlike(KEYWORDS) if licences is None else t.isNotNull()
+    named = likely(F.col("text"))
+    lines = F.filter(F.split("text", "\n", -1), likely)
     digests = F.array_distinct(F.transform(lines, digest))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), F.when(named, digest(F.col("text"))).alias("whole"), F.when(named, digests).alias("lines"))
     rows = common.written(rows)
