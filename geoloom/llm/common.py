@@ -34,12 +34,40 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the shared checkpoint folder that the cluster names; a temporary one only where none is set."""
+    """A new path in the shared checkpoint folder that the cluster names. Only a local master may go without one: a folder of one machine is no shared folder."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="geoloom-")
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/geoloom-{uuid.uuid4().hex}"
+    path = f"{top.rstrip('/')}/geoloom-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+#: Scratch paths and tables by application, for release().
+_made: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all scratch tables of the application; results that were not written before can't be read afterwards."""
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        removed(spark, path)
+
+
+def drop(df: DataFrame) -> None:
+    """Removes a written() table that nothing reads any more."""
+    if path := getattr(df, "_geoloom_path", None):
+        removed(df.sparkSession, path)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -47,13 +75,16 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._geoloom_path = path
+    return out
 
 
 def bucketed(df: DataFrame, key: str, n: int) -> DataFrame:
     """df as a scratch table bucketed by key, so that grouping by key needs no further shuffle."""
     spark = df.sparkSession
     name = f"geoloom_{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
     df.write.bucketBy(n, key).option("path", scratch(spark)).format("parquet").saveAsTable(name)
     return spark.table(name)
 
