@@ -1,16 +1,22 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
-Base entities (email, ip, card, phone) come from fixed patterns. They are the seeds: the words around each seed form
-lexical patterns, the graph of patterns and instances is scored in rounds, and a pattern that nearly always surrounds
-known entities of one kind labels the other identifier-like strings it surrounds; these count as known in the next
-round. Base spans always stay.
+Base entities (email, ip, card, phone) come from fixed patterns and always stay. They are the seeds, and so is half (by
+hash) of the strings in the form of a key or token, for the kind `secret`. The words around each seed form lexical
+patterns; the graph of patterns and instances is scored in rounds. A pattern that nearly always surrounds known
+instances of one kind labels whatever other identifier-like string it surrounds, of any form, with spaces or without;
+these count as known, as sure as their pattern, in the next round. Secrets are reported where a pattern labels them
+only, so half of the token forms must be found again by context: `recovered` counts how many are.
+
+Confidence of a pattern: known instances of its kind, by score, to all known ones and UNKNOWN times the unlabelled ones.
 
 Regular expressions are written for one linear scan: a match can only begin where a run begins or where the last match
-ended, and repeated groups are possessive, so that long runs neither backtrack nor recurse.
+ended, and repeated groups are possessive, so that long runs neither backtrack nor recurse. Contexts are cut from REACH
+characters on either side, which is part of what a pattern is; identifiers themselves have no greatest length.
 
 Defined results: null and empty texts have no spans; spans are in code points, end excluded; equal rows get equal
-spans; only doc_id and text are read, and redact() keeps every other column. Base spans of different kinds may
-overlap; added spans overlap no base span and begin after the last added one ended.
+spans; rows are told apart by a row number, so repeated rows and null doc_ids are rows like any other; an empty table
+gives no rows; report() reads only doc_id and text, and redact() keeps every other column, whatever its name. Base spans
+of different kinds may overlap; added spans overlap no base span and begin after the last added one ended.
 """
 
 from __future__ import annotations
@@ -21,18 +27,22 @@ from pyspark.sql import functions as F
 from geoloom.llm import common
 
 KINDS = ("email", "ip", "card", "phone")
+EVERY = (*KINDS, "secret")
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What may be an identifier: a whole token, of any length, that has a digit or an at sign and at least four characters after it.
-CANDIDATE = r"(?<![0-9A-Za-z@._+(-])[A-Za-z+(._-]*+[0-9@][0-9A-Za-z().:_@+-]{4,}+"
+#: What may be an identifier: a whole token with a digit or an at sign, with the groups of digits that follow it after single spaces; what it ends with is trimmed to a letter, a digit or a bracket, and LEAST characters must be left.
+CANDIDATE = r"(?<![0-9A-Za-z@._+(-])[A-Za-z+(._-]*+[0-9@][0-9A-Za-z().:_@+-]*+(?:\x20[0-9(][0-9().-]*+)*+"
+LEAST = 5
+#: The form of a key or token: long, without spaces, with letters and digits.
+TOKEN = r"^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[0-9A-Za-z_-]{20,}$"
 #: Characters on either side that contexts are cut from.
 REACH = 40
-#: A pattern needs this many different known instances of its kind, and this share of all its instances.
-SUPPORT, CONFIDENCE, ROUNDS = 4, 0.8, 3
+#: A pattern needs this score of different known instances of its kind, and this confidence; unlabelled instances count UNKNOWN each against it.
+SUPPORT, CONFIDENCE, UNKNOWN, ROUNDS = 4, 0.75, 0.25, 3
 SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -79,14 +89,8 @@ def base(text: Column) -> dict[str, Column]:
     return {k: checked(k, p) for k, p in PATTERNS.items()}
 
 
-def shape(value: Column) -> Column:
-    """Runs of digits as 9 and of letters as a, with the number of digits in fours: what known instances of a kind look like."""
-    runs = F.regexp_replace(F.regexp_replace(value, "[A-Za-z]+", "a"), "[0-9]+", "9")
-    return F.concat_ws("#", runs, F.floor(F.length(F.regexp_replace(value, "[^0-9]", "")) / 4))
-
-
 def mentions(text: Column, spans: Column) -> Column:
-    """Spans with their contexts: the two words before, and the word before with the word after; digits stand as #."""
+    """Spans with their contexts: the two and the three words before (what touches the span counts as one), and the word before with the word after; digits stand as #."""
 
     def side(s: Column) -> Column:
         return F.regexp_replace(F.lower(s), "[0-9]+", "#")
@@ -94,50 +98,84 @@ def mentions(text: Column, spans: Column) -> Column:
     def of(s: Column) -> Column:
         left = side(F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH))))
         right = side(F.substring(text, s["end"] + 1, F.lit(REACH)))
-        two, one, nxt = F.regexp_extract(left, r"([^\s]+\s+[^\s]*\s*)$", 1), F.regexp_extract(left, r"([^\s]+\s*)$", 1), F.regexp_extract(right, r"^(\s*[^\s]*)", 1)
-        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.array(F.concat(F.lit("l "), F.trim(two)), F.concat(F.lit("lr "), F.trim(one), F.lit(" _ "), F.trim(nxt))).alias("contexts"))
+        three, two = F.regexp_extract(left, r"([^\s]+\s+[^\s]+\s+[^\s]*\s*)$", 1), F.regexp_extract(left, r"([^\s]+\s+[^\s]*\s*)$", 1)
+        one, nxt = F.regexp_extract(left, r"([^\s]+\s*)$", 1), F.regexp_extract(right, r"^(\s*[^\s]*)", 1)
+        words = F.array(F.concat(F.lit("l3 "), F.trim(three)), F.concat(F.lit("l "), F.trim(two)), F.concat(F.lit("lr "), F.trim(one), F.lit(" _ "), F.trim(nxt)))
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), words.alias("contexts"))
 
     return F.transform(spans, of)
 
 
-def extracted(docs: DataFrame) -> DataFrame:
-    """key, doc_id, the base spans of each kind, and all mentions (candidates have no kind): a written table."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    one = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    two = one.select("*", *[c.alias(f"s_{k}") for k, c in base(F.col("text")).items()], located(F.col("text"), "", CANDIDATE).alias("other"))
+def candidates(text: Column) -> Column:
+    """Identifier-like strings as spans without a kind."""
+
+    def trimmed(s: Column) -> Column:
+        value = F.regexp_replace(s["value"], r"[^0-9A-Za-z)]+$", "")
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), (s["start"] + F.length(value)).alias("end"), value.alias("value"))
+
+    return F.filter(F.transform(located(text, "", CANDIDATE), trimmed), lambda s: F.length(s["value"]) >= LEAST)
+
+
+def extracted(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
+    """key (a row number), doc_id, the base spans of each kind, and all mentions (candidates have no kind): a written table. keep_rows: with all columns of docs in the struct `whole`."""
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")] if keep_rows else []
+    one = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *whole)
+    two = one.select("*", *[c.alias(f"s_{k}") for k, c in base(F.col("text")).items()], candidates(F.col("text")).alias("other"))
     known = F.concat(*[f"s_{k}" for k in KINDS])
     free = F.filter("other", lambda o: ~F.exists(known, lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"])))
-    return common.written(two.select("key", "doc_id", *[f"s_{k}" for k in KINDS], mentions(F.col("text"), F.concat(known, free)).alias("mentions")))
+    return common.written(two.select("key", "doc_id", *[f"s_{k}" for k in KINDS], mentions(F.col("text"), F.concat(known, free)).alias("mentions"), *(["whole"] if keep_rows else [])))
 
 
-def discovered(table: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """key, kind, start, end of the strings that confident patterns label, from an extracted() table."""
-    m = table.where(F.size("mentions") > 0).select("key", F.explode("mentions").alias("m")).select("key", "m.*").distinct()
-    m = common.written(m.select("key", F.when(F.col("kind") != "", F.col("kind")).alias("kind"), "start", "end", "value", shape(F.col("value")).alias("shape"), "contexts"))
-    edges = common.written(m.select(F.explode("contexts").alias("pattern"), F.lower("value").alias("instance"), "shape", "kind").groupBy("pattern", "instance", "shape").agg(F.max("kind").alias("kind")))
-    known = edges.where("kind is not null").groupBy("instance").agg(F.max("kind").alias("kind"), F.lit(1.0).alias("score"), F.max("shape").alias("shape"))
-    kinds = known.groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SUPPORT).select("kind", "shape")
-    new = None
+def is_seed(value: Column) -> Column:
+    """The half of the token forms that patterns are learned from."""
+    return value.rlike(TOKEN) & (F.pmod(F.xxhash64(F.lower(value)), F.lit(2)) == 0)
+
+
+def labelled(m: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """instance, kind, score of the strings that confident patterns label, from mentions (kind, value, contexts)."""
+    seed = F.when(F.col("kind") != "", F.col("kind")).when(is_seed(F.col("value")), F.lit("secret"))
+    edges = common.written(m.select(F.explode("contexts").alias("pattern"), F.lower("value").alias("instance"), seed.alias("kind")).groupBy("pattern", "instance").agg(F.max("kind").alias("kind")))
+    seeds = common.written(edges.where("kind is not null").groupBy("instance").agg(F.max("kind").alias("kind"), F.lit(1.0).alias("score")))
+    known, new = seeds, None
     for _ in range(rounds):
         scored = edges.select("pattern", "instance").join(known.select("instance", F.col("kind").alias("as_kind"), "score"), "instance", "left")
-        by = scored.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.when(F.col("as_kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in KINDS])
-        best = F.greatest(*KINDS)
-        kind = F.when(F.col("email") == best, "email").when(F.col("ip") == best, "ip").when(F.col("card") == best, "card").otherwise("phone")
-        good = by.select("pattern", kind.alias("as_kind"), best.alias("support"), (best / F.col("n")).alias("confidence")).where((F.col("support") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE))
-        # an instance is as sure as its surest pattern, and must look like some known instance of the kind
-        hits = edges.where("kind is null").join(good, "pattern").join(kinds.select(F.col("kind").alias("as_kind"), "shape"), ["as_kind", "shape"], "left_semi")
-        new = common.written(hits.groupBy("instance").agg(F.max_by("as_kind", F.struct("confidence", "as_kind")).alias("kind"), F.max("confidence").alias("score"), F.max("shape").alias("shape"))).join(known.where("score = 1.0").select("instance"), "instance", "left_anti")
-        known = common.written(edges.where("kind is not null").groupBy("instance").agg(F.max("kind").alias("kind"), F.lit(1.0).alias("score"), F.max("shape").alias("shape")).unionByName(new))
-    return m.where("kind is null").drop("kind").join(new.select("instance", "kind"), F.lower(m["value"]) == F.col("instance")).select("key", "kind", "start", "end").distinct()
-
-
-def found(docs: DataFrame) -> DataFrame:
-    """key, doc_id, base (array of spans by kind, then start) and added (likewise) of each row."""
-    table = extracted(docs)
+        by = scored.groupBy("pattern").agg(F.count_if(F.col("as_kind").isNull()).alias("unknown"), *[F.sum(F.when(F.col("as_kind") == k, F.col("score")).otherwise(0.0)).alias(k) for k in EVERY])
+        best = F.greatest(*EVERY)
+        kind = F.coalesce(*[F.when(F.col(k) == best, F.lit(k)) for k in EVERY])
+        every = sum((F.col(k) for k in EVERY), F.lit(0.0))
+        good = by.select("pattern", kind.alias("as_kind"), best.alias("support"), (best / (every + UNKNOWN * F.col("unknown"))).alias("confidence")).where((F.col("support") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE))
+        # an instance is as sure as its surest pattern; base entities keep their own kind
+        hits = edges.where("kind is null or kind = 'secret'").join(good, "pattern")
+        new = common.written(hits.groupBy("instance").agg(F.max_by("as_kind", F.struct("confidence", "as_kind")).alias("kind"), F.max("confidence").alias("score")))
+        known = seeds.unionByName(new.join(seeds, "instance", "left_anti"))
+    return new
+
+
+def discovered(table: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """key, kind, start, end of the strings that confident patterns label, from an extracted() table."""
+    m = table.where(F.size("mentions") > 0).select("key", F.explode("mentions").alias("m")).select("key", "m.*")
+    new = labelled(m, rounds).select("instance", F.col("kind").alias("as_kind"))
+    return m.where("kind = ''").join(new, F.lower("value") == F.col("instance")).select("key", F.col("as_kind").alias("kind"), "start", "end")
+
+
+def recovered(docs: DataFrame) -> tuple[int, int]:
+    """Of the different token forms that are no seeds: how many patterns label as secrets, and how many there are."""
+    m = extracted(docs).select(F.explode("mentions").alias("m")).select("m.*")
+    hidden = m.where("kind = ''").where(F.col("value").rlike(TOKEN) & ~is_seed(F.col("value"))).select(F.lower("value").alias("instance")).distinct()
+    found = labelled(m).where("kind = 'secret'")
+    return hidden.join(found, "instance", "left_semi").count(), hidden.count()
+
+
+def found(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
+    """The columns of extracted() without mentions, and added (the method's spans, in order) of each row. Only rows with candidates are joined."""
+    table = extracted(docs, keep_rows)
     more = discovered(table).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("added"))
     plain = lambda a: F.transform(a, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    kind = "array<struct<kind:string,start:int,end:int>>"
-    return table.select("key", "doc_id", *[plain(f"s_{k}").alias(f"s_{k}") for k in KINDS]).join(more, "key", "left").select("key", "doc_id", *[f"s_{k}" for k in KINDS], F.coalesce(plain("added"), F.array().cast(kind)).alias("added"))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    rest = [*(plain(F.col(f"s_{k}")).alias(f"s_{k}") for k in KINDS), *(["whole"] if keep_rows else [])]
+    some = F.exists("mentions", lambda s: s["kind"] == "")
+    joined_rows = table.where(some).select("key", "doc_id", *rest).join(more, "key", "left").withColumn("added", F.coalesce(plain("added"), none))
+    return joined_rows.unionByName(table.where(~some).select("key", "doc_id", *rest, none.alias("added")))
 
 
 def joined(spans: Column) -> Column:
@@ -145,28 +183,29 @@ def joined(spans: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of base spans by kind, digest of the base spans, all spans, and how many the method added."""
+    """doc_id, counts of base spans by kind, digest of the base spans, all spans, how many the method added, and how many there are in all."""
     f = found(docs)
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
 
     def of(kind: str) -> Column:
-        return F.array_sort(F.concat(F.col(f"s_{kind}"), F.filter("added", lambda s: s["kind"] == kind)))
+        return F.array_sort(F.concat(F.col(f"s_{kind}") if kind in KINDS else none, F.filter("added", lambda s: s["kind"] == kind)))
 
-    every = F.concat(*map(of, KINDS))
-    return f.select(
-        "doc_id", *[F.size(f"s_{k}").cast("long").alias(f"n_{k}") for k in KINDS], F.sha2(joined(F.concat(*[f"s_{k}" for k in KINDS])), 256).alias("base_sha256"), joined(every).alias("spans"), F.size("added").cast("long").alias("n_added")
-    )
+    every = F.concat(*map(of, EVERY))
+    seeds = F.concat(*[f"s_{k}" for k in KINDS])
+    counts = [F.size(f"s_{k}").cast("long").alias(f"n_{k}") for k in KINDS]
+    return f.select("doc_id", *counts, F.sha2(joined(seeds), 256).alias("base_sha256"), joined(every).alias("spans"), F.size("added").cast("long").alias("n_added"), F.size(every).cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with each span of text replaced by its kind in square brackets; overlapping spans become one, named after the first. Texts without spans stay as they are."""
-    f = found(docs).select("key", F.array_sort(F.transform(F.concat(*[f"s_{k}" for k in KINDS], "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("_spans"))
-    f = f.where(F.size("_spans") > 0).groupBy("key").agg(F.first("_spans").alias("_spans")).withColumnRenamed("key", "_key")
+    f = found(docs, keep_rows=True)
+    spans = F.array_sort(F.transform(F.concat(*[f"s_{k}" for k in KINDS], "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    text, f = F.col("whole.text"), f.select("whole", spans.alias("spans"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["parts"], F.array(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+        fresh = F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["parts"]).alias("parts"))
 
-    clean = F.aggregate("_spans", start, step, lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    j = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(f, "_key", "left")
-    return j.select(*[F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean).alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    clean = F.aggregate("spans", start, step, lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))))
+    return f.select(*[F.when(F.size("spans") > 0, clean).otherwise(text).alias("text") if c == "text" else F.col("whole").getField(c).alias(c) for c in docs.columns])
