@@ -4,8 +4,9 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 its segmentations into pieces (forward algorithm), a text's is the product over its words, and the language with the
 largest is predicted; the score is its posterior under equal priors.
 
-Words are runs of letters, lower-cased, with a space before them, in UTF-8; runs of more than RUN bytes are cut there.
-Every single byte is a piece, so every word has a segmentation. The piece probabilities are fitted by expectation
+Words are runs of letters, lower-cased, with a space before them, in UTF-8, of any length: words up to SHORT bytes are
+summed together in one table, longer ones (scripts without spaces) one by one in logarithms, which gives the same sum
+without underflow. Every single byte is a piece, so every word has a segmentation. The piece probabilities are fitted by expectation
 maximisation to the words of at most SAMPLE labelled texts of each language (those with the smallest hash of doc_id);
 the bound makes the driver's share of the work, and what is broadcast (one number per piece and language), constant.
 
@@ -17,6 +18,7 @@ kept, and one named like a new one gives way to it.
 from __future__ import annotations
 
 import base64
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,10 +35,11 @@ from geoloom.llm import common
 
 SAMPLE = 600
 ROUNDS = 2
-RUN = 32
+#: Longest word, in bytes, that is summed as plain numbers.
+SHORT = 32
 SMOOTH = 0.3
-#: Words whose probabilities a worker remembers; beyond it, the memory starts anew.
-MEMORY = 400_000
+#: Words, and characters of words, whose probabilities a worker remembers; beyond either, the memory starts anew.
+MEMORY, LETTERS_KEPT = 400_000, 1 << 24
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -49,7 +52,7 @@ def pieces(path: str) -> list[bytes]:
         body = p.removeprefix(b" ")
         return len(p) == 1 or bool(body) and not any(c < 0x61 or 0x7A < c < 0x80 for c in body)
 
-    return sorted({p for p in ranks if fits(p) and len(p) <= RUN} | {bytes([c]) for c in range(256)})
+    return sorted({p for p in ranks if fits(p)} | {bytes([c]) for c in range(256)})
 
 
 def tree(found: list[bytes]) -> list:
@@ -63,9 +66,9 @@ def tree(found: list[bytes]) -> list:
     return root
 
 
-def runs(word: str) -> list[bytes]:
-    w = b" " + word.encode("utf-8", "replace")
-    return [w] if len(w) <= RUN else [w[i : i + RUN] for i in range(0, len(w), RUN)]
+def spelled(word: str) -> bytes:
+    """A word as the pieces spell it: with a space before it."""
+    return b" " + word.encode("utf-8", "replace")
 
 
 def arcs(w: bytes, root: list) -> list[tuple[int, int, int]]:
@@ -81,36 +84,65 @@ def arcs(w: bytes, root: list) -> list[tuple[int, int, int]]:
 
 
 def forward(many: list[bytes], root: list, p: np.ndarray) -> np.ndarray:
-    """Probability of each of many words in each language: the sum over all segmentations, position by position for all words together."""
+    """Logarithm of each word's probability in each language: the sum over all segmentations, position by position for all short words together."""
+    out, logs = np.zeros((len(many), p.shape[1])), np.log(p)
+    short = [i for i, w in enumerate(many) if len(w) <= SHORT]
+    for i, w in enumerate(many):
+        if len(w) > SHORT:
+            out[i] = long_forward(w, root, logs)
     at, end, piece, bounds = [], [], [], []
-    for w in many:
-        found = arcs(w, root)
+    for x in short:
+        found = arcs(many[x], root)
         bounds.append(len(found))
         for i, j, x in found:
             at.append(i)
             end.append(j)
             piece.append(x)
-    word = np.repeat(np.arange(len(many)), bounds)
+    word = np.repeat(np.arange(len(short)), bounds)
     at, end, piece = (np.array(x, np.int64) for x in (at, end, piece))
-    sums = np.zeros((len(many), RUN + 1, p.shape[1]))
+    sums = np.zeros((len(short), SHORT + 1, p.shape[1]))
     sums[:, 0] = 1.0
     flat = sums.reshape(-1, p.shape[1])
     order = np.argsort(at, kind="stable")
-    edge = np.searchsorted(at[order], np.arange(RUN + 1))
-    for i in range(RUN):
+    edge = np.searchsorted(at[order], np.arange(SHORT + 1))
+    for i in range(SHORT):
         own = order[edge[i] : edge[i + 1]]
         if len(own):
-            add, to = sums[word[own], i] * p[piece[own]], word[own] * (RUN + 1) + end[own]
+            add, to = sums[word[own], i] * p[piece[own]], word[own] * (SHORT + 1) + end[own]
             for k in range(p.shape[1]):
                 np.add.at(flat[:, k], to, add[:, k])
-    return sums[np.arange(len(many)), [len(w) for w in many]]
+    out[short] = np.log(sums[np.arange(len(short)), [len(many[i]) for i in short]])
+    return out
+
+
+def long_forward(w: bytes, root: list, logs: np.ndarray) -> np.ndarray:
+    """forward() for one word in logarithms; only the sums that a piece can still reach are held."""
+    ahead = {0: np.zeros(logs.shape[1])}
+    for i in range(len(w)):
+        here, node, j = ahead.pop(i), root, i
+        while j < len(w) and (node := node[1].get(w[j])):
+            j += 1
+            if node[0] >= 0:
+                x = here + logs[node[0]]
+                ahead[j] = np.logaddexp(ahead[j], x) if j in ahead else x
+    return ahead[len(w)]
 
 
 def expected(words: Counter, root: list, p: list[float]) -> list[float]:
     """Expected piece counts of one language's words under p, by forward and backward sums."""
-    got = [0.0] * len(p)
+    got, logs = [0.0] * len(p), [math.log(x) for x in p]
     for w, times in words.items():
         a, n = arcs(w, root), len(w)
+        if n > SHORT:
+            f, b = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
+            f[0] = b[n] = 0.0
+            for i, j, x in a:
+                f[j] = added(f[j], f[i] + logs[x])
+            for i, j, x in reversed(a):
+                b[i] = added(b[i], logs[x] + b[j])
+            for i, j, x in a:
+                got[x] += math.exp(f[i] + logs[x] + b[j] - f[n]) * times
+            continue
         f, b = [0.0] * (n + 1), [0.0] * (n + 1)
         f[0] = b[n] = 1.0
         for i, j, x in a:
@@ -123,6 +155,12 @@ def expected(words: Counter, root: list, p: list[float]) -> list[float]:
     return got
 
 
+def added(x: float, y: float) -> float:
+    """Logarithm of the sum of two numbers given as logarithms."""
+    hi, lo = max(x, y), min(x, y)
+    return hi if lo == -math.inf else hi + math.log1p(math.exp(lo - hi))
+
+
 def fit(by: dict[str, Counter], found: list[bytes], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities (a column each)."""
     root, langs, columns = tree(found), sorted(by), []
@@ -154,7 +192,7 @@ def learned(docs: DataFrame, train: Column, vocabulary: str, most: int = SAMPLE,
         for b in batches:
             c: Counter = Counter()
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                c.update((lang, r) for w in LETTERS.findall(text.lower()) for r in runs(w))
+                c.update((lang, spelled(w)) for w in LETTERS.findall(text.lower()))
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in c], pa.string()), pa.array([k[1] for k in c], pa.binary()), pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
 
     counts = sampled(docs, train, most).mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -179,6 +217,7 @@ def identified(docs: DataFrame, model: tuple[list[str], list[bytes], np.ndarray]
         _, found, p = sent.value
         root, k = tree(found), len(langs)
         known: dict[str, int] = {}
+        held = 0
         logs = np.zeros((1024, k))
 
         def learn(fresh: list[str]) -> None:
@@ -187,9 +226,7 @@ def identified(docs: DataFrame, model: tuple[list[str], list[bytes], np.ndarray]
                 logs = np.concatenate((logs, np.zeros_like(logs)))
             for lo in range(0, len(fresh), 4096):
                 part = fresh[lo : lo + 4096]
-                cut = [runs(w) for w in part]
-                got = np.log(forward([r for c in cut for r in c], root, p))
-                logs[len(known) : len(known) + len(part)] = np.add.reduceat(got, np.cumsum([0, *[len(c) for c in cut[:-1]]]), axis=0)
+                logs[len(known) : len(known) + len(part)] = forward([spelled(w) for w in part], root, p)
                 known.update(zip(part, range(len(known), len(known) + len(part)), strict=True))
 
         def totals(words: list[str]) -> np.ndarray:
@@ -204,9 +241,12 @@ def identified(docs: DataFrame, model: tuple[list[str], list[bytes], np.ndarray]
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
             for lo in range(0, len(texts), 400):
                 every = [LETTERS.findall(t.lower()) if t and k else [] for t in texts[lo : lo + 400]]
-                if len(known) > MEMORY:
+                if len(known) > MEMORY or held > LETTERS_KEPT:
                     known.clear()
-                learn(list({w for words in every for w in words if w not in known}))
+                    held = 0
+                fresh = list({w for words in every for w in words if w not in known})
+                held += sum(map(len, fresh))
+                learn(fresh)
                 for words in every:
                     if not any(c.isalpha() for w in words for c in w):  # runs may be of other numeric signs alone
                         pred.append("und")
