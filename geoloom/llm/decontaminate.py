@@ -4,9 +4,10 @@ A text's words are runs of digits, letters and non-ASCII characters after lower-
 consecutive words of an item; an item with fewer words, but not none, is one window. Document words inside any
 occurrence of a window are hit; hits are mapped back to character offsets of the original text.
 
-The automaton is built on the executors from a broadcast block of items. A block holds at most BLOCK_BYTES of item
-text; a larger benchmark is scanned in several blocks, whose hits are merged per document, so what is broadcast at once
-is bounded whatever the benchmark's size.
+The automaton's letters are words, by number: a window is at most `size` nodes deep, and words that no item has are one
+letter that leads nowhere. It is built on the executors from a broadcast block of items. A block holds at most
+BLOCK_BYTES of item text (some 400,000 windows, about 300 MB as an automaton); a larger benchmark is scanned in several
+blocks, whose hits are merged per document, so what is broadcast at once is bounded whatever the benchmark's size.
 
 Defined results: null and empty texts have no words and no hits; items without words never occur; items with equal
 windows are all reported; an item without an id hits like any other, but is not among the reported items; repeated rows and other columns are kept as they are, but a
@@ -29,7 +30,7 @@ from geoloom.llm import common
 
 SIZE = 10
 #: Bytes of item text in a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes of words, lower-cased; all others become a space.
 WORD = bytes(common.LOWER[c] if 0x30 <= c <= 0x39 or 0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 SPAN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -39,27 +40,30 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(WORD).split()
 
 
-def windows(text: bytes, size: int = SIZE) -> set[bytes]:
-    w = words(text)
-    return {b" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+def windows(w: list, size: int = SIZE) -> set[tuple]:
+    """The windows of an item's words."""
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
 @functools.lru_cache(maxsize=2)
 def automaton(items: tuple[tuple[str | None, bytes], ...], size: int):
-    """The automaton over all windows, as latin-1 strings of UTF-8 bytes between spaces; a value is (words, bytes, item ids)."""
+    """Word numbers (from 1 on; 0 is every other word) and the automaton over all windows, whose values are (words, item ids)."""
     import ahocorasick
 
-    by: dict[bytes, list[str]] = {}
+    numbers: dict[bytes, int] = {}
+    by: dict[tuple, list[str]] = {}
     for item, text in items:
-        for w in windows(text, size):
+        for w in windows([numbers.setdefault(x, len(numbers) + 1) for x in words(text)], size):
             ids = by.setdefault(w, [])
             if item is not None:
                 ids.append(item)
-    a = ahocorasick.Automaton()
+    if not by:
+        return None
+    a = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for w, ids in by.items():
-        a.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, ids))
+        a.add_word(w, (len(w), ids))
     a.make_automaton()
-    return a if by else None
+    return numbers, a
 
 
 def scan(text: bytes, found) -> tuple[int, list[tuple[int, int]], set[str]]:
@@ -67,12 +71,11 @@ def scan(text: bytes, found) -> tuple[int, list[tuple[int, int]], set[str]]:
     w = words(text)
     if not w or found is None:
         return len(w), [], set()
-    line = " " + b" ".join(w).decode("latin-1") + " "
-    hits = list(found.iter(line))
+    numbers, a = found
+    hits = list(a.iter(tuple([numbers.get(x, 0) for x in w])))
     if not hits:
         return len(w), [], set()
-    spaces = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)
-    ends = np.searchsorted(spaces, [e for e, _ in hits])
+    ends = np.array([e for e, _ in hits]) + 1
     delta = np.zeros(len(w) + 1, np.int32)
     np.add.at(delta, ends - [n for _, (n, _) in hits], 1)
     np.add.at(delta, ends, -1)
@@ -93,6 +96,9 @@ def blocks(bench: DataFrame, most: int = BLOCK_BYTES) -> Iterator[tuple[tuple[st
     yield tuple(block)
 
 
+ROW = "geoloom_row_number"
+
+
 def scanned(docs: DataFrame, bench: DataFrame, size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with n_words, hit_runs (array of struct first, last: word numbers, last excluded), spans (array of struct start, end: code points of the hit runs) and items (sorted array of item ids)."""
     spark = docs.sparkSession
@@ -100,10 +106,10 @@ def scanned(docs: DataFrame, bench: DataFrame, size: int = SIZE, block_bytes: in
     new = T.StructType.fromDDL("n_words long, hit_runs array<struct<first:long,last:long>>, spans array<struct<start:long,end:long>>, items array<string>")
     if clash := [n for n in new.names if n in docs.columns]:
         docs = docs.drop(*clash)
-    schema = T.StructType(docs.schema.fields + new.fields)
 
-    def over(items) -> DataFrame:
+    def over(items, docs: DataFrame) -> DataFrame:
         sent = spark.sparkContext.broadcast(items)
+        schema = T.StructType(docs.schema.fields + new.fields)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a = automaton(sent.value, size)
@@ -121,22 +127,21 @@ def scanned(docs: DataFrame, bench: DataFrame, size: int = SIZE, block_bytes: in
 
         return docs.mapInArrow(run, schema)
 
-    parts = [over(b) for b in blocks(bench, block_bytes)]
-    if len(parts) == 1:
-        return parts[0]
-    return merged(docs, parts)
+    items = list(blocks(bench, block_bytes))
+    if len(items) == 1:
+        return over(items[0], docs)
+    numbered = common.written(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    return merged(docs.columns, [over(b, numbered) for b in items])
 
 
-def merged(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """The blocks' hits of each document together: only documents with hits travel, keyed by a number of the row."""
-    key = F.xxhash64(*[F.col(c) for c in docs.columns])
-    base = parts[0].withColumn("_row", key)
-    more = None
+def merged(columns: list[str], parts: list[DataFrame]) -> DataFrame:
+    """The blocks' hits of each document together: only documents with hits travel, keyed by the row number."""
+    base, more = parts[0], None
     for p in parts[1:]:
-        hit = p.where(F.size("hit_runs") > 0).select(key.alias("_row"), "hit_runs", "spans", "items")
+        hit = p.where(F.size("hit_runs") > 0).select(ROW, "hit_runs", "spans", "items")
         more = hit if more is None else more.unionByName(hit)
-    more = more.groupBy("_row").agg(F.flatten(F.collect_set("hit_runs")).alias("r2"), F.flatten(F.collect_set("spans")).alias("s2"), F.flatten(F.collect_set("items")).alias("i2"))
-    j = base.join(more, "_row", "left")
+    more = more.groupBy(ROW).agg(F.flatten(F.collect_set("hit_runs")).alias("r2"), F.flatten(F.collect_set("spans")).alias("s2"), F.flatten(F.collect_set("items")).alias("i2"))
+    j = base.join(more, ROW, "left")
 
     def joined(own: str, other: str, lo: str, hi: str):
         """Runs that touch or overlap become one; `last` and `end` are excluded, and runs that only touch stay apart in characters as in words."""
@@ -144,7 +149,7 @@ def merged(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
         step = lambda acc, x: F.when((F.size(acc) > 0) & (x[lo] <= F.element_at(acc, -1)[hi]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)[lo].alias(lo), F.greatest(F.element_at(acc, -1)[hi], x[hi]).alias(hi))))).otherwise(F.concat(acc, F.array(x)))
         return F.when(F.col(other).isNull(), F.col(own)).otherwise(F.aggregate(both, F.array().cast(dict(base.dtypes)[own]), step))
 
-    return j.select(*docs.columns, "n_words", joined("hit_runs", "r2", "first", "last").alias("hit_runs"), joined("spans", "s2", "start", "end").alias("spans"), F.array_sort(F.array_distinct(F.concat("items", F.coalesce("i2", F.array().cast("array<string>"))))).alias("items"))
+    return j.select(*[F.col(f"`{c}`") for c in columns], "n_words", joined("hit_runs", "r2", "first", "last").alias("hit_runs"), joined("spans", "s2", "start", "end").alias("spans"), F.array_sort(F.array_distinct(F.concat("items", F.coalesce("i2", F.array().cast("array<string>"))))).alias("items"))
 
 
 def report(docs: DataFrame, bench: DataFrame, size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -152,3 +157,20 @@ def report(docs: DataFrame, bench: DataFrame, size: int = SIZE, block_bytes: int
     s = scanned(docs.select("doc_id", "text"), bench, size, block_bytes)
     n_hit = F.aggregate("hit_runs", F.lit(0).cast("long"), lambda a, x: a + x["last"] - x["first"])
     return s.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "spans")
+
+
+def oracle(size: int = SIZE) -> str:
+    """report() without spans in DuckDB SQL."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    norm = f"coalesce(regexp_extract_all(translate(text, '{upper}', '{lower}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), [])"
+    return f"""
+WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {norm} AS w FROM benchmark),
+wins AS (SELECT DISTINCT item_id, n, array_to_string(win, ' ') AS win FROM (
+ SELECT item_id, least(len(w), {size}) AS n, unnest(list_transform(range(1, greatest(len(w) - {size} + 1, 1) + 1), lambda k: w[k:k + {size} - 1])) AS win FROM i WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS row, doc_id, {norm} AS w FROM documents),
+places AS (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT n FROM wins)),
+hits AS (SELECT row, p, n, item_id FROM (SELECT row, p, n, array_to_string(w[p:p + n - 1], ' ') AS win FROM places) a JOIN wins USING (n, win)),
+covered AS (SELECT row, count(DISTINCT q) AS n_hit FROM (SELECT row, unnest(range(p, p + n)) AS q FROM hits) GROUP BY row),
+found AS (SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT row, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (row) LEFT JOIN found USING (row)"""

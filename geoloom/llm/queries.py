@@ -67,4 +67,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_html": op10_html,
 }
-ORACLES: dict[str, str] = {"op6_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.oracle(), "op6_licenses": licenses.oracle()}

@@ -59,6 +59,32 @@ def test_report_matches_brute_force(spark):
             assert sum(len(norm(texts[r.doc_id][s.start : s.end])) for s in r.spans) == r.n_hit
 
 
+def test_sql_matches(spark, tmp_path):
+    import duckdb
+
+    docs, items = made()
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "b"))
+    con = duckdb.connect()
+    for n, at in (("documents", "d"), ("benchmark", "b")):
+        con.sql(f"CREATE VIEW {n} AS SELECT * FROM '{tmp_path}/{at}/*.parquet'")
+    rows = con.sql(decontaminate.oracle())
+    at = {c: i for i, c in enumerate(rows.columns)}
+    assert {r[at["doc_id"]]: tuple(r[at[c]] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in rows.fetchall()} == brute(docs, items)
+
+
+def test_long_and_repeated_texts(spark):
+    """A text of 300,000 words with a passage at either end, and the same row three times, with blocks that share it."""
+    docs, items = made()
+    long = f"{items[2][1]} {'w1 zz ' * 150_000} {items[3][1]}"
+    rows = [(1, long), (2, items[2][1]), (2, items[2][1]), (2, items[2][1])]
+    for block in (1 << 20, 150):
+        got = decontaminate.report(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block).collect()
+        want = brute(rows[1:2] + [(1, f"{items[2][1]} zz zz {items[3][1]}")], items)
+        assert sorted(r.doc_id for r in got) == [1, 2, 2, 2]
+        assert all((r.n_hit, r.n_items, r.items_sha256) == want[r.doc_id][1:4] for r in got)
+
+
 def test_empty_tables_and_clashing_names(spark):
     docs, items = made()
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
