@@ -5,13 +5,12 @@ differences of every chain of l consecutive segments add up to at most l*T/M. Ro
 segments of such a chain may look like (the first equal, the second with one bit left out), the longer chains are
 tested inside the group, and only what passes gets the full Hamming test.
 
-A fingerprint may have several halves of 64 bits, each from its own mix of the shingles' hashes. A link then needs one
-half within T bits and all halves together within `full` bits: more halves find more of the similar texts, and unrelated
-texts practically never agree in all of them, however many there are.
+Links and components are those of the different fingerprints, so copies cost nothing and documents of any id, null ids
+too, carry links on; a component is named by the smallest doc_id in it at the end.
 
 Defined results: a null text has no words and the fingerprint zero, as an empty one; fewer words than the shingle
-size give one shingle; zero fingerprints link like any other; rows with one doc_id get the same component; a null
-doc_id has a fingerprint and its own component (null). Other columns are not read.
+size give one shingle; zero fingerprints link like any other; rows with one fingerprint get the same component; a null
+doc_id has a fingerprint and a null component, and connects others; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -48,37 +47,28 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)), "<u8", n)
 
 
-def fingerprint(text: bytes, words: int = WORDS, halves: int = 1) -> list[int]:
-    """64 bits for each half: bit b is 1 where over half of the shingles' hashes (mixed anew after the first half) have it."""
-    h = shingles(text, words)
-    if not len(h):
-        return [0] * halves
-    out = []
-    for half in range(halves):
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(h), 1 << 16):
-            part = h[at : at + (1 << 16)]
-            part = tokens.mix(part + np.uint64(half)) if half else part
-            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(((2 * ones > len(h)).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum()))
-    return out
+def bits(h: np.ndarray) -> int:
+    """64 bits: bit b is 1 where over half of the hashes have it; 0 where there are none."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 1 << 16):
+        ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(((2 * ones > len(h)).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum()) if len(h) else 0
 
 
-def columns(halves: int, name: str = "fp") -> list[str]:
-    return [f"{name}{i}" for i in range(halves)]
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    return bits(shingles(text, words))
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, halves: int = 1) -> DataFrame:
-    """doc_id, fp0, fp1 ... (each half as a signed long) of each row."""
+def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) of each row."""
     common.ship(docs.sparkSession)
-    names = columns(halves)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, words, halves) for t in common.text_bytes(b.column(1))], np.uint64).reshape(-1, halves).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(fp[:, i]) for i in range(halves))], names=["doc_id", *names])
+            fp = np.array([fingerprint(t, words) for t in common.text_bytes(b.column(1))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def ring(limit: int) -> list[tuple[int, int]]:
@@ -120,24 +110,17 @@ def near(x: np.ndarray, tests: list[tuple[np.uint64, int]]) -> np.ndarray:
     return ok
 
 
-def close(x: np.ndarray, tests: list[tuple[np.uint64, int]], half: int = 0, full: int | None = None) -> np.ndarray:
-    """Which differences (a row each, a column for each half) stay within every chain's budget in one half, and within `full` bits over all halves."""
-    ok = near(x[:, half], tests)
-    return ok if full is None else ok[np.bitwise_count(x[ok]).sum(axis=1, dtype=np.int64) <= full]
-
-
-def forest(members: np.ndarray, tests: list[tuple[np.uint64, int]], half: int = 0, full: int | None = None) -> tuple[list[int], list[int]]:
+def forest(v: np.ndarray, tests: list[tuple[np.uint64, int]]) -> tuple[list[int], list[int]]:
     """Links (numbers of members) that connect what the group's own links connect: each search takes what it reaches out of the rest, so a dense group costs little more than its size."""
-    v = members.reshape(len(members), -1)
-    ones = np.stack([(v >> np.uint64(i) & np.uint64(1)).sum(axis=0, dtype=np.int64) for i in range(64)])
-    middle = ((2 * ones > len(v)).astype(np.uint64) << np.arange(64, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64)
+    ones = np.array([(v >> np.uint64(i) & np.uint64(1)).sum(dtype=np.int64) for i in range(64)])
+    middle = ((2 * ones > len(v)).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64)
     # searches begin next to the middle of the group, so that all groups with the same members find mostly the same links
-    left, a, b = np.lexsort((*v.T, np.bitwise_count(v ^ middle).sum(axis=1, dtype=np.int64))), [], []
+    left, a, b = np.lexsort((v, np.bitwise_count(v ^ middle))), [], []
     while len(left) > 1:
         todo, left = [left[0]], left[1:]
         while todo and len(left):
             x = todo.pop()
-            hit = close(v[left] ^ v[x], tests, half, full)
+            hit = near(v[left] ^ v[x], tests)
             if len(hit):
                 got = left[hit]
                 a += [int(x)] * len(got)
@@ -151,10 +134,9 @@ def tree(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.nd
     """Of links between rows of v, those that connect as much as all do, the nearest first."""
     if not len(a):
         return a, b
-    _, node = np.unique(v, axis=0, return_inverse=True)
-    node = node.ravel()
+    _, node = np.unique(v, return_inverse=True)
     x, y = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-    order = np.lexsort((y, x, np.bitwise_count(v[a] ^ v[b]).sum(axis=1, dtype=np.int64)))
+    order = np.lexsort((y, x, np.bitwise_count(v[a] ^ v[b])))
     top: dict[int, int] = {}
 
     def root(i: int) -> int:
@@ -171,47 +153,43 @@ def tree(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.nd
     return a[kept], b[kept]
 
 
-def linked(run: Iterator[pa.RecordBatch], limit: int = LIMIT, halves: int = 1, full: int | None = None) -> Iterator[pa.RecordBatch]:
-    """Links inside the groups of a stream sorted by key; a group may go on in the next batch."""
+def linked(run: Iterator[pa.RecordBatch], limit: int = LIMIT) -> Iterator[pa.RecordBatch]:
+    """Links inside the groups of a stream of (key, fingerprint) sorted by key; a group may go on in the next batch."""
     tests = [chain_masks(i, limit) for i in range(limit + 1)]
-    names = columns(halves, "a") + columns(halves, "b")
 
     def groups(k: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
         edge = np.flatnonzero(np.diff(k)) + 1
         lo, hi = np.concatenate(([0], edge)), np.concatenate((edge, [len(k)]))
-        size, start, half = hi - lo, (k[lo] >> np.uint64(48)).astype(int) & 0xFF, (k[lo] >> np.uint64(56)).astype(int)
+        size, start = hi - lo, (k[lo] >> np.uint64(48)).astype(int) & 0xFF
         a, b = [], []
         for n in np.unique(size[(size > 1) & (size <= SMALL)]):
             x, y = np.triu_indices(n, 1)
             for s in range(limit + 1):
-                for half_now in range(halves):
-                    at = lo[(size == n) & (start == s) & (half == half_now)]
-                    for part in np.array_split(at, max(1, len(at) * len(x) // 1_000_000)):
-                        p, q = (part[:, None] + x).ravel(), (part[:, None] + y).ravel()
-                        ok = close(v[p] ^ v[q], tests[s], half_now, full)
-                        a.append(p[ok])
-                        b.append(q[ok])
+                at = lo[(size == n) & (start == s)]
+                for part in np.array_split(at, max(1, len(at) * len(x) // 1_000_000)):
+                    p, q = (part[:, None] + x).ravel(), (part[:, None] + y).ravel()
+                    ok = near(v[p] ^ v[q], tests[s])
+                    a.append(p[ok])
+                    b.append(q[ok])
         for g in np.flatnonzero(size > SMALL):
-            p, q = forest(v[lo[g] : hi[g]], tests[start[g]], half[g], full)
+            p, q = forest(v[lo[g] : hi[g]], tests[start[g]])
             a.append(lo[g] + np.array(p, np.int64))
             b.append(lo[g] + np.array(q, np.int64))
         a, b = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (a, b))
         a, b = tree(v, a, b)
-        turn = v[a, 0] > v[b, 0] if halves == 1 else (v[a, 0] > v[b, 0]) | (v[a, 0] == v[b, 0]) & (v[a, 1] > v[b, 1])  # equal links of several groups become equal rows
-        a, b = np.where(turn, b, a), np.where(turn, a, b)
-        pair = np.unique(np.concatenate((v[a], v[b]), axis=1).view(np.int64), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pair[:, i]) for i in range(2 * halves)], names=names)
+        # equal links of several groups become equal rows
+        pair = np.unique(np.stack((np.minimum(v[a], v[b]), np.maximum(v[a], v[b])), axis=1), axis=0).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
 
     kept: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in run:
         if not batch.num_rows:
             continue
-        k, *v = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(halves + 1))
-        v = np.stack(v, axis=1)
+        k, v = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(2))
         if kept and k[0] == k[-1] == kept[-1][0][-1]:
             kept.append((k, v))
             continue
-        last = int(np.searchsorted(k, k[-1]))  # the last group may go on
+        last = int(np.searchsorted(k.view(np.int64), k.view(np.int64)[-1]))  # the last group may go on
         kk, vv = np.concatenate([x for x, _ in kept] + [k[:last]]), np.concatenate([x for _, x in kept] + [v[:last]])
         kept = [(k[last:], v[last:])]
         if len(kk):
@@ -220,26 +198,22 @@ def linked(run: Iterator[pa.RecordBatch], limit: int = LIMIT, halves: int = 1, f
         yield groups(np.concatenate([x for x, _ in kept]), np.concatenate([x for _, x in kept]))
 
 
-def links(distinct: DataFrame, limit: int = LIMIT, halves: int = 1, full: int | None = None) -> DataFrame:
-    """Links (a0 ..., b0 ...) between distinct fingerprints (fp0 ...) that connect all that are near; copies of a fingerprint are not expanded."""
-    names = columns(halves)
+def links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (fp) that connect all that are near; copies of a fingerprint are not expanded."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.stack([b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(halves)], axis=1)
+            fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for part in np.array_split(fp, max(1, len(fp) // 4096)):
-                for half in range(halves):
-                    k, _ = keys(part[:, half], limit)
-                    k |= np.uint64(half << 56)
-                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), *(pa.array(np.repeat(part[:, i], k.shape[1]).view(np.int64)) for i in range(halves))], names=["k", *names])
+                k, _ = keys(part, limit)
+                yield pa.RecordBatch.from_arrays([pa.array(k.ravel().view(np.int64)), pa.array(np.repeat(part, k.shape[1]).view(np.int64))], names=["k", "fp"])
 
-    dealt = distinct.select(*names).mapInArrow(emit, "k long, " + ", ".join(f"{n} long" for n in names)).repartition("k").sortWithinPartitions("k")
-    out = ", ".join(f"{n} long" for n in columns(halves, "a") + columns(halves, "b"))
-    return dealt.mapInArrow(lambda run: linked(run, limit, halves, full), out).distinct()
+    dealt = distinct.select("fp").mapInArrow(emit, "k long, fp long").repartition("k").sortWithinPartitions("k")
+    return dealt.mapInArrow(lambda run: linked(run, limit), "a long, b long").distinct()
 
 
-def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
-    """node, label (the smallest node reachable) of the nodes with an edge, by alternating large-star and small-star steps; each step is a written table."""
+def components(edges: DataFrame, most: int = 60) -> DataFrame:
+    """node, label (the smallest node reachable) of the nodes with an edge (a, b), by alternating large-star and small-star steps; each step is a written table, and the one before it is removed."""
     e = common.written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -252,7 +226,9 @@ def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
 
     before = None
     for _ in range(most):
-        e = common.written(star(star(e, True), False))
+        step = common.written(star(star(e, True), False))
+        common.drop(e)
+        e = step
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
@@ -260,27 +236,12 @@ def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, limit: int = LIMIT, halves: int = 1, full: int | None = None) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits for each half), component_id (smallest doc_id reachable over links) of each row."""
-    names = columns(halves)
-    fps = common.written(fingerprints(docs, words, halves))
-    first = common.written(fps.groupBy(*names).agg(F.min("doc_id").alias("rep")))
-    named = links(first, limit, halves, full)
-    for side in "ab":
-        named = named.join(first.select(*[F.col(n).alias(m) for n, m in zip(names, columns(halves, side), strict=True)], F.col("rep").alias(f"r{side}")), columns(halves, side))
-    found = components(first, named.select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a is not null and b is not null"))
-    final = first.join(found, first.rep == found.node, "left").select(*names, F.coalesce("label", "rep").alias("component_id"))
-    digits = F.concat(*[F.lower(F.lpad(F.hex(n), 16, "0")) for n in names])
-    return fps.join(final, names).select("doc_id", digits.alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-
-
-def deduplicated(docs: DataFrame, words: int = WORDS, limit: int = LIMIT, halves: int = 1, full: int | None = None) -> DataFrame:
-    """docs with one document of each component: the one with the smallest doc_id. Of rows that share a doc_id one stays; rows without a doc_id all stay."""
-    found = common.written(near_duplicates(docs.select("doc_id", "text"), words, limit, halves, full))
-    ids = docs.schema["doc_id"].dataType
-    gone = found.where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").cast(ids).alias("doc_id")).distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = common.written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").cast(ids).alias("doc_id")))
-    if not again.isEmpty():
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*docs.columns)
+def near_duplicates(docs: DataFrame, words: int = WORDS, limit: int = LIMIT) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links) of each row."""
+    fps = common.written(fingerprints(docs, words))
+    first = common.written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = components(links(first, limit)).withColumnRenamed("node", "fp")
+    named = common.written(first.join(found, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label")))
+    lowest = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    final = named.join(lowest, "label").select("fp", "component_id")
+    return fps.join(final, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -63,12 +63,18 @@ def test_empty_table_and_extra_columns(spark):
     assert got == [(-1, None), (7, 7), (7, 7)]
 
 
-def test_deduplicated_keeps_one_of_each_component(spark):
-    rows = made(60)
-    df = spark.createDataFrame([(d, t, "x") for d, t in rows] + [(12, rows[8][1], "y"), (None, "q", "z"), (None, "q", "z")], "doc_id long, text string, component_id string")
-    got = sorted((r.doc_id for r in simhash.deduplicated(df, limit=8).collect() if r.doc_id is not None))
-    assert got == sorted({c for _, c in brute(rows, 8).values()})
-    assert simhash.deduplicated(df).where("doc_id is null").count() == 2 and simhash.deduplicated(df).columns == df.columns
+def test_rows_without_an_id_connect_others(spark, monkeypatch):
+    """1 and 3 lie eight bits apart, with a null id's fingerprint between them."""
+    rows = [(1, 0), (None, 0b1111), (3, 0b11111111), (4, -1)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, words: docs.select("doc_id", "fp"))
+    df = spark.createDataFrame(rows, "doc_id long, fp long")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()}
+    assert got == {1: 1, None: None, 3: 1, 4: 4}
+
+
+def test_only_null_ids(spark):
+    df = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "")], "doc_id long, text string")
+    assert [r.component_id for r in simhash.near_duplicates(df).collect()] == [None] * 3
 
 
 @pytest.mark.parametrize("limit", [4, 8])
