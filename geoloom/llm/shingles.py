@@ -1,12 +1,15 @@
 """Exact near-duplicates: documents whose sets of word shingles have a Jaccard similarity of SHARE or more.
 
-Prefix filter: with all shingles in one global order, two sets that are 4/5 alike share one of the first n - ceil(4n/5) + 1
-of each set's n. Sets meet in groups by these shingles alone; no such pair is missed, and the order (shingles that a
-sample of texts has often come last) only decides how many others meet. Every link is checked against the full sets.
+Candidates come from two sides, and every link is checked against the full sets. Pigeonring finds the pairs whose
+SimHash fingerprints (of the same shingles) lie within a few bits. Pairs at the threshold differ in some ten bits, which no
+Hamming search finds cheaply, so a prefix filter adds every pair that it leaves out: with all shingles in one global
+order, two sets that are 4/5 alike share one of the first n - ceil(4n/5) + 1 of each set's n. Sets meet in groups by
+these shingles alone; no such pair is missed, and the order (shingles that a sample of texts often has come last) only
+decides how many others meet.
 
-Groups of near copies are dense, so pairs come in two turns. First each group links its members to one of them; what is
-then checked and joined to components is tried no more. The second turn takes every pair that still lies in two
-components, so that the components are those of all pairs.
+Groups of near copies are dense, so pairs come in two turns. First come the pigeonring pairs, and each prefix group
+links its members to one of them; what is then checked and joined to components is tried no more. The second turn takes
+every pair of a prefix group that still lies in two components, so that the components are those of all pairs.
 
 Defined results: a null text has no shingles, as an empty one, and equal sets are copies; fewer words than the shingle
 size give one shingle; of rows that share a doc_id one stays (the first text in order) before anything is compared; rows
@@ -58,7 +61,7 @@ def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def marked(docs: DataFrame, words: int) -> DataFrame:
-    """id, digest of the set, n (its size), first (the shingles of its prefix in order) of each row."""
+    """id, digest of the set, n (its size), fp (its SimHash), first (the shingles of its prefix in order) of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     p, q = SHARE
 
@@ -67,7 +70,7 @@ def marked(docs: DataFrame, words: int) -> DataFrame:
 
         known, often = sent.value
         for b in batches:
-            digest, size, first = [], [], []
+            digest, size, first, fp = [], [], [], []
             for t in common.text_bytes(b.column(1)):
                 s = shingle_set(t, words)
                 n = len(s)
@@ -77,10 +80,11 @@ def marked(docs: DataFrame, words: int) -> DataFrame:
                     rank = np.where(known[at] == s, often[at], 0)
                 digest.append(xxh128_digest(s.tobytes()))
                 size.append(n)
+                fp.append(simhash.bits(s))
                 first.append(s[np.argsort(rank, kind="stable")][: n - -(-p * n // q) + 1 if n else 0].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["id", "digest", "n", "first"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(first, pa.list_(pa.int64()))], names=["id", "digest", "n", "fp", "first"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(run, "id long, digest binary, n long, first array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(run, "id long, digest binary, n long, fp long, first array<long>")
 
 
 def groups(run: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -148,6 +152,14 @@ def apart(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield paired(np.concatenate(a), np.concatenate(b))
 
 
+def ringed(nodes: DataFrame, limit: int = simhash.LIMIT) -> DataFrame:
+    """Pairs (a, b) of ids that connect all whose fingerprints are within `limit` bits, by pigeonring."""
+    first = common.written(nodes.groupBy("fp").agg(F.min("id").alias("low")))
+    same = nodes.join(first, "fp").where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
+    far = simhash.links(first, limit).join(first.select(F.col("fp").alias("a"), F.col("low").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("low").alias("y")), "b")
+    return same.union(far.select(F.least("x", "y"), F.greatest("x", "y")))
+
+
 def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """The pairs (a, b) whose sets are alike enough: their full sets are compared."""
     p, q = SHARE
@@ -179,14 +191,14 @@ def near_copies(docs: DataFrame, words: int) -> DataFrame:
         return t.repartition("h").sortWithinPartitions("h", "id")
 
     met = common.written(sorted_by_group(dealt).mapInArrow(several, "h long, id long, n long, at long"))
-    tried = common.written(sorted_by_group(met).mapInArrow(stars, "a long, b long").distinct())
+    tried = common.written(sorted_by_group(met).mapInArrow(stars, "a long, b long").union(ringed(nodes)).distinct())
     good = common.written(verified(docs, tried, words))
-    part = simhash.components(nodes, good)
+    part = simhash.components(good)
     named = met.join(part.select(F.col("node").alias("id"), "label"), "id", "left").select("h", "id", "n", "at", F.coalesce("label", "id").alias("label"))
     rest = common.written(sorted_by_group(named).mapInArrow(apart, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
     more = common.written(verified(docs, rest, words))
     if not more.isEmpty():
-        part = simhash.components(nodes, good.union(more))
+        part = simhash.components(good.union(more))
     return tagged.join(part.select(F.col("node").alias("rep"), "label"), "rep", "left").select("id", F.coalesce("label", "rep").alias("label"))
 
 

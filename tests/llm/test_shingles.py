@@ -2,8 +2,6 @@
 
 import random
 
-import numpy as np
-
 from geoloom.llm import shingles, simhash
 
 
@@ -41,12 +39,15 @@ def test_components_of_all_pairs(spark):
 
 
 def test_fewer_shared_shingles_than_the_threshold_are_no_link_whatever_the_fingerprints(spark):
-    """Repeating one passage fixes most bits: fingerprints are near, but the sets are only 0.5 alike."""
+    """Pairs that pigeonring proposes are compared by their sets: here every fingerprint is the same."""
     same = [f"s{i}" for i in range(60)]
-    a, b = same + [f"a{i}" for i in range(20)], same + [f"b{i}" for i in range(20)]
-    rows = [(1, " ".join(same * 40 + a)), (2, " ".join(same * 40 + b))]
-    bits = np.bitwise_count(np.array(simhash.fingerprint(rows[0][1].encode(), 5, 2), np.uint64) ^ np.array(simhash.fingerprint(rows[1][1].encode(), 5, 2), np.uint64))
-    assert bits.min() <= 8 and bits.sum() <= 23
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert shingles.deduplicated(df, 5).count() == 2
-    assert simhash.deduplicated(df, 5, 8, 2, 23).count() == 1
+    rows = [(i, " ".join(same + [f"{c}{j}" for j in range(20)])) for i, c in enumerate("abc")] + [(7, " ".join(same + [f"a{j}" for j in range(19)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in shingles.deduplicated(docs, 5).collect()) == [0, 1, 2]
+    nodes = docs.selectExpr("doc_id as id", "5L as fp")
+    assert sorted((r.a, r.b) for r in shingles.ringed(nodes).collect()) == [(0, 1), (0, 2), (0, 7)]
+
+
+def test_pigeonring_proposes_near_fingerprints(spark):
+    nodes = spark.createDataFrame([(5, 0), (2, 0), (9, 15), (4, -1)], "id long, fp long")
+    assert sorted((r.a, r.b) for r in shingles.ringed(nodes).collect()) == [(2, 5), (2, 9)]
