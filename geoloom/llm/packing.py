@@ -8,12 +8,13 @@ The histogram has one row per different length and is never coarsened, so the op
 at least, so the different lengths number at most the root of twice the corpus' words; they reach the driver about BINS
 at a time.
 
-Rows of a bucket are numbered without bringing the bucket together: rows are dealt to shards by a hash of doc_id, shards
-are numbered inside, and the (small) table of shard counts gives each shard its first number.
+Rows of a bucket are numbered without bringing the bucket together: rows are dealt to shards by a hash of a row number
+(so that rows which share a doc_id, or have none, spread too), shards are numbered inside, and the (small) table of shard
+counts gives each shard its first number.
 
 Defined results: a null or empty text has length 0 and is packed like any other; a text longer than the budget is a
-batch of its own; rows with equal doc_id are told apart by an arbitrary order among themselves; an empty table gives no
-rows; other columns are kept, and one named like a new one gives way to it.
+batch of its own; which of a bucket's rows share a batch depends on the order of the input; an empty table gives no
+rows; other columns are kept under any name, but one named like a new one gives way to it.
 """
 
 from __future__ import annotations
@@ -86,17 +87,18 @@ def packed(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, bins:
     """docs without text, with n_tokens, bucket, bucket_length, batch (number inside the bucket), slot (place in the batch)."""
     new = ("n_tokens", "bucket", "bucket_length", "batch", "slot")
     keep = [c for c in docs.columns if c not in (*new, "text")]
-    table = common.written(docs.select(*keep, n_words(F.col("text")).alias("n_tokens")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None)
+    table = common.written(docs.select(whole.alias("whole"), F.monotonically_increasing_id().alias("row"), n_words(F.col("text")).alias("n_tokens")))
     lengths, counts = histogram(table, bins)
     ends = boundaries(lengths, counts, buckets)
     shards = max(1, int(counts.sum()) // SHARD_ROWS)
     edges = F.array(*[F.lit(e).cast("long") for e in ends]) if ends else F.array().cast("array<long>")
     bucket = F.size(F.filter(edges, lambda e: e < F.col("n_tokens"))).cast("int")
     t = table.withColumn("bucket", bucket).withColumn("bucket_length", F.get(edges, F.col("bucket")))
-    t = t.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    sizes = t.groupBy("bucket", "_shard").agg(F.count(F.lit(1)).alias("_n"))
-    first = sizes.withColumn("_first", F.sum("_n").over(W.partitionBy("bucket").orderBy("_shard").rowsBetween(W.unboundedPreceding, -1))).select("bucket", "_shard", F.coalesce("_first", F.lit(0)).alias("_first"))
-    t = t.withColumn("_in", F.row_number().over(W.partitionBy("bucket", "_shard").orderBy("doc_id")) - 1).join(first, ["bucket", "_shard"])
-    place = F.col("_first") + F.col("_in")
+    t = t.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    sizes = t.groupBy("bucket", "shard").agg(F.count(F.lit(1)).alias("n"))
+    first = sizes.withColumn("first", F.sum("n").over(W.partitionBy("bucket").orderBy("shard").rowsBetween(W.unboundedPreceding, -1))).select("bucket", "shard", F.coalesce("first", F.lit(0)).alias("first"))
+    t = t.withColumn("place", F.row_number().over(W.partitionBy("bucket", "shard").orderBy("row")) - 1).join(first, ["bucket", "shard"])
+    place = F.col("first") + F.col("place")
     rows = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("bucket_length", F.lit(1)))).cast("long")
-    return t.select(*keep, "n_tokens", "bucket", "bucket_length", F.floor(place / rows).cast("long").alias("batch"), (place % rows).cast("long").alias("slot"))
+    return t.select(*[F.col("whole").getField(c).alias(c) for c in keep], "n_tokens", "bucket", "bucket_length", F.floor(place / rows).cast("long").alias("batch"), (place % rows).cast("long").alias("slot"))

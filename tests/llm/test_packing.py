@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from geoloom.llm import packing
 
@@ -46,3 +47,14 @@ def test_batches(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert packing.packed(df).count() == 0 and "lang" in packing.packed(df).columns
+
+
+def test_rows_of_any_kind(spark):
+    """Names that the operator uses itself, rows without an id or with the same one, and a text of a million words."""
+    rows = [(None, "a b", 1, 2, 3)] * 50 + [(7, "a b c", 4, 5, 6)] * 50 + [(8, "w " * 1_000_000, 7, 8, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, first int, row int, place int").withColumn("whole", F.lit("x")).withColumn("shard", F.lit(1)).withColumn("_in", F.lit(1))
+    got = packing.packed(df, buckets=3, budget=40)
+    assert got.columns == ["doc_id", "first", "row", "place", "whole", "shard", "_in", "n_tokens", "bucket", "bucket_length", "batch", "slot"]
+    rows = got.collect()
+    assert len({(r.bucket, r.batch, r.slot) for r in rows}) == len(rows) == 101
+    assert sorted({(r.doc_id or 0, r.first, r.row, r.place, r.n_tokens) for r in rows}) == [(0, 1, 2, 3, 2), (7, 4, 5, 6, 3), (8, 7, 8, 9, 1_000_000)]
