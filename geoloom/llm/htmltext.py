@@ -10,7 +10,8 @@ The potentials are fitted by gradient ascent on the likelihood of labelled pages
 Defined results: null and empty pages have the text ""; malformed markup never fails (a `<` that begins no tag is text,
 unclosed elements end with their parent, stray end tags are ignored); what script, style, template, noscript, iframe,
 noembed and noframes hold is no text, up to the page's end where one is not closed; a line break inside a block is white space; all
-Unicode white space, no-break spaces too, counts as white space; repeated rows give repeated results; of the columns
+Unicode white space, no-break spaces too, counts as white space; parsing takes time in proportion to a page's length, whatever
+its markup; repeated rows give repeated results; of the columns
 page_id, url and html are read.
 """
 
@@ -30,8 +31,11 @@ from pyspark.sql import functions as F
 
 from geoloom.llm import common
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
+#: Where markup may begin: a comment, a declaration, or a tag's name.
+START = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/><]*)")
+#: What a tag's end is looked for among: its end, or a quote that hides others.
+MARK = re.compile(r"[>\"']")
+ATTR = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"']++))?|["']""")
 CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW = {"script", "style", "template", "noscript", "iframe", "noembed", "noframes"}
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I | re.A) for name in RAW}
@@ -47,6 +51,37 @@ OTHER_KIND, N_KINDS = 3, 4
 NUMBERS = 8
 
 
+class Ends:
+    """Ends of tags. What a search without success has seen is not searched again, so that all of them together take linear time."""
+
+    def __init__(self, source: str) -> None:
+        self.source, self.failed = source, set()
+        self.last, self.no_mark = source.rfind(">"), len(source) + 1
+
+    def of(self, at: int) -> int:
+        """The `>` that ends a tag whose name ends at `at`: the first outside quotes, the first at all where quotes stay open, -1 where there is none."""
+        if at > self.last:
+            return -1
+        i, seen = at, []
+        while i < self.no_mark:
+            m = MARK.search(self.source, i)
+            if not m:
+                self.no_mark = i
+                break
+            k = m.start()
+            if m[0] == ">":
+                return k
+            if k in self.failed:
+                break
+            seen.append(k)
+            close = self.source.find(m[0], k + 1)
+            if close < 0:
+                break
+            i = close + 1
+        self.failed.update(seen)
+        return self.source.find(">", at)
+
+
 @dataclass
 class Page:
     """Nodes in document order, and text blocks as (node, text, characters inside links)."""
@@ -63,6 +98,7 @@ def parse(source: str) -> Page:
     """The element tree of a page; every block's text has its character references decoded and its white space unified."""
     p = Page(["html"], [()], [-1], [0], [0])
     stack, parts, at, links, linked = [0], [], 0, 0, 0
+    ends, places = Ends(source), {"html": [0]}
 
     def flush() -> None:
         nonlocal linked
@@ -73,29 +109,46 @@ def parse(source: str) -> Page:
             parts.clear()
         linked = 0
 
+    def innermost(names: set[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
     def close(names: set[str], stops: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            name = p.tag[stack[k]]
-            if name in names:
-                flush()
-                del stack[k:]
-                return
-            if name in stops:
-                return
+        """Ends the innermost open element of these names, unless one of the stops stands inside it."""
+        k = innermost(names)
+        if k > 0 and k > innermost(stops - names):
+            flush()
+            for node in stack[k:]:
+                places[p.tag[node]].pop()
+            del stack[k:]
 
-    while at < len(source):
-        m = TAG.search(source, at)
-        upto = m.start() if m else len(source)
+    def text(upto: int) -> None:
+        nonlocal linked
         if upto > at:
             parts.append(source[at:upto])
             linked += (upto - at) if links else 0
+
+    while at < len(source):
+        m = START.search(source, at)
         if not m:
+            text(len(source))
             break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        if m[2]:
+            stop = ends.of(m.end())
+        elif m[0] == "<!--":
+            stop = source.find("-->", m.end())
+            stop = len(source) if stop < 0 else stop + 2
+        else:
+            stop = source.find(">", m.end()) if m.end() <= ends.last else -1
+        if stop < 0:  # begins no tag: text
+            text(m.end())
+            at = m.end()
+            continue
+        text(m.start())
+        at = stop + 1
+        name = (m[2] or "").lower()
         if not name:
             continue
-        end, attrs = (m[1] or m[4]) == "/", m[3] or m[6] or ""
+        end, attrs = m[1] == "/", source[m.end() : stop]
         if name in RAW:
             if not end and not attrs.endswith("/"):
                 stop = RAW_END[name].search(source, at)
@@ -121,13 +174,14 @@ def parse(source: str) -> Page:
             if name in IMPLIED:
                 close(*IMPLIED[name])
             flush()
-            a = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(attrs)}
+            a = {k.lower(): v.strip("\"'") for k, v in ATTR.findall(attrs) if v}
             node = len(p.tag)
             p.tag.append(name)
             p.words.append(tuple(w.lower() for w in CLASS_WORD.findall(" ".join(a.get(k, "") for k in ("class", "id", "role", "itemprop", "aria-label")))))
             p.parent.append(stack[-1])
             p.depth.append(p.depth[stack[-1]] + 1)
             p.label.append(int(a["data-y"]) if a.get("data-y") in ("0", "1") else p.label[stack[-1]])
+            places.setdefault(name, []).append(len(stack))
             stack.append(node)
     flush()
     return p

@@ -1,5 +1,7 @@
 """Raw elements end where their end tag stands."""
 
+import time
+
 import pytest
 
 from geoloom.llm import htmltext
@@ -18,3 +20,25 @@ def test_letters_that_lower_to_two_do_not_move_the_end():
 def test_other_elements_keep_their_text_and_what_follows(name):
     assert " ".join(texts(f"<p>a <{name}>b</{name}> c</p>")) == "a b c"
     assert texts(f"<p><{name}></p><p>Second.</p>") == ["Second."]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a <a'", "<a \"'>", "<aaa", "<div>", "<p><table>", "<!", "<a b='", "<div a", "</p", "<li><b>", "a=\"", "<?x "])
+def test_a_megabyte_of_odd_markup_takes_linear_time(unit):
+    began = time.perf_counter()
+    htmltext.parse(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - began < 8
+    began = time.perf_counter()
+    htmltext.parse("<div " + unit * (1_000_000 // len(unit)) + ">x</div>")
+    assert time.perf_counter() - began < 8
+
+
+def test_a_very_long_page_keeps_all_text():
+    words = " ".join(f"word{i}" for i in range(200_000))
+    page = f"<html><body><article><h1>A title of the page</h1>{'<p>Some longer sentence of the text.</p>' * 2000}<p>{words}.</p></article></body></html>"
+    out = htmltext.texts([page], htmltext.trained(htmltext.labelled_pages(120)))[0].split("\n")
+    assert len(out) == 2002 and out[-1] == words + "."
+
+
+def test_quotes_hide_ends_of_tags():
+    assert texts("<p title='a > b' class=\"x>y\">One.</p><p a='>Two.</p>") == ["One.", "Two."]
+    assert texts("a < b <c") == ["a < b <c"]
