@@ -2,46 +2,66 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again for the next
 one. All but the last return the columns of documents.
+
+Defined results of every stage: columns that a stage does not need travel beside it in one struct, so names that clash with an
+operator's own come back as they were; an empty table gives no rows; a null text is an empty one (and goes in the first
+stage, as it has no letters); texts of any length are worked on whole; repeated rows are rows like any other, but of rows
+that share a doc_id near_dedup keeps one, and rows without a doc_id all stay there.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm import common, decontaminate, langid, packing, pii, shingles
 
-#: Shingles of five words. BITS, HALVES and FULL (bits of one half, halves, bits of all) are what the stage estimated similarity by before it compared the sets; simhash.deduplicated still takes them.
-SHINGLE, BITS, HALVES, FULL = 5, 8, 2, 23
+#: The near-duplicate stage compares sets of shingles of five words.
+SHINGLE = 5
+
+
+def aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with all but the used columns in one struct of a new name, and what brings the columns back."""
+    name, others = f"c{uuid.uuid4().hex}", [c for c in docs.columns if c not in used]
+    if not others:
+        return docs, lambda df: df.select(*docs.columns)
+    packed = docs.select(*[c for c in docs.columns if c in used], F.struct(*[F.col(f"`{c}`") for c in others]).alias(name))
+    return packed, lambda df: df.select(*[F.col(name).getField(c).alias(c) if c in others else F.col(c) for c in docs.columns])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without any letter; a missing lang becomes the predicted one, and stays missing where nothing could be learned from."""
+    """Drops texts without any letter (null texts too); a missing lang becomes the predicted one, and stays missing where nothing could be learned from."""
     model = langid.learned(docs, ~langid.held_out(), common.tokenizer_path(langid.VOCABULARY))
     if not model[0]:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = langid.identified(docs, model).where(F.col("lang_pred") != "und")
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    packed, back = aside(docs, "text", "lang")
+    found = langid.identified(packed, model).where(F.col("lang_pred") != "und")
+    return back(found.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies: what links of 0.8 or more of shingle sets connect."""
-    return shingles.deduplicated(docs, SHINGLE)
+    """Keeps the document with the smallest doc_id of each group of near copies: what links of 0.8 or more of shingle sets connect. Pigeonring over SimHash fingerprints proposes pairs, a prefix filter the rest, and each is compared by its full sets."""
+    packed, back = aside(docs, "doc_id", "text")
+    return back(shingles.deduplicated(packed, SHINGLE))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
-    return decontaminate.scanned(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.size("hit_runs") == 0).select(*docs.columns)
+    """Drops documents that hold a window of a benchmark item; a null text has none and stays."""
+    packed, back = aside(docs, "text")
+    return back(decontaminate.scanned(packed, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.size("hit_runs") == 0))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in texts by the name of its kind."""
+    """Replaces personal data in texts by the name of its kind; n_chars, where there is one, is counted anew."""
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def packs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Length buckets and token-budget batches of what is left."""
+    """Length buckets and token-budget batches of what is left: the other columns of documents, without text, and where each row goes; of clashing names, the new column stays."""
     return packing.packed(docs)
 
 
@@ -53,7 +73,7 @@ STAGES = [
     ("packing", packs),
 ]
 
-#: SQL expresses neither the language model nor the fingerprints; tests/llm/test_pipeline.py has brute-force versions.
+#: SQL expresses neither the language model nor the bootstrapped patterns; tests/llm/test_pipeline.py has brute-force versions.
 ORACLE_SQL = None
 
 
