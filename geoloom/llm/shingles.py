@@ -9,7 +9,9 @@ decides how many others meet.
 
 Groups of near copies are dense, so pairs come in two turns. First come the pigeonring pairs, and each prefix group
 links its members to one of them; what is then checked and joined to components is tried no more. The second turn takes
-every pair of a prefix group that still lies in two components, so that the components are those of all pairs.
+every pair of a prefix group that still lies in two components, so that the components are those of all pairs. Of these,
+only pairs go on whose bitmaps (parities of the shingles by hash) allow the overlap: each differing bit is a shingle that
+one set alone has, so the bound is exact.
 
 Defined results: a null text has no shingles, as an empty one, and equal sets are copies; fewer words than the shingle
 size give one shingle; of rows that share a doc_id one stays (the first text in order) before anything is compared; rows
@@ -32,12 +34,19 @@ SHARE = (4, 5)
 #: Texts that the order of shingles is estimated from, how often one must occur there to be put last, and how many of those are kept at most. Results don't depend on them.
 SAMPLE, OFTEN, KNOWN = 5_000, 3, 200_000
 PAIRS = 1_000_000
+#: Bits of a set's bitmap, a power of two.
+BITS = 1024
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
     return np.unique(simhash.shingles(text, words))
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Which hash classes hold an odd number of a set's shingles."""
+    return np.packbits(np.bincount((s >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
 def sets(docs: DataFrame, words: int) -> DataFrame:
     """id, shingles (sorted, as signed longs) of each row."""
 
@@ -61,7 +70,7 @@ def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def marked(docs: DataFrame, words: int) -> DataFrame:
-    """id, digest of the set, n (its size), fp (its SimHash), first (the shingles of its prefix in order) of each row."""
+    """id, digest of the set, n (its size), fp (its SimHash), bitmap, first (the shingles of its prefix in order) of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     p, q = SHARE
 
@@ -70,7 +79,7 @@ def marked(docs: DataFrame, words: int) -> DataFrame:
 
         known, often = sent.value
         for b in batches:
-            digest, size, first, fp = [], [], [], []
+            digest, size, first, fp, odd = [], [], [], [], []
             for t in common.text_bytes(b.column(1)):
                 s = shingle_set(t, words)
                 n = len(s)
@@ -81,10 +90,11 @@ def marked(docs: DataFrame, words: int) -> DataFrame:
                 digest.append(xxh128_digest(s.tobytes()))
                 size.append(n)
                 fp.append(simhash.bits(s))
+                odd.append(bitmap(s))
                 first.append(s[np.argsort(rank, kind="stable")][: n - -(-p * n // q) + 1 if n else 0].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(first, pa.list_(pa.int64()))], names=["id", "digest", "n", "fp", "first"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(odd, pa.binary()), pa.array(first, pa.list_(pa.int64()))], names=["id", "digest", "n", "fp", "bitmap", "first"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(run, "id long, digest binary, n long, fp long, first array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(run, "id long, digest binary, n long, fp long, bitmap binary, first array<long>")
 
 
 def groups(run: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -130,18 +140,28 @@ def stars(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield paired(i[a[ok]], i[b[ok]])
 
 
+def mixed(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The groups that have members of several labels."""
+    for c in groups(run):
+        edge = np.concatenate(([0], np.flatnonzero(np.diff(c[0])) + 1))
+        ok = np.repeat(np.minimum.reduceat(c[4], edge) < np.maximum.reduceat(c[4], edge), np.diff(np.append(edge, len(c[0]))))
+        yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in c], names=["h", "id", "n", "at", "label"])
+
+
 def apart(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of a group's members that have different labels."""
-    for h, i, n, at, label in groups(run):
+    """All pairs of a group's members that have different labels and whose bitmaps allow the overlap."""
+    p, q = SHARE
+    for h, i, n, at, label, odd in groups(run):
+        bits = np.frombuffer(b"".join(odd), np.uint64).reshape(len(h), -1)
         edge = np.concatenate(([0], np.flatnonzero(np.diff(h)) + 1, [len(h)]))
         a, b, held = [], [], 0
         for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            if hi - lo < 2 or (label[lo:hi] == label[lo]).all():
-                continue
             for x in range(lo, hi - 1):
                 y = np.arange(x + 1, hi)
                 y = y[label[y] != label[x]]
                 y = y[possible(n, at, np.full(len(y), x), y)]
+                both = n[x] + n[y]
+                y = y[(both - np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)) * (p + q) >= 2 * p * both]
                 a.append(np.full(len(y), i[x]))
                 b.append(i[y])
                 held += len(y)
@@ -195,7 +215,8 @@ def near_copies(docs: DataFrame, words: int) -> DataFrame:
     good = common.written(verified(docs, tried, words))
     part = simhash.components(good)
     named = met.join(part.select(F.col("node").alias("id"), "label"), "id", "left").select("h", "id", "n", "at", F.coalesce("label", "id").alias("label"))
-    rest = common.written(sorted_by_group(named).mapInArrow(apart, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
+    open_groups = sorted_by_group(named).mapInArrow(mixed, "h long, id long, n long, at long, label long").join(marks.select("id", "bitmap"), "id").select("h", "id", "n", "at", "label", "bitmap")
+    rest = common.written(sorted_by_group(open_groups).mapInArrow(apart, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
     more = common.written(verified(docs, rest, words))
     if not more.isEmpty():
         part = simhash.components(good.union(more))
