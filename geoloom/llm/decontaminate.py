@@ -17,6 +17,7 @@ column named as a new one gives way to it.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -72,7 +73,7 @@ def scan(text: bytes, found) -> tuple[int, list[tuple[int, int]], set[str]]:
     if not w or found is None:
         return len(w), [], set()
     numbers, a = found
-    hits = list(a.iter(tuple([numbers.get(x, 0) for x in w])))
+    hits = list(a.iter(tuple(map(numbers.get, w, itertools.repeat(0)))))
     if not hits:
         return len(w), [], set()
     ends = np.array([e for e, _ in hits]) + 1
