@@ -25,31 +25,34 @@ MESSAGE = "batch long, part int, kind string, blob binary"
 
 
 def split(texts: DataFrame, size: int = SIZE) -> DataFrame:
-    """batch, n_bytes, blob (doc ids, whether an id is null, flag, lengths, bytes) from a table of doc_id, text, flag (boolean)."""
+    """batch, turn, n_bytes, blob (doc ids, whether an id is null, flag, lengths, bytes) from a table of doc_id, text, flag (boolean) and, where texts of different turns go into different batches, turn (int)."""
     common.ship(texts.sparkSession)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, nulls, flag, parts, total, number = [], [], [], [], 0, 0
-
-        def made() -> pa.RecordBatch:
-            blob = common.pack(np.array(ids, np.int64), np.array(nulls, bool), np.array(flag, bool), np.array([len(p) for p in parts], np.int64), np.frombuffer(b"".join(parts), np.uint8))
-            return pa.RecordBatch.from_arrays([pa.array([(common.part_id() << 32) + number], pa.int64()), pa.array([total], pa.int64()), pa.array([blob], pa.binary())], names=["batch", "n_bytes", "blob"])
+        held: dict[int, list[tuple[int | None, bytes, bool]]] = {}
+        sizes: dict[int, int] = {}
+        number = 0
+
+        def made(turn: int) -> pa.RecordBatch:
+            nonlocal number
+            got, total = held.pop(turn), sizes.pop(turn)
+            ids = np.array([NO_ID if i is None else i for i, _, _ in got], np.int64)
+            blob = common.pack(ids, np.array([i is None for i, _, _ in got]), np.array([f for _, _, f in got], bool), np.array([len(t) for _, t, _ in got], np.int64), np.frombuffer(b"".join(t for _, t, _ in got), np.uint8))
+            number += 1
+            return pa.RecordBatch.from_arrays([pa.array([(common.part_id() << 32) + number], pa.int64()), pa.array([turn], pa.int32()), pa.array([total], pa.int64()), pa.array([blob], pa.binary())], names=["batch", "turn", "n_bytes", "blob"])
 
         for b in rows:
-            for i, t, f in zip(b.column(0).to_pylist(), common.text_bytes(b.column(1)), b.column(2).to_pylist(), strict=True):
-                if parts and total + len(t) > size:
-                    yield made()
-                    ids, nulls, flag, parts, total, number = [], [], [], [], 0, number + 1
-                ids.append(NO_ID if i is None else i)
-                nulls.append(i is None)
-                flag.append(bool(f))
-                parts.append(t)
-                total += len(t)
-        if parts:
-            yield made()
-
+            for i, t, f, turn in zip(b.column(0).to_pylist(), common.text_bytes(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if turn in held and sizes[turn] + len(t) > size:
+                    yield made(turn)
+                held.setdefault(turn, []).append((i, t, bool(f)))
+                sizes[turn] = sizes.get(turn, 0) + len(t)
+        for turn in sorted(held):
+            yield made(turn)
+
+    turn = F.col("turn").cast("int") if "turn" in texts.columns else F.lit(0)
     buckets = min(4096, max(8, 2 * texts.rdd.getNumPartitions()))
-    return common.bucketed(texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "flag").mapInArrow(run, "batch long, n_bytes long, blob binary"), "batch", buckets)
+    return common.bucketed(texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "flag", turn.alias("turn")).mapInArrow(run, "batch long, turn int, n_bytes long, blob binary"), "batch", buckets)
 
 
 def opened(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
@@ -105,6 +108,18 @@ def answered(requests: DataFrame, answer: Callable[[int, list[tuple[int, str, by
     return common.written(requests.groupBy("part").applyInArrow(run, MESSAGE))
 
 
+def continued(requests: DataFrame, before: DataFrame | None, answer: Callable[[int, list[tuple[int, str, bytes]], list[tuple[int, str, bytes]]], list[tuple[int, int, str, bytes]]]) -> DataFrame:
+    """answered() with what the ranges wrote before (rows of MESSAGE in a table bucketed by range, which stay where they are): answer(range, requests, before) gives rows of MESSAGE, a table bucketed by range again."""
+    spark = requests.sparkSession
+
+    def run(key: tuple, new: pa.Table, old: pa.Table) -> pa.Table:
+        got = [sorted(zip(t.column("batch").to_pylist(), t.column("kind").to_pylist(), t.column("blob").to_pylist(), strict=True), key=lambda x: x[:2]) for t in (new, old)]
+        return messages(answer(key[0].as_py(), *got))
+
+    old = before if before is not None else spark.createDataFrame([], MESSAGE)
+    return common.bucketed(requests.groupBy("part").cogroup(old.groupBy("part")).applyInArrow(run, MESSAGE), "part", int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def together(table: DataFrame, responses: DataFrame, use: Callable[[int, bytes, dict[str, dict[int, bytes]]], pa.Table], schema: str) -> DataFrame:
     """use(batch, blob, {kind: {range: blob}}) for every batch with its responses. Batches stay where they are; only responses are shuffled."""
 

@@ -27,7 +27,7 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.report(table(spark, sf_dir, "documents")).drop("kept")
+    return suffixes.report(table(spark, sf_dir, "documents"), kept=False)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,26 +2,33 @@
 
 Removed is each byte covered by a string of LONG bytes that also starts in a document with a smaller doc_id.
 
-A full suffix array of the corpus holds every position. Here suffixes are kept where they can matter: each window of
-LONG bytes elects one anchor (the least hash among its strings of GRAM bytes), so equal windows elect equal anchors
-wherever they stand. A first exchange finds the anchors that several batches have; only windows that elect one of those,
-or one that several documents of their own batch have, are indexed.
-
-In each hash range of anchors, every batch's windows become a suffix array: sorted by the hash of their first LONG
-bytes, one entry for each different window, with the smallest doc_id that has it. Arrays are folded into a family of
-levels, where level i holds 2**i batches and two equal levels merge into the next. Each batch is then scanned against
-all levels: a window that some level has from a smaller doc_id, with the same bytes, is marked. Marks go back to the
-batches as bits. Copies inside a batch are found by the same sorting in the batch itself.
+A suffix array of every position would be many times the corpus. Here it is sparse: each window of LONG bytes elects one
+anchor (the least hash among its strings of GRAM bytes), so equal windows elect equal anchors at the same place in them,
+and only suffixes that begin at anchors are kept. An entry is the suffix's first LONG bytes at most and what stands
+before it, as far as windows that elect this anchor reach; entries are in byte order of their suffixes, then of what stands
+before, read backwards. A window that begins k bytes before its anchor is in two entries where their suffixes agree in
+LONG - k bytes and what stands before agrees in k: both are runs of a sorted order, found from the common prefixes of
+neighbours. Bytes are compared, never hashes; a hash only says which range an anchor's entries meet in.
+
+Documents come in generations by doc_id, each a new batch of the family. In each hash range a generation's entries are
+sorted to an array, which is merge-scanned against the array of each existing level; whatever a level has is a match, as its documents
+come before. Then the array becomes level 0, and two arrays of one level merge, in one linear pass, into the next. Levels
+are tables, bucketed by range: the next generation reads them where they lie. `Family` keeps them for batches that come
+later, `report` takes a whole table at once; there, anchors that one batch of texts alone has are not indexed.
+
+Copies inside a batch of texts are found by the same arrays in the batch itself, and its equal entries travel once. An anchor
+that HOT batches have is dealt by the second hash of its windows too, so no range gets all of a common string's surroundings.
 
 Defined results: null and empty texts have no bytes; rows with one doc_id never match each other; a null doc_id counts
 as larger than all others, and null ids never match each other; documents shorter than LONG are kept whole; other
-columns are not read.
+columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +41,10 @@ LONG, GRAM = 50, 24
 WINDOW = LONG - GRAM + 1
 #: Bytes looked at together; anchors' places must fit the low bits of their sort key.
 PIECE_BITS = 20
+#: Generations that report() cuts a table into.
+GENERATIONS = 4
+#: An anchor that this many batches of texts have is dealt to several ranges.
+HOT = 256
 
 _rng = np.random.default_rng(77)
 _BYTE = _rng.integers(0, (1 << 64) - 1, 256, np.uint64, endpoint=True)
@@ -87,15 +98,16 @@ def pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
         yield group
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring windows with one anchor: anchor hash (mixed anew, as elected hashes are small), text, first and last window start in it."""
-    out: list[list[np.ndarray]] = [[], [], [], []]
+def anchors(texts: list[bytes], again: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring windows with one anchor: anchor hash (mixed anew, as elected hashes are small), text, first and last window start in it, and the anchor's place. again: another election."""
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
     low = np.uint64((1 << PIECE_BITS) - 1)
     for group in pieces(texts):
         sizes = np.array([len(p) for _, _, p in group])
         buf = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
         owner = np.repeat(np.arange(len(group)), sizes)
         g = string_hash(doubled(buf, GRAM), GRAM)
+        g = tokens.mix(g) if again else g
         least = sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), WINDOW)
         s = np.flatnonzero(owner[: len(buf) - LONG + 1] == owner[LONG - 1 :])
         a = (least[s] & low).astype(np.int64)
@@ -104,9 +116,9 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         last = np.concatenate((first[1:], [len(s)])) - 1
         at = owner[s[first]]
         shift = np.array([p for _, p, _ in group])[at] - (np.cumsum(sizes) - sizes)[at]
-        for x, y in zip(out, (tokens.mix(g[a[first]]), np.array([i for i, _, _ in group])[at], s[first] + shift, s[last] + shift), strict=True):
+        for x, y in zip(out, (tokens.mix(g[a[first]]), np.array([i for i, _, _ in group])[at], s[first] + shift, s[last] + shift, a[first] + shift), strict=True):
             x.append(y)
-    return tuple(np.concatenate(x) if x else np.zeros(0, d) for x, d in zip(out, (np.uint64, np.int64, np.int64, np.int64), strict=True))
+    return tuple(np.concatenate(x) if x else np.zeros(0, d) for x, d in zip(out, (np.uint64, np.int64, np.int64, np.int64, np.int64), strict=True))
 
 
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -116,65 +128,120 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return base + np.arange(total)
 
 
-def window_hashes(buf: np.ndarray) -> np.ndarray:
-    """Hash of each window of buf, by pieces."""
-    out, step = [], 1 << PIECE_BITS
-    for at in range(0, max(0, len(buf) - LONG + 1), step):
-        out.append(string_hash(doubled(buf[at : at + step + LONG - 1], LONG), LONG))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+class Entries(NamedTuple):
+    """Suffixes at anchors: document, bytes before the anchor and from it on, and these bytes: the suffix (LONG columns) and what stands before it, backwards (WINDOW - 1 columns), filled up with zeros."""
 
+    doc: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    suffix: np.ndarray
+    before: np.ndarray
 
-def same(buf: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether the windows at a and b have the same bytes."""
-    ok, cols = np.ones(len(a), bool), np.arange(LONG)
-    for at in range(0, len(a), 50_000):
-        part = slice(at, at + 50_000)
-        ok[part] = (buf[a[part][:, None] + cols] == buf[b[part][:, None] + cols]).all(axis=1)
-    return ok
+    def take(self, i: np.ndarray) -> Entries:
+        return Entries(*(x[i] for x in self))
 
+    def keys(self) -> np.ndarray:
+        """Strings in the order of the entries; the last byte is never zero."""
+        return np.ascontiguousarray(np.hstack((self.suffix, self.before, self.right[:, None], self.left[:, None] + np.uint8(1)))).view(f"S{LONG + WINDOW + 1}").ravel()
 
-def suffix_array(h: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows sorted by hash, one entry each, with the smallest doc."""
-    order = np.argsort(h)
-    h, doc, at = h[order], doc[order], at[order]
-    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else order
-    size = np.diff(np.append(first, len(h)))
-    least = first.copy()
-    several = np.flatnonzero(size > 1)
-    if len(several):  # in each run of equal hashes, the place of the smallest doc
-        n = size[several]
-        place, run = spread(first[several], n), np.repeat(np.arange(len(several)), n)
-        best = np.lexsort((doc[place], run))[np.cumsum(n) - n]
-        least[several] = place[best]
-    return h[first], doc[least], at[least]
+    def packed(self) -> bytes:
+        size = self.left.astype(np.int64) + self.right
+        both = np.hstack((self.before[:, ::-1], self.suffix))
+        raw = both.ravel()[spread(np.arange(len(size)) * both.shape[1] + WINDOW - 1 - self.left, size)] if len(size) else both.ravel()
+        return common.pack(self.doc, self.left, self.right, raw)
 
 
-class Family:
-    """Levels of suffix arrays; level i holds 2**i batches or nothing."""
-
-    def __init__(self) -> None:
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = []
-
-    def add(self, array: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        """Takes in a batch's array; equal levels merge into the next."""
-        for i, level in enumerate(self.levels):
-            if level is None:
-                self.levels[i] = array
-                return
-            array = suffix_array(*(np.concatenate(x) for x in zip(level, array, strict=True)))
-            self.levels[i] = None
-        self.levels.append(array)
-
-    def scan(self, h: np.ndarray, doc: np.ndarray, at: np.ndarray, buf: np.ndarray) -> np.ndarray:
-        """Which windows some level has, byte for byte, from a smaller doc. Quickest where h ascends, so that batch and level are merged."""
-        hit = np.zeros(len(h), bool)
-        for level in self.levels:
-            if level is None or not len(level[0]):
-                continue
-            k = np.minimum(np.searchsorted(level[0], h), len(level[0]) - 1)
-            found = np.flatnonzero((level[0][k] == h) & (level[1][k] < doc) & ~hit)
-            hit[found[same(buf, at[found], level[2][k[found]])]] = True
+def entries(buf: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> Entries:
+    """Entries with anchors at places of buf."""
+    suffix, before = np.zeros((len(at), LONG), np.uint8), np.zeros((len(at), WINDOW - 1), np.uint8)
+    for lo in range(0, len(at), 50_000):
+        own = slice(lo, lo + 50_000)
+        for out, n, place in ((suffix, right, at[own, None] + np.arange(LONG)), (before, left, at[own, None] - 1 - np.arange(WINDOW - 1))):
+            out[own] = np.where(np.arange(out.shape[1]) < n[own, None], buf[np.clip(place, 0, len(buf) - 1)], 0)
+    return Entries(doc, left.astype(np.uint8), right.astype(np.uint8), suffix, before)
+
+
+def unpacked(blobs: list[bytes]) -> Entries:
+    """Entries of several blobs, one after another."""
+    doc, left, right, raw = (np.concatenate(x) for x in zip(*map(common.unpack, blobs), strict=True))
+    size = left.astype(np.int64) + right
+    return entries(raw, doc, left, right, np.cumsum(size) - size + left)
+
+
+def numbers(rows: np.ndarray) -> list[np.ndarray]:
+    """Columns of bytes as big-endian numbers, eight bytes each."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    return list(wide.view(">u8").astype(np.uint64).T)
+
+
+def byte_order(e: Entries) -> np.ndarray:
+    """The order of keys()."""
+    ends = e.right.astype(np.int64) << 8 | e.left
+    return np.lexsort((ends, *reversed(numbers(e.before)), *reversed(numbers(e.suffix))))
+
+
+def common_prefix(rows: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of each row with the next."""
+    differ = rows[1:] != rows[:-1]
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+
+
+def runs_of(first: np.ndarray) -> np.ndarray:
+    """Numbers of runs, from whether each place after the first begins one."""
+    return np.concatenate(([0], np.cumsum(first)))
+
+
+def scanned(e: Entries, rank: np.ndarray) -> np.ndarray:
+    """Of entries in byte order: which windows (a column for each number of bytes before the anchor) another entry with a smaller rank has too."""
+    hit = np.zeros((len(e.doc), WINDOW), bool)
+    if len(e.doc) < 2:
         return hit
+    gram = runs_of(common_prefix(e.suffix[:, :GRAM]) < GRAM)
+    edge = np.flatnonzero(np.diff(gram, prepend=-1))
+    on = np.flatnonzero((np.minimum.reduceat(rank, edge) < np.maximum.reduceat(rank, edge))[gram])
+    if not len(on):
+        return hit
+    e, rank = e.take(on), rank[on]
+    after = common_prefix(e.suffix)
+    order = np.lexsort(tuple(reversed(numbers(e.before))))
+    ahead = common_prefix(e.before[order])
+    for k in range(WINDOW):
+        have = np.flatnonzero((e.left >= k) & (e.right >= LONG - k))
+        if not len(have):
+            continue
+        side = np.empty(len(on), np.int64)
+        side[order] = runs_of(ahead < k)
+        key = runs_of(after < LONG - k)[have] * len(on) + side[have]
+        by = np.argsort(key)
+        first = np.flatnonzero(np.diff(key[by], prepend=-1))
+        r = rank[have[by]]
+        hit[on[have[by]], k] = np.repeat(np.minimum.reduceat(r, first), np.diff(np.append(first, len(by)))) < r
+    return hit
+
+
+def once(e: Entries) -> tuple[Entries, np.ndarray]:
+    """Of entries in byte order, each different one with its smallest doc; and which of them each entry is."""
+    if not len(e.doc):
+        return e, np.zeros(0, np.int64)
+    k = e.keys()
+    run = runs_of(k[1:] != k[:-1])
+    first = np.flatnonzero(np.diff(run, prepend=-1))
+    return e.take(first)._replace(doc=np.minimum.reduceat(e.doc, first)), run
+
+
+def merged(a: Entries, b: Entries) -> tuple[Entries, np.ndarray]:
+    """Two arrays in byte order as one, and where each entry comes from (places in a, then in b). A stable sort finds the two runs and merges them in one pass."""
+    order = np.argsort(np.concatenate((a.keys(), b.keys())), kind="stable")
+    return Entries(*(np.concatenate(x)[order] for x in zip(a, b, strict=True))), order
+
+
+def carried(levels: dict[int, Entries], array: Entries) -> dict[int, Entries]:
+    """Levels with a new array: level i holds 2**i batches or nothing, and two equal levels merge into the next."""
+    levels, i = dict(levels), 0
+    while i in levels:
+        array, i = once(merged(levels.pop(i), array)[0])[0], i + 1
+    return levels | {i: array}
 
 
 class Batch:
@@ -184,60 +251,49 @@ class Batch:
         self.ids, self.nulls, _, texts = batches.opened(blob)
         self.texts = texts
         self.start = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        self.h, self.text, self.first, self.last = anchors(texts)
-        self.keys, self.key, self.order, self.edge = tokens.distinct(self.h)
-
-    def shared(self, masks: dict[int, bytes], parts: int) -> np.ndarray:
-        """Which runs have an anchor that other batches have too."""
+        self.buffer = np.frombuffer(b"".join(texts), np.uint8)
+        self.h, self.text, self.first, self.last, self.at = anchors(texts)
+        self.keys, self.key, order, edge = tokens.distinct(self.h)
+        ids = self.ids[self.text[order]]
+        self.own = np.minimum.reduceat(ids, edge) < np.maximum.reduceat(ids, edge) if len(edge) else np.zeros(0, bool)
+
+    def told(self, by: dict[int, bytes], parts: int) -> np.ndarray:
+        """Which anchors ranges say something of."""
         on = np.zeros(len(self.keys), bool)
         for k, lo, hi in batches.slices_of(self.keys, parts):
-            if k in masks:
-                on[lo:hi] = np.unpackbits(np.frombuffer(masks[k], np.uint8), count=hi - lo)
-        return on[self.key]
-
-    def contexts(self, runs: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The different strings that the chosen runs' windows cover, by hash range: range, place in the batch, length, smallest doc (copies inside the batch are one); then the places of all of that doc's runs, and which string each of them is."""
-        at, size = self.start[self.text[runs]] + self.first[runs], self.last[runs] - self.first[runs] + LONG
-        buf = self.buffer()
-        h = np.zeros(len(runs), np.uint64)
-        edge = np.searchsorted(at, np.arange(0, len(buf) + 1, 1 << PIECE_BITS)) if len(at) and (np.diff(at) >= 0).all() else np.array([0])
-        edge = np.append(edge, len(at))
-        for lo, hi in zip(edge[:-1], edge[1:], strict=True):
-            if hi > lo:
-                a, e = at[lo:hi], at[lo:hi] + size[lo:hi]
-                h[lo:hi] = tokens.hashes(buf[a[0] : e.max()], a - a[0], e - a[0])
-        order = np.lexsort((self.ids[self.text[runs]], size, h, batches.parts_of(self.h[runs], parts)))
-        ho, so = h[order], size[order]
-        new = np.concatenate(([True], (ho[1:] != ho[:-1]) | (so[1:] != so[:-1]))) if len(order) else np.zeros(0, bool)
-        keep, string, ids = order[new], np.cumsum(new) - 1, self.ids[self.text[runs]]
-        least = ids[order] == ids[keep][string]
-        return batches.parts_of(self.h[runs[keep]], parts), at[keep], size[keep], ids[keep], at[order[least]], string[least]
-
-    def buffer(self) -> np.ndarray:
-        return np.frombuffer(b"".join(self.texts), np.uint8)
-
-    def own_copies(self) -> np.ndarray:
-        """Starts (in the batch) of windows that a text with a smaller id in the batch has too."""
-        ids, first = self.ids[self.text[self.order]], self.edge
-        several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first) if len(first) else first > 0
-        runs = np.flatnonzero(several[self.key])
-        runs = runs[np.lexsort((self.first[runs], self.text[runs]))]
-        count = self.last[runs] - self.first[runs] + 1
-        at = spread(self.start[self.text[runs]] + self.first[runs], count)
-        if not len(at):
-            return at
-        buf, doc = self.buffer(), np.repeat(self.ids[self.text[runs]], count)
-        hashes = window_hashes(buf)[at]
-        key, least, place = suffix_array(hashes, doc, at)
-        k = np.searchsorted(key, hashes)
-        found = np.flatnonzero(least[k] < doc)
-        return at[found[same(buf, at[found], place[k[found]])]]
-
-
-def report(docs: DataFrame, size: int = batches.SIZE, range_size: int = batches.RANGE) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay) of each row."""
-    table = batches.split(docs.select("doc_id", "text", F.lit(False).alias("flag")), size)
-    parts = batches.ranges(table, range_size)
+            if k in by:
+                on[lo:hi] = np.unpackbits(np.frombuffer(by[k], np.uint8), count=hi - lo)
+        return on
+
+    def indexed(self, by: dict, parts: int, closed: bool) -> tuple[Entries, np.ndarray, np.ndarray, np.ndarray]:
+        """Entries in byte order of the runs whose anchor several documents have (all runs where the table is not closed), with their anchors' places in the buffer, the ranges they go to, and whether they go at all."""
+        shared = self.told(by.get("shared", {}), parts) if closed else np.ones(len(self.keys), bool)
+        runs = np.flatnonzero((shared | self.own)[self.key])
+        hot = self.told(by.get("hot", {}), parts)[self.key[runs]]
+        h, text, first, last, at, sent = self.h[runs], self.text[runs], self.first[runs], self.last[runs], self.at[runs], shared[self.key[runs]]
+        if hot.any():
+            far = np.flatnonzero(hot)
+            strings = [self.texts[t][f : n + LONG] for t, f, n in zip(text[far].tolist(), first[far].tolist(), last[far].tolist(), strict=True)]
+            h2, s, f2, n2, _ = anchors(strings, again=True)
+            s = far[s]
+            near = np.flatnonzero(~hot)
+            join = lambda x, y: np.concatenate((x[near], y))
+            h, text, first, last, at, sent = join(h, tokens.mix(h[s] ^ h2)), join(text, text[s]), join(first, first[s] + f2), join(last, first[s] + n2), join(at, at[s]), join(sent, sent[s])
+        place = self.start[text] + at
+        e = entries(self.buffer, self.ids[text], at - first, last + LONG - at, place)
+        order = byte_order(e)
+        return e.take(order), place[order], batches.parts_of(h[order], parts), sent[order]
+
+    def asked(self, by: dict, parts: int, closed: bool) -> tuple[Entries, np.ndarray, np.ndarray, Entries, np.ndarray, np.ndarray]:
+        """indexed() entries and places; which of the different entries each is; these, their ranges, and whether they are sent."""
+        e, place, part, sent = self.indexed(by, parts, closed)
+        unique, run = once(e)
+        first = np.flatnonzero(np.diff(run, prepend=-1))
+        return e, place, run, unique, part[first], sent[first]
+
+
+def wanted(table: DataFrame, parts: int, hot: int = HOT) -> DataFrame:
+    """What ranges say of anchors: `shared` by several batches, and `hot` ones."""
 
     def ask(batch: int, blob: bytes) -> list[tuple[int, int, str, bytes]]:
         keys = Batch(blob).keys
@@ -246,73 +302,118 @@ def report(docs: DataFrame, size: int = batches.SIZE, range_size: int = batches.
     def several(part: int, got: list[tuple[int, str, bytes]]) -> list[tuple[int, int, str, bytes]]:
         arrays = [common.unpack(blob)[0] for _, _, blob in got]
         key, times = np.unique(np.concatenate(arrays), return_counts=True)
-        key = key[times > 1]
-        masks = [np.isin(a, key, assume_unique=True) for a in arrays]
-        return [(b, part, "shared", np.packbits(m).tobytes()) for (b, _, _), m in zip(got, masks, strict=True) if m.any()]
+        out = []
+        for kind, least in (("shared", 2), ("hot", hot)):
+            chosen = key[times >= least]
+            masks = [np.isin(a, chosen, assume_unique=True) for a in arrays] if len(chosen) else []
+            out += [(b, part, kind, np.packbits(m).tobytes()) for (b, _, _), m in zip(got, masks, strict=False) if m.any()]
+        return out
+
+    return batches.answered(batches.asked(table, ask), several)
+
 
-    shared = batches.answered(batches.asked(table, ask), several)
+def taken(table: DataFrame, told: DataFrame, before: DataFrame | None, parts: int, closed: bool, keep: bool) -> DataFrame:
+    """One generation (a table of batches): its marks against itself and the levels before, and, if they are to be kept, the levels with it."""
 
     def contexts(batch: int, blob: bytes, by: dict) -> pa.Table:
-        b = Batch(blob)
-        part, at, length, doc, _, _ = b.contexts(np.flatnonzero(b.shared(by.get("shared", {}), parts)), parts)
-        buf, rows = b.buffer(), []
-        for k in np.unique(part):
-            own = part == k
-            rows.append((batch, int(k), "contexts", common.pack(doc[own], length[own].astype(np.int32), buf[spread(at[own], length[own])])))
+        _, _, _, e, part, sent = Batch(blob).asked(by, parts, closed)
+        rows = []
+        for k in np.unique(part[sent]):
+            rows.append((batch, int(k), "contexts", e.take(np.flatnonzero((part == k) & sent)).packed()))
         return batches.messages(rows)
 
-    def scan(part: int, got: list[tuple[int, str, bytes]]) -> list[tuple[int, int, str, bytes]]:
-        every = [common.unpack(blob) for _, _, blob in got]
-        buf = np.concatenate([raw for _, _, raw in every])
-        family, arrays, orders, at = Family(), [], [], 0
-        hashes = window_hashes(buf)
-        for doc, length, raw in every:
-            ends = np.cumsum(length)
-            count = length - LONG + 1
-            place = at + spread(ends - length, count)
-            h, doc = hashes[place], np.repeat(doc, count)
-            order = np.argsort(h)
-            arrays.append((h[order], doc[order], place[order]))
-            orders.append(order)
-            family.add(suffix_array(*arrays[-1]))
-            at += len(raw)
-        marks = []
-        for a, order in zip(arrays, orders, strict=True):
-            hit = np.zeros(len(order), bool)
-            hit[order] = family.scan(*a, buf)
-            marks.append(hit)
-        return [(b, part, "marks", np.packbits(m).tobytes()) for (b, _, _), m in zip(got, marks, strict=True) if m.any()]
-
-    marks = batches.answered(batches.together(table, shared, contexts, batches.MESSAGE), scan)
+    def scan(part: int, got: list[tuple[int, str, bytes]], old: list[tuple[int, str, bytes]]) -> list[tuple[int, int, str, bytes]]:
+        levels = {int(kind[5:]): unpacked([blob]) for _, kind, blob in old}
+        out, array = [], None
+        if got:
+            e = unpacked([blob for _, _, blob in got])
+            order = byte_order(e)
+            e = e.take(order)
+            hit = scanned(e, e.doc)
+            array, run = once(e)
+            for level in levels.values():
+                both, source = merged(level, array)
+                own = source >= len(level.doc)
+                new = np.zeros((len(array.doc), WINDOW), bool)
+                new[source[own] - len(level.doc)] = scanned(both, own.astype(np.int8))[own]
+                hit |= new[run]
+            back = np.empty_like(hit)
+            back[order] = hit
+            lo = 0
+            for batch, _, blob in got:
+                n = len(common.unpack(blob)[0])
+                if back[lo : lo + n].any():
+                    out.append((batch, part, "marks", common.pack(np.packbits(back[lo : lo + n]))))
+                lo += n
+        if keep:
+            out += [(-1, part, f"level{i}", a.packed()) for i, a in (carried(levels, array) if array is not None else levels).items()]
+        return out
+
+    return batches.continued(batches.together(table, told, contexts, batches.MESSAGE), before, scan)
+
+
+def finished(table: DataFrame, answers: DataFrame, parts: int, closed: bool, kept: bool) -> DataFrame:
+    """Each row's result from the marks of all generations."""
 
     def remove(_: int, blob: bytes, by: dict) -> pa.Table:
         b = Batch(blob)
-        buf, change = b.buffer(), np.zeros(int(b.start[-1]) + 1, np.int32)
-        runs = np.flatnonzero(b.shared(by.get("shared", {}), parts))
-        part, at, length, _, places, string = b.contexts(runs, parts)
-        count = length - LONG + 1
-        offset = np.cumsum(count) - count
-        marked = np.zeros(int(count.sum()), bool)
+        size, change = len(b.buffer), np.zeros(len(b.buffer) + 1, np.int32)
+        e, place, run, unique, part, sent = b.asked(by, parts, closed)
+        hit = scanned(e, e.doc)
+        marks = np.zeros((len(unique.doc), WINDOW), bool)
         for k, m in by.get("marks", {}).items():
-            lo, hi = np.searchsorted(part, (k, k + 1))
-            own = slice(int(offset[lo]), int(offset[hi - 1] + count[hi - 1]))
-            marked[own] = np.unpackbits(np.frombuffer(m, np.uint8), count=own.stop - own.start)
-        hit = marked[spread(offset[string], count[string])]
-        starts = [b.own_copies(), spread(places, count[string])[hit]]
-        for s in starts:
-            change[: len(buf)] += np.bincount(s, minlength=len(buf))[: len(buf)].astype(np.int32)
-            change[: len(buf) + 1] -= np.bincount(s + LONG, minlength=len(buf) + 1)[: len(buf) + 1].astype(np.int32)
+            own = np.flatnonzero((part == k) & sent)
+            marks[own] = np.unpackbits(common.unpack(m)[0], count=len(own) * WINDOW).reshape(len(own), WINDOW)
+        hit |= marks[run]
+        i, k = np.nonzero(hit)
+        starts = np.bincount(place[i] - k, minlength=size + 1)
+        change[:] = starts[: size + 1]
+        change[LONG:] -= starts[: size + 1 - LONG].astype(np.int32) if size >= LONG else change[LONG:]
         off = np.cumsum(change[:-1]) > 0
         rows = []
         for i in range(len(b.texts)):
             own = slice(int(b.start[i]), int(b.start[i + 1]))
             gone, n = off[own], int(b.start[i + 1] - b.start[i])
             removed = int(gone.sum())
-            kept = buf[own][~gone].tobytes() if removed else b.texts[i]
+            left = b.buffer[own][~gone].tobytes() if removed else b.texts[i]
             spans = int(gone[0]) + int((gone[1:] > gone[:-1]).sum()) if n else 0
-            rows.append((None if b.nulls[i] else int(b.ids[i]), n, removed, spans, hashlib.sha256(kept).hexdigest(), kept))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            rows.append((None if b.nulls[i] else int(b.ids[i]), n, removed, spans, hashlib.sha256(left).hexdigest(), *([left] if kept else [])))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())[: len(names)]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if kept else "")
+    names = [x.split()[0] for x in schema.split(", ")]
+    return batches.together(table, answers, remove, schema)
+
 
-    both = shared.unionByName(marks)
-    return batches.together(table, both, remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+class Family:
+    """Levels for tables of documents that come one after another: each is scanned against all that came before."""
+
+    def __init__(self, parts: int = 1024) -> None:
+        self.parts, self.tables = parts, None
+
+    def add(self, docs: DataFrame, size: int = batches.SIZE, kept: bool = True) -> DataFrame:
+        """The columns of report() for new documents: removed is what an earlier table has, or a smaller doc_id of this one. The levels then hold this table, too."""
+        table = batches.split(docs.select("doc_id", "text", F.lit(False).alias("flag")), size)
+        none = docs.sparkSession.createDataFrame([], batches.MESSAGE)
+        self.tables = taken(table, none, self.levels(), self.parts, closed=False, keep=True)
+        return finished(table, self.tables.where("kind = 'marks'"), self.parts, closed=False, kept=kept)
+
+    def levels(self) -> DataFrame | None:
+        """batch (-1), part, kind (`level0`, `level1` ...), blob of the levels that hold something."""
+        return None if self.tables is None else self.tables.where("kind like 'level%'")
+
+
+def report(docs: DataFrame, size: int = batches.SIZE, range_size: int = batches.RANGE, generations: int = GENERATIONS, kept: bool = True, hot: int = HOT) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes that stay) of each row."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    cuts = sorted(set(ids.approxQuantile("doc_id", [i / generations for i in range(1, generations)], 0.01)))
+    turn = sum((F.coalesce(F.col("doc_id") > F.lit(int(c)), F.lit(True)).cast("int") for c in cuts), F.lit(0))
+    table = batches.split(docs.select("doc_id", "text", F.lit(False).alias("flag"), turn.alias("turn")), size)
+    parts = batches.ranges(table, range_size)
+    told = wanted(table, parts, hot)
+    levels, marks = None, told.where("kind <> 'anchors'")
+    for i in range(len(cuts) + 1):
+        done = taken(table.where(F.col("turn") == i), told, levels, parts, closed=True, keep=i < len(cuts))
+        levels, marks = done.where("kind like 'level%'"), marks.unionByName(done.where("kind = 'marks'"))
+    return finished(table, marks, parts, closed=True, kept=kept)

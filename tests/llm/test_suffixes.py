@@ -63,13 +63,62 @@ def test_pieces_of_long_texts_hold_every_window(monkeypatch):
     monkeypatch.setattr(suffixes, "PIECE_BITS", 8)
     r = random.Random(0)
     texts = [bytes(r.choice(b"ab") for _ in range(n)) for n in (0, 49, 50, 51, 255, 256, 300, 1000)]
-    h, text, first, last = suffixes.anchors(texts)
+    h, text, first, last, at = suffixes.anchors(texts)
     seen = sorted((t, s) for t, a, b in zip(text.tolist(), first.tolist(), last.tolist(), strict=True) for s in range(a, b + 1))
     assert seen == [(i, s) for i, t in enumerate(texts) for s in range(len(t) - 49)]
 
 
-def test_family_levels_are_geometric():
-    f = suffixes.Family()
+def test_hot_anchors_are_cut_again(spark):
+    """With every shared anchor taken for a hot one."""
+    rows = made(3, 40)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.report(df, 3000, 2000, hot=2).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_arrays_are_in_byte_order_and_merge():
+    r = random.Random(4)
+    text = bytes(r.choice(b"ab\0") for _ in range(3000))
+    _, _, first, last, at = suffixes.anchors([text])
+    buf = np.frombuffer(text, np.uint8)
+    e = suffixes.entries(buf, np.arange(len(at)), at - first, last + 50 - at, at)
+    a = e.take(suffixes.byte_order(e))
+    suffix = lambda i: text[at[i] : last[i] + 50].ljust(50, b"\0")
+    assert [x.tobytes() for x in a.suffix] == sorted(suffix(i) for i in range(len(at)))
+    assert (np.sort(a.keys(), kind="stable") == a.keys()).all()
+    half = np.arange(len(at)) % 3 == 0
+    both, source = suffixes.merged(a.take(np.flatnonzero(half)), a.take(np.flatnonzero(~half)))
+    assert (both.keys() == a.keys()).all() and sorted(source.tolist()) == list(range(len(at)))
+    again = suffixes.unpacked([a.packed()])
+    assert all((x == y).all() for x, y in zip(again, a, strict=True))
+
+
+def test_levels_are_geometric():
+    one = lambda i: suffixes.entries(np.frombuffer(b"%050d" % i, np.uint8), np.array([i]), np.array([0]), np.array([50]), np.array([0]))
+    levels = {}
     for i in range(11):
-        f.add((np.array([i], np.uint64), np.array([i]), np.array([0])))
-    assert [len(x[0]) if x else 0 for x in f.levels] == [1, 2, 0, 8]
+        levels = suffixes.carried(levels, one(i))
+    assert {i: len(x.doc) for i, x in levels.items()} == {0: 1, 1: 2, 3: 8}
+
+
+def test_batches_are_scanned_against_an_existing_family(spark):
+    """Four tables one after another: each against all before it, whatever their ids; the levels are tables."""
+    rows = [(d, t) for d, t in made(5, 48) if d is not None]
+    seen, family = [], suffixes.Family(parts=8)
+    for i in range(4):
+        part = rows[i::4]
+        got = sorted(((r.doc_id, r.n_removed, r.kept_sha256) for r in family.add(spark.createDataFrame(part, "doc_id long, text string"), 3000).collect()), key=str)
+        late = [(10_000 * (i + 1) + d, t) for d, t in part]
+        want = [(d - 10_000 * (i + 1), n, sha) for d, _, n, _, sha in brute(seen + late) if d >= 10_000 * (i + 1)]
+        assert got == sorted(want, key=str)
+        seen += late
+        kinds = {r.kind for r in family.levels().select("kind").distinct().collect()}
+        assert kinds <= [{"level0"}, {"level1"}, {"level0", "level1"}, {"level2"}][i] | ({"level0", "level1"} if i == 3 else {"level0"})
+
+
+def test_very_long_text(spark):
+    r = random.Random(6)
+    text = "".join(r.choice("abcdefgh ") for _ in range(2_500_000))
+    rows = [(1, text), (2, text[700_000:700_049] + "#" + text[1_200_000:1_200_060]), (3, text)]
+    got = {x.doc_id: (x.n_removed, x.n_spans) for x in suffixes.report(spark.createDataFrame(rows, "doc_id long, text string"), kept=False).collect()}
+    assert got == {1: (0, 0), 2: (60, 1), 3: (2_500_000, 1)}
