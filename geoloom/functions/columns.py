@@ -90,10 +90,13 @@ def invert_affine(t: dict[str, Column], x: Column, y: Column) -> tuple[Column, C
     return (t["e"] * dx - t["b"] * dy) / det, (t["a"] * dy - t["d"] * dx) / det
 
 
-def utm_from_wgs84(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
-    """Easting and northing (northern hemisphere's false northing 0) by the sixth-order Krueger series."""
-    n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
-    big = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
+#: Semi-axis and flattening of the ellipsoid, scale on the central meridian, false easting, and false northing of the southern half.
+AXIS, FLAT, SCALE, EAST, SOUTH = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10000000.0
+
+
+def series() -> tuple[float, float, tuple[float, ...], tuple[float, ...]]:
+    """Of the sixth-order Krueger series: rectifying radius, eccentricity, and the coefficients to and from the plane."""
+    n = FLAT / (2 - FLAT)
     alpha = (
         n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180 - 127 * n**5 / 288 + 7891 * n**6 / 37800,
         13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440 + 281 * n**5 / 630 - 1983433 * n**6 / 1935360,
@@ -102,7 +105,20 @@ def utm_from_wgs84(lon: Column, lat: Column, zone: Column) -> tuple[Column, Colu
         34729 * n**5 / 80640 - 3418889 * n**6 / 1995840,
         212378941 * n**6 / 319334400,
     )
-    e = 2 * math.sqrt(n) / (1 + n)
+    beta = (
+        n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360 - 81 * n**5 / 512 + 96199 * n**6 / 604800,
+        n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440 + 46 * n**5 / 105 - 1118711 * n**6 / 3870720,
+        17 * n**3 / 480 - 37 * n**4 / 840 - 209 * n**5 / 4480 + 5569 * n**6 / 90720,
+        4397 * n**4 / 161280 - 11 * n**5 / 504 - 830251 * n**6 / 7257600,
+        4583 * n**5 / 161280 - 108847 * n**6 / 3991680,
+        20648693 * n**6 / 638668800,
+    )
+    return AXIS / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256), 2 * math.sqrt(n) / (1 + n), alpha, beta
+
+
+def utm_from_wgs84(lon: Column, lat: Column, zone: Column, south: Column | None = None) -> tuple[Column, Column]:
+    """Easting and northing of longitude and latitude; with the southern half's false northing where `south` holds."""
+    big, e, alpha, _ = series()
     phi, lam = F.radians(lat), F.radians(lon - (zone * 6 - 183).cast("double"))
     t = F.sinh(F.atanh(F.sin(phi)) - d(e) * F.atanh(d(e) * F.sin(phi)))
     xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(d(1) + t * t))
@@ -110,7 +126,29 @@ def utm_from_wgs84(lon: Column, lat: Column, zone: Column) -> tuple[Column, Colu
     for j, a in enumerate(alpha, 1):
         x = x + d(a) * F.cos(d(2 * j) * xi) * F.sinh(d(2 * j) * eta)
         y = y + d(a) * F.sin(d(2 * j) * xi) * F.cosh(d(2 * j) * eta)
-    return d(500000) + d(0.9996 * big) * x, d(0.9996 * big) * y
+    north = d(SCALE * big) * y
+    return d(EAST) + d(SCALE * big) * x, north if south is None else north + F.when(south, d(SOUTH)).otherwise(d(0))
+
+
+def wgs84_from_utm(x: Column, y: Column, zone: Column, south: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of easting and northing. The conformal latitude is turned into the geodetic one by five steps of Newton's method, more than doubles need."""
+    big, e, _, beta = series()
+    xi, eta = (y - F.when(south, d(SOUTH)).otherwise(d(0))) / d(SCALE * big), (x - d(EAST)) / d(SCALE * big)
+    a, b = xi, eta
+    for j, k in enumerate(beta, 1):
+        a = a - d(k) * F.sin(d(2 * j) * xi) * F.cosh(d(2 * j) * eta)
+        b = b - d(k) * F.cos(d(2 * j) * xi) * F.sinh(d(2 * j) * eta)
+    lon = d(1) * (zone * 6 - 183).cast("double") + F.degrees(F.atan2(F.sinh(b), F.cos(a)))
+    tau = F.sin(a) / F.sqrt(F.sinh(b) * F.sinh(b) + F.cos(a) * F.cos(a))
+
+    def step(t: Column) -> Column:
+        root = F.sqrt(d(1) + t * t)
+        sigma = F.sinh(d(e) * F.atanh(d(e) * t / root))
+        near = t * F.sqrt(d(1) + sigma * sigma) - sigma * root
+        return t + (tau - near) / F.sqrt(d(1) + near * near) * (d(1) + d(1 - e * e) * t * t) / (d(1 - e * e) * root)
+
+    # each step reads the one before several times: an aggregate holds it as a variable
+    return lon, F.degrees(F.atan(F.aggregate(F.sequence(F.lit(1), F.lit(5)), tau, lambda t, _: step(t))))
 
 
 def utm_zone(lon: Column) -> Column:

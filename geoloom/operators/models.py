@@ -99,7 +99,7 @@ def spline_filter(m: DataFrame, width: int, height: int, block: int = 512, folds
                 break
             try:
                 r, why = crossfit_residuals(p0[on], p1[on], width, height, block, folds, least_train, smoothing)
-            except np.linalg.LinAlgError as e:
+            except (np.linalg.LinAlgError, ValueError, FloatingPointError) as e:  # a scene that fails has its reason, and the others go on
                 reason = f"tps_filter_failed:{e}"
                 break
             if r is None:

@@ -40,9 +40,9 @@ def stats(spark, sf):
 
 
 def nonoverlap(spark, sf):
-    """Repeatedly covered tiles that do not overlap, numbered in the order they were taken."""
+    """Repeatedly covered windows that do not overlap, with their place in the order they were taken; tiles are numbered in q_block_tiles, after those with too few days are gone."""
     found = coverage.candidates(stats(spark, sf), SHARE).withColumn("block_id", F.lit("BLK_000001"))
-    return coverage.nonoverlapping(found, TILE).withColumn("tile_id", F.format_string("%s_TS_%06d", "block_id", "place"))
+    return coverage.nonoverlapping(found, TILE)
 
 
 def tiles(spark):
@@ -122,7 +122,7 @@ QUERIES = {
             f"""WITH RECURSIVE {WINDOW_SQL}, c AS (SELECT *, row_number() OVER (ORDER BY repeated_fraction DESC, mean_date_count DESC, max_date_count DESC, "row", col) AS n FROM stats WHERE repeated_fraction >= {SHARE}),
 walk AS (SELECT 0::BIGINT AS n, CAST([] AS BIGINT[]) AS taken, false AS ok UNION ALL
  SELECT c.n, CASE WHEN free THEN list_append(taken, c.n) ELSE taken END, free FROM (SELECT c.*, w.taken, NOT EXISTS (SELECT 1 FROM c o WHERE list_contains(w.taken, o.n) AND abs(o."row" - c."row") < {TILE} AND abs(o.col - c.col) < {TILE}) AS free FROM walk w JOIN c ON c.n = w.n + 1) c)
-SELECT 'BLK_000001' AS block_id, "row", col, repeated_fraction, mean_date_count, max_date_count, row_number() OVER (ORDER BY n) AS place, 'BLK_000001_TS_' || lpad(CAST(row_number() OVER (ORDER BY n) AS VARCHAR), 6, '0') AS tile_id FROM c SEMI JOIN (SELECT n FROM walk WHERE ok) t USING (n)""".replace("WITH RECURSIVE ", "WITH "),
+SELECT 'BLK_000001' AS block_id, "row", col, repeated_fraction, mean_date_count, max_date_count, row_number() OVER (ORDER BY n) AS place FROM c SEMI JOIN (SELECT n FROM walk WHERE ok) t USING (n)""".replace("WITH RECURSIVE ", "WITH "),
             "v_pixels",
         ).replace("WITH ", "WITH RECURSIVE ", 1),
     ),
