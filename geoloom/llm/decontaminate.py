@@ -5,7 +5,8 @@ consecutive words of an item; an item with fewer words, but not none, is one win
 occurrence of a window are hit; hits are mapped back to character offsets of the original text.
 
 The automaton's letters are words, by number: a window is at most `size` nodes deep, and words that no item has are one
-letter that leads nowhere. It is built on the executors from a broadcast block of items. A block holds at most
+letter that leads nowhere. It runs over the stretches of a text whose neighbouring words are neighbours in some window; no
+window lies elsewhere. It is built on the executors from a broadcast block of items. A block holds at most
 BLOCK_BYTES of item text (some 400,000 windows, about 300 MB as an automaton); a larger benchmark is scanned in several
 blocks, whose hits are merged per document, so what is broadcast at once is bounded whatever the benchmark's size.
 
@@ -48,7 +49,7 @@ def windows(w: list, size: int = SIZE) -> set[tuple]:
 
 @functools.lru_cache(maxsize=2)
 def automaton(items: tuple[tuple[str | None, bytes], ...], size: int):
-    """Word numbers (from 1 on; 0 is every other word) and the automaton over all windows, whose values are (words, item ids)."""
+    """Word numbers (from 1 on; 0 is every other word), the automaton over all windows, whose values are (words, item ids), the neighbouring words of windows as sorted codes, and the words of the shortest window."""
     import ahocorasick
 
     numbers: dict[bytes, int] = {}
@@ -64,7 +65,22 @@ def automaton(items: tuple[tuple[str | None, bytes], ...], size: int):
     for w, ids in by.items():
         a.add_word(w, (len(w), ids))
     a.make_automaton()
-    return numbers, a
+    beside = np.unique(np.array([x << 32 | y for w in by for x, y in itertools.pairwise(w)], np.int64))
+    return numbers, a, beside, min(map(len, by))
+
+
+def stretches(v: np.ndarray, beside: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
+    """Where windows can lie: [first, last + 1) of the longest runs of words whose neighbours are neighbours in some window (of known words, where one word can be a window)."""
+    if least == 1:
+        on = v > 0
+    else:
+        code = v[:-1] << 32 | v[1:]
+        on = beside[np.minimum(np.searchsorted(beside, code), len(beside) - 1)] == code if len(beside) else np.zeros(len(code), bool)
+    edge = np.diff(np.concatenate(([0], on.astype(np.int8), [0])))
+    more = int(least > 1)
+    for lo, hi in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+        if hi + more - lo >= least:
+            yield lo, hi + more
 
 
 def scan(text: bytes, found) -> tuple[int, list[tuple[int, int]], set[str]]:
@@ -72,8 +88,9 @@ def scan(text: bytes, found) -> tuple[int, list[tuple[int, int]], set[str]]:
     w = words(text)
     if not w or found is None:
         return len(w), [], set()
-    numbers, a = found
-    hits = list(a.iter(tuple(map(numbers.get, w, itertools.repeat(0)))))
+    numbers, a, beside, least = found
+    v = np.fromiter(map(numbers.get, w, itertools.repeat(0)), np.int64, len(w))
+    hits = [(lo + e, x) for lo, hi in stretches(v, beside, least) for e, x in a.iter(tuple(v[lo:hi].tolist()))]
     if not hits:
         return len(w), [], set()
     ends = np.array([e for e, _ in hits]) + 1
