@@ -11,7 +11,8 @@ Groups of near copies are dense, so pairs come in two turns. First come the pige
 links its members to one of them; what is then checked and joined to components is tried no more. The second turn takes
 every pair of a prefix group that still lies in two components, so that the components are those of all pairs. Of these,
 only pairs go on whose bitmaps (parities of the shingles by hash) allow the overlap: each differing bit is a shingle that
-one set alone has, so the bound is exact.
+one set alone has, so the bound is exact. Small bitmaps of one size go with the groups; before full sets are sent to any pair
+of either turn, wide ones, which grow with the set, are compared: a small part of a set's bytes, and as telling for long texts.
 
 Defined results: a null text has no shingles, as an empty one, and equal sets are copies; fewer words than the shingle
 size give one shingle; of rows that share a doc_id one stays (the first text in order) before anything is compared; rows
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm import common, simhash, tokens
@@ -34,17 +35,23 @@ SHARE = (4, 5)
 #: Texts that the order of shingles is estimated from, how often one must occur there to be put last, and how many of those are kept at most. Results don't depend on them.
 SAMPLE, OFTEN, KNOWN = 5_000, 3, 200_000
 PAIRS = 1_000_000
-#: Bits of a set's bitmap, a power of two.
-BITS = 1024
+#: Bits of a set's small bitmap, a power of two, and the least number of bits a shingle of its wide one.
+BITS, WIDE = 1024, 4
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
     return np.unique(simhash.shingles(text, words))
 
 
-def bitmap(s: np.ndarray) -> bytes:
-    """Which hash classes hold an odd number of a set's shingles."""
-    return np.packbits(np.bincount((s >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Which hash classes hold an odd number of a set's shingles: WIDE bits or more a shingle, a power of two in all, as longs. Classes are the low bits of hashes, so the halves of a bitmap, one upon the other, are the bitmap of half the size."""
+    m = max(BITS, 1 << (WIDE * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m).astype(np.uint8) & 1).view(np.int64)
+
+
+def folded(wide: np.ndarray) -> bytes:
+    """A wide bitmap as one of BITS bits."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, BITS // 64), axis=0).tobytes()
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
@@ -70,7 +77,7 @@ def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def marked(docs: DataFrame, words: int) -> DataFrame:
-    """id, digest of the set, n (its size), fp (its SimHash), bitmap, first (the shingles of its prefix in order) of each row."""
+    """id, digest of the set, n (its size), fp (its SimHash), bitmap, wide (bitmap), first (the shingles of its prefix in order) of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     p, q = SHARE
 
@@ -79,7 +86,7 @@ def marked(docs: DataFrame, words: int) -> DataFrame:
 
         known, often = sent.value
         for b in batches:
-            digest, size, first, fp, odd = [], [], [], [], []
+            digest, size, first, fp, odd, wide = [], [], [], [], [], []
             for t in common.text_bytes(b.column(1)):
                 s = shingle_set(t, words)
                 n = len(s)
@@ -90,11 +97,12 @@ def marked(docs: DataFrame, words: int) -> DataFrame:
                 digest.append(xxh128_digest(s.tobytes()))
                 size.append(n)
                 fp.append(simhash.bits(s))
-                odd.append(bitmap(s))
+                wide.append(bitmap(s))
+                odd.append(folded(wide[-1]))
                 first.append(s[np.argsort(rank, kind="stable")][: n - -(-p * n // q) + 1 if n else 0].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(odd, pa.binary()), pa.array(first, pa.list_(pa.int64()))], names=["id", "digest", "n", "fp", "bitmap", "first"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(odd, pa.binary()), pa.array(wide, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))], names=["id", "digest", "n", "fp", "bitmap", "wide", "first"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(run, "id long, digest binary, n long, fp long, bitmap binary, first array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(run, "id long, digest binary, n long, fp long, bitmap binary, wide array<long>, first array<long>")
 
 
 def groups(run: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -180,9 +188,29 @@ def ringed(nodes: DataFrame, limit: int = simhash.LIMIT) -> DataFrame:
     return same.union(far.select(F.least("x", "y"), F.greatest("x", "y")))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough: their full sets are compared."""
+def hopeful(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and wide bitmaps allow the overlap. Sizes that do let bitmaps differ by one doubling at most."""
+    p, q = SHARE
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    own = marks.join(ids, "id", "left_semi")
+    j = pairs.join(own.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("wide").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("y")), "b")
+
+    def halved(x: Column) -> Column:
+        m = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), m), F.slice(x, m + 1, m), lambda u, v: u.bitwiseXOR(v))
+
+    x = F.when(F.size("x") > F.size("y"), halved(F.col("x"))).otherwise(F.col("x"))
+    y = F.when(F.size("y") > F.size("x"), halved(F.col("y"))).otherwise(F.col("y"))
+    differ = F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda n, v: n + v)
+    both = F.col("na") + F.col("nb")
+    sizes = F.least("na", "nb") * q >= F.greatest("na", "nb") * p
+    return j.where(F.when(sizes, (both - differ) * (p + q) >= both * (2 * p)).otherwise(False)).select("a", "b")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) whose sets are alike enough: full sets are compared where bitmaps don't rule that out."""
     p, q = SHARE
+    pairs = common.written(hopeful(pairs, marks))
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     full = common.written(sets(docs.join(ids, docs["doc_id"].cast("long") == ids["doc_id"], "left_semi"), words))
     j = pairs.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
@@ -212,12 +240,12 @@ def near_copies(docs: DataFrame, words: int) -> DataFrame:
 
     met = common.written(sorted_by_group(dealt).mapInArrow(several, "h long, id long, n long, at long"))
     tried = common.written(sorted_by_group(met).mapInArrow(stars, "a long, b long").union(ringed(nodes)).distinct())
-    good = common.written(verified(docs, tried, words))
+    good = common.written(verified(docs, tried, marks, words))
     part = simhash.components(good)
     named = met.join(part.select(F.col("node").alias("id"), "label"), "id", "left").select("h", "id", "n", "at", F.coalesce("label", "id").alias("label"))
     open_groups = sorted_by_group(named).mapInArrow(mixed, "h long, id long, n long, at long, label long").join(marks.select("id", "bitmap"), "id").select("h", "id", "n", "at", "label", "bitmap")
     rest = common.written(sorted_by_group(open_groups).mapInArrow(apart, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
-    more = common.written(verified(docs, rest, words))
+    more = common.written(verified(docs, rest, marks, words))
     if not more.isEmpty():
         part = simhash.components(good.union(more))
     return tagged.join(part.select(F.col("node").alias("rep"), "label"), "rep", "left").select("id", F.coalesce("label", "rep").alias("label"))

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from geoloom.llm import shingles, simhash
 
 
@@ -51,3 +53,19 @@ def test_fewer_shared_shingles_than_the_threshold_are_no_link_whatever_the_finge
 def test_pigeonring_proposes_near_fingerprints(spark):
     nodes = spark.createDataFrame([(5, 0), (2, 0), (9, 15), (4, -1)], "id long, fp long")
     assert sorted((r.a, r.b) for r in shingles.ringed(nodes).collect()) == [(2, 5), (2, 9)]
+
+
+def test_bitmaps_rule_out_no_pair_that_is_alike_enough(spark):
+    """Long sets on both sides of the threshold and of a doubling of the bitmap: all pairs of 0.8 or more stay, clear others of any length go."""
+    r = np.random.default_rng(5)
+    base = np.unique(r.integers(0, 1 << 63, 4500, dtype=np.uint64))
+    sets = {0: base, 1: base[:4090], 2: base[: len(base) * 4 // 5], 3: np.concatenate((base[:4050], r.integers(0, 1 << 63, 60, dtype=np.uint64))), 4: np.concatenate((base[:2600], r.integers(0, 1 << 63, 1900, dtype=np.uint64))), 5: base[:10], 6: base[:0]}
+    sets = {k: np.unique(v) for k, v in sets.items()}
+    wide = {k: shingles.bitmap(v) for k, v in sets.items()}
+    assert len({len(w) for w in wide.values()}) == 3 and shingles.folded(wide[0]) == shingles.folded(wide[0].reshape(2, -1)[0] ^ wide[0].reshape(2, -1)[1])
+    marks = spark.createDataFrame([(k, len(sets[k]), wide[k].tolist()) for k in sets], "id long, n long, wide array<long>")
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    got = {(x.a, x.b) for x in shingles.hopeful(spark.createDataFrame(pairs, "a long, b long"), marks).collect()}
+    alike = {(a, b) for a, b in pairs if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    assert {(0, 1), (0, 2), (1, 3)} <= alike <= got
+    assert not got & {(a, b) for a, b in pairs if b >= 4}
