@@ -35,6 +35,8 @@ SHARE = (4, 5)
 #: Texts that the order of shingles is estimated from, how often one must occur there to be put last, and how many of those are kept at most. Results don't depend on them.
 SAMPLE, OFTEN, KNOWN = 5_000, 3, 200_000
 PAIRS = 1_000_000
+#: Up to so many ids (8 bytes each) are broadcast to pick their texts in the scan; more are joined by a shuffle.
+FEW_IDS = 2_000_000
 #: Bits of a set's small bitmap, a power of two, and the least number of bits a shingle of its wide one.
 BITS, WIDE = 1024, 4
 
@@ -211,7 +213,9 @@ def verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame, words: int) ->
     """The pairs (a, b) whose sets are alike enough: full sets are compared where bitmaps don't rule that out."""
     p, q = SHARE
     pairs = common.written(hopeful(pairs, marks))
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    ids = common.written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    if ids.count() <= FEW_IDS:
+        ids = F.broadcast(ids)
     full = common.written(sets(docs.join(ids, docs["doc_id"].cast("long") == ids["doc_id"], "left_semi"), words))
     j = pairs.join(full.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(full.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     same = F.size(F.array_intersect("x", "y"))
