@@ -31,8 +31,8 @@ def scene_groups(bands: DataFrame) -> DataFrame:
 
 
 def driver_pick(bands: DataFrame, prefer: str) -> DataFrame:
-    """One file of each scene: the preferred band's .tif, else its .tiff, else the first."""
-    rank = F.when(c("path").endswith(f"_{prefer}.tif"), 0).when(c("path").endswith(f"_{prefer}.tiff"), 1).otherwise(2)
+    """One file of each scene: the preferred band's .tif, else its .tiff, else the first .tif, else the first file."""
+    rank = F.when(c("path").endswith(f"_{prefer}.tif"), 0).when(c("path").endswith(f"_{prefer}.tiff"), 1).when(c("path").endswith(".tif"), 2).otherwise(3)
     return bands.groupBy("scene").agg(F.min_by("path", F.struct(rank.alias("r"), "path")).alias("driver"))
 
 
@@ -48,16 +48,52 @@ def same_grid(meta: DataFrame) -> DataFrame:
     return meta.groupBy("scene").agg((F.count_distinct(grid) == 1).alias("same_grid"))
 
 
-def scene_index(bands: DataFrame, roots: dict[str, int]) -> DataFrame:
-    """One row a scene with its four paths and times: the first in the order of roots, then of paths; scenes without all bands in one folder are left out."""
+def required(files: DataFrame, message: str) -> DataFrame:
+    """The files; that there are none is an error (one task looks for a first row)."""
+    if files.isEmpty():
+        raise ValueError(message)
+    return files
+
+
+def rgb_checked(bands: DataFrame, meta: DataFrame) -> DataFrame:
+    """scene, path_R, path_G, path_B, error: the first of what is wrong with a scene's colour bands, in order: the number of files of R, G, B, a file without header (meta), grids that differ."""
+    grid = F.struct(*[c(x) for x in ("width", "height", "crs", "a", "b", "c", "d", "e", "f")])
+    seen = bands.join(meta.select("path", grid.alias("grid")), "path", "left")
+    one = [F.count_if(c("band") == b).alias(f"n_{b}") for b in "RGB"] + [F.min(F.when(c("band") == b, c("path"))).alias(f"path_{b}") for b in "RGB"]
+    colour = F.when(c("band").isin(*"RGB"), c("grid"))
+    g = seen.groupBy("scene").agg(*one, F.count_if(c("band").isin(*"RGB") & c("grid").isNull()).alias("bare"), F.min(colour).alias("low"), F.max(colour).alias("high"))
+    wrong = [F.when(c(f"n_{b}") != 1, F.format_string(f"expected exactly 1 {b} band, found %d", f"n_{b}")) for b in "RGB"]
+    wrong += [F.when(c("bare") > 0, "no header"), F.when(~c("low").eqNullSafe(c("high")), "grid mismatch")]
+    return g.select("scene", *[f"path_{b}" for b in "RGB"], F.coalesce(*wrong).alias("error"))
+
+
+def rgb_files(bands: DataFrame, meta: DataFrame) -> DataFrame:
+    """scene, path_R, path_G, path_B; a scene whose colour bands aren't three files of one grid is an error."""
+    r = rgb_checked(bands, meta)
+    first = F.when(c("error").isNull(), c("path_R")).otherwise(F.raise_error(F.concat(c("scene"), F.lit(": "), c("error"))).cast("string"))
+    return r.select("scene", first.alias("path_R"), "path_G", "path_B")
+
+
+def scene_index(bands: DataFrame, roots: dict[str, int], meta: DataFrame | None = None) -> DataFrame:
+    """One row a scene with its four paths and times: the first in the order of roots, then of paths; scenes without all bands in one folder are left out. With headers of files (meta), also crs, native bounds, resolution and missing value of the red band; places without a reference system are left out before the first is taken."""
     folder = F.regexp_replace("path", "/[^/]*$", "")
     order = F.coalesce(*[F.when(c("path").startswith(r + "/"), F.lit(o)) for r, o in sorted(roots.items())])
     wide = bands.withColumn("root", order).where(c("root").isNotNull()).groupBy("scene", "root", folder.alias("folder")).agg(*[F.min(F.when(c("band") == b, c("path"))).alias(f"path_{b}") for b in "RGBN"])
     wide = wide.where(" and ".join(f"path_{b} is not null" for b in "RGBN"))
+    header = []
+    if meta is not None:
+        wide = wide.join(meta.where("crs is not null").select(c("path").alias("path_R"), "crs", *raster_bounds(), F.abs("a").alias("res_x"), F.abs("e").alias("res_y"), "nodata"), "path_R")
+        header = ["crs", "minx", "miny", "maxx", "maxy", "res_x", "res_y", "nodata"]
     first = W.partitionBy("scene").orderBy("root", parts("path_R"))
     one = wide.withColumn("rn", F.row_number().over(first)).where("rn = 1")
     t = scene_times("scene")
-    return one.select(c("scene").alias("scene_id"), *[t[k].alias(k) for k in ("acq_start", "acq_end", "acq_day", "processing_time")], *[f"path_{b}" for b in "RGBN"])
+    return one.select(c("scene").alias("scene_id"), *[t[k].alias(k) for k in ("acq_start", "acq_end", "acq_day", "processing_time")], *[f"path_{b}" for b in "RGBN"], *header)
+
+
+def raster_bounds() -> tuple[Column, ...]:
+    """minx, miny, maxx, maxy of a north-up raster from its size and affine coefficients."""
+    x, y = c("c") + c("a") * c("width"), c("f") + c("e") * c("height")
+    return F.least("c", x).alias("minx"), F.least("f", y).alias("miny"), F.greatest("c", x).alias("maxx"), F.greatest("f", y).alias("maxy")
 
 
 def scene_list(lines: DataFrame, comments: bool = True, distinct: bool = True) -> DataFrame:

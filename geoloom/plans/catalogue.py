@@ -39,6 +39,11 @@ def meta(spark, sf):
     return p.select((c("p_partkey") % 97).alias("scene"), (c("p_size") * 0 + 100 + (c("p_partkey") % 97 % 5 == 0).cast("int") * c("p_size")).alias("width"), F.lit(100).alias("height"), F.lit("x").alias("crs"), *[one(i).alias(k) for i, k in enumerate("abcdef")])
 
 
+def file_meta(spark, sf):
+    """A header for each file: two widths, by the length of the path."""
+    return v_files(spark, sf).select("path", (F.length("path") % 2 + 100).alias("width"), F.lit(100).alias("height"), F.lit("x").alias("crs"), *[d(i).alias(k) for i, k in enumerate("abcdef")]).distinct()
+
+
 def georef(spark, sf):
     s = reference_scenes(spark, sf)
     return catalog.georeferencing_status(s, s.where("scene % 7 <> 0"), s.where("scene % 11 <> 0"), s.where("scene % 5 <> 0").select("scene", (c("scene") % 40).alias("n_matches")), 12)
@@ -91,12 +96,21 @@ QUERIES = {
     ),
     "q_driver_pick": (
         lambda s, sf: catalog.driver_pick(bands(s, sf), "R"),
-        sql(f"WITH {BANDS_SQL} SELECT scene, path AS driver FROM (SELECT DISTINCT scene, path, row_number() OVER (PARTITION BY scene ORDER BY CASE WHEN ends_with(path, '_R.tif') THEN 0 WHEN ends_with(path, '_R.tiff') THEN 1 ELSE 2 END, path) AS rn FROM bands WHERE scene <> '') WHERE rn = 1", "v_files"),
+        sql(f"WITH {BANDS_SQL} SELECT scene, path AS driver FROM (SELECT DISTINCT scene, path, row_number() OVER (PARTITION BY scene ORDER BY CASE WHEN ends_with(path, '_R.tif') THEN 0 WHEN ends_with(path, '_R.tiff') THEN 1 WHEN ends_with(path, '.tif') THEN 2 ELSE 3 END, path) AS rn FROM bands WHERE scene <> '') WHERE rn = 1", "v_files"),
     ),
     "q_band_counts": (
         lambda s, sf: catalog.band_counts(bands(s, sf)),
         sql(f"WITH {BANDS_SQL}, n AS (SELECT scene, count(*) FILTER (band = 'R') AS n_r, count(*) FILTER (band = 'G') AS n_g, count(*) FILTER (band = 'B') AS n_b, count(*) FILTER (band = 'N') AS n_n FROM bands WHERE scene <> '' GROUP BY 1) SELECT *, n_r = 1 AND n_g = 1 AND n_b = 1 AS complete FROM n", "v_files"),
     ),
+    "q_rgb_checked": (
+        lambda s, sf: catalog.rgb_checked(bands(s, sf).withColumn("scene", F.substring("scene", 1, 12)), file_meta(s, sf)),
+        sql(
+            f"""WITH {BANDS_SQL}, g AS (SELECT left(scene, 12) AS scene, count(*) FILTER (band = 'R') AS n_r, count(*) FILTER (band = 'G') AS n_g, count(*) FILTER (band = 'B') AS n_b, min(path) FILTER (band = 'R') AS "path_R", min(path) FILTER (band = 'G') AS "path_G",
+ min(path) FILTER (band = 'B') AS "path_B", count(DISTINCT length(path) % 2) FILTER (band <> 'N') AS n_grids FROM bands WHERE scene <> '' GROUP BY 1)
+SELECT scene, "path_R", "path_G", "path_B", CASE WHEN n_r <> 1 THEN 'expected exactly 1 R band, found ' || n_r WHEN n_g <> 1 THEN 'expected exactly 1 G band, found ' || n_g WHEN n_b <> 1 THEN 'expected exactly 1 B band, found ' || n_b WHEN n_grids > 1 THEN 'grid mismatch' END AS error FROM g""",
+            "v_files",
+        ),
+    ),
     "q_same_grid": (
         lambda s, sf: catalog.same_grid(meta(s, sf)),
         "SELECT p_partkey % 97 AS scene, count(DISTINCT CASE WHEN p_partkey % 97 % 5 = 0 THEN 100 + p_size ELSE 100 END) = 1 AS same_grid FROM part GROUP BY 1",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -12,6 +14,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from geoloom.functions.columns import c
 
 MATCHES = "scene string, pts_mov_on_ref array<array<double>>, pts_ref array<array<double>>, confidence array<double>"
+HEADER = "path string, width int, height int, bands int, a double, b double, c double, d double, e double, f double, nodata double, crs string, scales array<double>, offsets array<double>"
 CONFIG = "map<string,struct<overlap:double,directions:array<string>>>"
 
 
@@ -43,13 +46,40 @@ def configuration(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.explode("m").alias("scene", "s")).select("scene", "s.*")
 
 
+def opened(path: str):
+    """A file for random access, on this machine or any store that Arrow knows; paths are taken as Spark lists them, without escapes."""
+    from pyarrow import fs
+
+    m = re.match(r"(?!file:)([a-z0-9]+)://([^/]*)/(.*)", path, re.S)
+    if not m:
+        return fs.LocalFileSystem().open_input_file(re.sub(r"^file:(//)?", "", path))
+    store, top = fs.FileSystem.from_uri(f"{re.sub('^s3[an]$', 's3', m[1])}://{m[2]}/")
+    return store.open_input_file(f"{top.rstrip('/')}/{m[3]}")
+
+
+def headers(files: DataFrame) -> DataFrame:
+    """One row a file (path), as raster_header: headers are read where the rows are, so the list may be of any length. Only the first directory of each file is read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for path in b.column(0).to_pylist():
+                with opened(path) as f:
+                    rows.append((path, *header(f)))
+            kinds = [pa.string(), *[pa.int32()] * 3, *[pa.float64()] * 7, pa.string(), *[pa.list_(pa.float64())] * 2]
+            names = [x.split()[0] for x in HEADER.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+    return files.select("path").where("path is not null").mapInArrow(run, HEADER)
+
+
 class Header(InputPartition):
     def __init__(self, paths: list[str]) -> None:
         self.paths = paths
 
 
 class HeaderReader(DataSourceReader):
-    """Size, place and missing value of baseline TIFF files, from their first directory only."""
+    """Size, place, reference system, missing value and scales of TIFF files, from their first directory only."""
 
     def __init__(self, options: dict[str, str]) -> None:
         self.paths = [p for p in options.get("paths", "").split("\n") if p]
@@ -60,42 +90,84 @@ class HeaderReader(DataSourceReader):
 
     def read(self, part: Header) -> Iterator[tuple]:
         for path in part.paths:
-            with open(path, "rb") as f:
+            with opened(path) as f:
                 yield (path, *header(f))
 
 
 class HeaderSource(DataSource):
-    """spark.read.format("raster_header").option("paths", lines).load(): one row a file."""
+    """spark.read.format("raster_header").option("paths", lines).load(): one row a file of a short list; headers() takes a table of paths."""
 
     @classmethod
     def name(cls) -> str:
         return "raster_header"
 
     def schema(self) -> str:
-        return "path string, width int, height int, bands int, a double, b double, c double, d double, e double, f double, nodata double"
+        return HEADER
 
     def reader(self, schema) -> HeaderReader:
         return HeaderReader(self.options)
 
 
-def header(f) -> tuple:
-    """Width, height, bands, six affine coefficients and missing value of an open TIFF file."""
-    order = {b"II": "<", b"MM": ">"}[f.read(2)]
-    magic, at = struct.unpack(order + "HI", f.read(6))
-    if magic != 42:
-        raise ValueError("not a baseline TIFF file")
-    f.seek(at)
-    kinds = {1: "B", 2: "c", 3: "H", 4: "I", 5: "II", 12: "d"}
-    entries = [struct.unpack(order + "HHI4s", f.read(12)) for _ in range(struct.unpack(order + "H", f.read(2))[0])]
+def directory(f) -> dict[int, tuple | bytes]:
+    """Values of the tags of a TIFF file's first directory, of 32-bit or 64-bit offsets."""
+    order = {b"II": "<", b"MM": ">"}.get(f.read(2))
+    magic = struct.unpack(order + "H", f.read(2))[0] if order else 0
+    if magic not in (42, 43):
+        raise ValueError("not a TIFF file")
+    place, count = ("I", "H") if magic == 42 else ("Q", "Q")
+    room = struct.calcsize("<" + place)
+    if magic == 43:
+        f.read(4)
+
+    def number(kind: str) -> int:
+        return struct.unpack(order + kind, f.read(struct.calcsize("<" + kind)))[0]
+
+    f.seek(number(place))
+    entry = f"{order}HH{place}{room}s"
+    entries = [struct.unpack(entry, f.read(struct.calcsize(entry))) for _ in range(number(count))]
+    kinds = {1: "B", 2: "c", 3: "H", 4: "I", 5: "II", 12: "d", 16: "Q"}
     got: dict[int, tuple | bytes] = {}
     for tag, kind, n, raw in entries:
-        if kind in kinds:
-            size = struct.calcsize(order + kinds[kind]) * n
-            if size > 4:
-                f.seek(struct.unpack(order + "I", raw)[0])
+        if tag in TAGS and kind in kinds:
+            size = struct.calcsize("<" + kinds[kind]) * n
+            if size > room:
+                f.seek(struct.unpack(order + place, raw)[0])
                 raw = f.read(size)
             got[tag] = raw[:size] if kind == 2 else struct.unpack(order + kinds[kind] * n, raw[:size])
-    scale, tie = got.get(33550, (1.0, 1.0, 0.0)), got.get(33922, (0.0,) * 6)
-    text = got.get(42113, b"")
-    nodata = float(text.split(b"\0")[0].strip() or b"nan") if text else None
-    return got[256][0], got[257][0], got.get(277, (1,))[0], scale[0], 0.0, tie[3] - tie[0] * scale[0], 0.0, -scale[1], tie[4] + tie[1] * scale[1], nodata
+    return got
+
+
+#: Fixed values of the format: size, samples, pixel scale, tie point, transformation, keys of the reference system and their text, metadata, missing value.
+TAGS = (256, 257, 277, 33550, 33922, 34264, 34735, 34737, 42112, 42113)
+RASTER_TYPE, GEOGRAPHIC, PROJECTED, OWN = 1025, 2048, 3072, 32767
+
+
+def by_band(metadata: str, role: str, bands: int, default: float) -> list[float]:
+    """The values of a role (scale or offset) by band."""
+    out = [default] * bands
+    for attributes, value in re.findall(r"<Item\s([^>]*)>([^<]*)</Item>", metadata):
+        own = dict(re.findall(r'(\w+)="([^"]*)"', attributes))
+        if own.get("role") == role and int(own.get("sample", 0)) < bands:
+            out[int(own.get("sample", 0))] = float(value)
+    return out
+
+
+def header(f) -> tuple:
+    """Width, height, bands, six affine coefficients, missing value, reference system (EPSG:number, the text of one without a number, or null), scales and offsets of an open TIFF file."""
+    got = directory(f)
+    listed = got.get(34735, ())
+    keys = {listed[i]: listed[i + 3] for i in range(4, len(listed) - 3, 4) if listed[i + 1] == 0}
+    code = keys.get(PROJECTED) or keys.get(GEOGRAPHIC) or 0
+    text = lambda tag: bytes(b"".join(got[tag]) if isinstance(got.get(tag), tuple) else got.get(tag, b"")).split(b"\0")[0].decode("utf-8", "replace").strip()
+    crs = f"EPSG:{code}" if 0 < code < OWN else (text(34737) or "user-defined") if listed else None
+    if 34264 in got:
+        m = got[34264]
+        a, b, c0, d0, e, f0 = m[0], m[1], m[3], m[4], m[5], m[7]
+    else:
+        scale, tie = got.get(33550, (1.0, 1.0, 0.0)), got.get(33922, (0.0,) * 6)
+        a, b, c0, d0, e, f0 = scale[0], 0.0, tie[3] - tie[0] * scale[0], 0.0, -scale[1], tie[4] + tie[1] * scale[1]
+    if keys.get(RASTER_TYPE) == 2:  # the place is that of a pixel's middle
+        c0, f0 = c0 - (a + b) / 2, f0 - (d0 + e) / 2
+    bands = got.get(277, (1,))[0]
+    nodata = float(text(42113) or "nan") if 42113 in got else None
+    return got[256][0], got[257][0], bands, a, b, c0, d0, e, f0, nodata, crs, by_band(text(42112), "scale", bands, 1.0), by_band(text(42112), "offset", bands, 0.0)
