@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geoloom.functions.columns import c, is_band_file, scene_key, scene_times, stem
+from geoloom.operators import grid
 
 
 def parts(path: Column | str) -> Column:
@@ -74,8 +75,8 @@ def rgb_files(bands: DataFrame, meta: DataFrame) -> DataFrame:
     return r.select("scene", first.alias("path_R"), "path_G", "path_B")
 
 
-def scene_index(bands: DataFrame, roots: dict[str, int], meta: DataFrame | None = None) -> DataFrame:
-    """One row a scene with its four paths and times: the first in the order of roots, then of paths; scenes without all bands in one folder are left out. With headers of files (meta), also crs, native bounds, resolution and missing value of the red band; places without a reference system are left out before the first is taken."""
+def scene_index(bands: DataFrame, roots: dict[str, int], meta: DataFrame | None = None, target: str | None = None) -> DataFrame:
+    """One row a scene with its four paths and times: the first in the order of roots, then of paths; scenes without all bands in one folder are left out. With headers of files (meta), also crs, native bounds, resolution and missing value of the red band; places without a reference system are left out before the first is taken. With a target reference system, bounds are in that one."""
     folder = F.regexp_replace("path", "/[^/]*$", "")
     order = F.coalesce(*[F.when(c("path").startswith(r + "/"), F.lit(o)) for r, o in sorted(roots.items())])
     wide = bands.withColumn("root", order).where(c("root").isNotNull()).groupBy("scene", "root", folder.alias("folder")).agg(*[F.min(F.when(c("band") == b, c("path"))).alias(f"path_{b}") for b in "RGBN"])
@@ -87,7 +88,10 @@ def scene_index(bands: DataFrame, roots: dict[str, int], meta: DataFrame | None
     first = W.partitionBy("scene").orderBy("root", parts("path_R"))
     one = wide.withColumn("rn", F.row_number().over(first)).where("rn = 1")
     t = scene_times("scene")
-    return one.select(c("scene").alias("scene_id"), *[t[k].alias(k) for k in ("acq_start", "acq_end", "acq_day", "processing_time")], *[f"path_{b}" for b in "RGBN"], *header)
+    out = one.select(c("scene").alias("scene_id"), *[t[k].alias(k) for k in ("acq_start", "acq_end", "acq_day", "processing_time")], *[f"path_{b}" for b in "RGBN"], *header)
+    if meta is None or target is None:
+        return out
+    return out.drop("minx", "miny", "maxx", "maxy").join(grid.reprojected(out.select("scene_id", "crs", "minx", "miny", "maxx", "maxy"), "scene_id", target), "scene_id").select(*out.columns)
 
 
 def raster_bounds() -> tuple[Column, ...]:

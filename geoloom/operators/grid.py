@@ -154,6 +154,14 @@ def expand_box(west: Column, south: Column, east: Column, north: Column, by: flo
     return west - d(by), south - d(by), east + d(by), north + d(by)
 
 
+def edges(boxes: DataFrame, keep: list[str], points: int) -> DataFrame:
+    """x, y of points along the edges of each box (minx, miny, maxx, maxy), beside the columns to keep."""
+    f = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: i / d(points - 1))
+    x, y = c("minx") + (c("maxx") - c("minx")) * c("_f"), c("miny") + (c("maxy") - c("miny")) * c("_f")
+    sides = F.array(*[F.struct(u.alias("x"), v.alias("y")) for u, v in ((x, c("miny")), (x, c("maxy")), (c("minx"), y), (c("maxx"), y))])
+    return boxes.withColumn("_f", F.explode(f)).select(*keep, F.explode(sides).alias("_p")).select(*keep, "_p.x", "_p.y")
+
+
 def wgs84_bounds(boxes: DataFrame, key: str, zone: Column, south: Column, points: int = 21) -> DataFrame:
     """Longitude-latitude box of each UTM box (minx, miny, maxx, maxy), from points along its edges; two boxes of one key count as one."""
     f = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: i / d(points - 1))
@@ -163,3 +171,27 @@ def wgs84_bounds(boxes: DataFrame, key: str, zone: Column, south: Column, points
     p = e.select(key, "zone", "south", F.explode(sides).alias("p")).select(key, "zone", "south", "p.*")
     lon, lat = wgs84_from_utm(c("x"), c("y"), c("zone"), c("south"))
     return p.select(key, lon.alias("lon"), lat.alias("lat")).groupBy(key).agg(F.min("lon").alias("west"), F.min("lat").alias("south"), F.max("lon").alias("east"), F.max("lat").alias("north"))
+
+
+#: The number of the longitude-latitude system, and what UTM zones of the northern and southern half are added to.
+LONLAT, NORTH_ZONES, SOUTH_ZONES = 4326, 32600, 32700
+
+
+def reprojected(boxes: DataFrame, key: str, target: str, points: int = 21) -> DataFrame:
+    """key, minx, miny, maxx, maxy in the target reference system of each box of its own (crs, as EPSG:number), from points along its edges. Longitude-latitude (4326) and UTM zones are known, others are an error; boxes in the target's system stay as they are."""
+
+    def utm(code: Column) -> Column:
+        return code.between(NORTH_ZONES + 1, NORTH_ZONES + 60) | code.between(SOUTH_ZONES + 1, SOUTH_ZONES + 60)
+
+    p = edges(boxes, [key, "crs"], points)
+    code = F.regexp_extract("crs", r"^EPSG:(\d{1,9})$", 1).try_cast("int")
+    known = F.when((c("crs") == target) | (code == LONLAT) | utm(code), code).otherwise(F.raise_error(F.concat(F.lit("unknown reference system: "), c("crs"))).cast("int"))
+    p = p.withColumn("code", known)
+    own = wgs84_from_utm(c("x"), c("y"), c("code") % 100, c("code") > SOUTH_ZONES)
+    p = p.select(key, "crs", "x", "y", *[F.when(c("code") == LONLAT, c(a)).otherwise(v).alias(n) for a, v, n in zip("xy", own, ("lon", "lat"), strict=True)])
+    to = int(target.removeprefix("EPSG:"))
+    if to != LONLAT and not NORTH_ZONES < to <= NORTH_ZONES + 60 and not SOUTH_ZONES < to <= SOUTH_ZONES + 60:
+        raise ValueError(f"unknown reference system: {target}")
+    new = (c("lon"), c("lat")) if to == LONLAT else utm_from_wgs84(c("lon"), c("lat"), F.lit(to % 100), F.lit(to > SOUTH_ZONES))
+    q = p.select(key, *[F.when(c("crs") == target, c(a)).otherwise(v).alias(a) for a, v in zip("xy", new, strict=True)])
+    return q.groupBy(key).agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))

@@ -3,8 +3,9 @@
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
-from geoloom.operators import catalog
+from geoloom.operators import catalog, grid
 from geoloom.sources import files
 
 
@@ -61,6 +62,8 @@ def test_index_leaves_out_places_without_a_reference_system_before_the_first_is_
     meta = spark.createDataFrame([(f"/{r}/s_R.tif", 10, 20, "EPSG:32638" if r == "r1" else None, 2.0, 0.0, 100.0, 0.0, -3.0, 500.0, None) for r in ("r0", "r1")], "path string, width int, height int, crs string, a double, b double, c double, d double, e double, f double, nodata double")
     (one,) = catalog.scene_index(bands, {"/r0": 0, "/r1": 1}, meta).collect()
     assert (one.scene_id, one.path_N, one.crs, one.minx, one.miny, one.maxx, one.maxy, one.res_x, one.res_y, one.nodata) == ("s", "/r1/s_N.tif", "EPSG:32638", 100.0, 440.0, 120.0, 500.0, 2.0, 3.0, None)
+    moved = catalog.scene_index(bands, {"/r0": 0, "/r1": 1}, meta, "EPSG:32638").first()
+    assert moved == one and catalog.scene_index(bands, {"/r0": 0, "/r1": 1}, meta, "EPSG:4326").first().maxx < 41
 
 
 def test_colour_bands_are_three_files_of_one_grid(spark):
@@ -73,3 +76,18 @@ def test_colour_bands_are_three_files_of_one_grid(spark):
     assert catalog.rgb_files(bands.where("scene = 'ok'"), meta).first().path_G == "/ok_1_G.tif"
     with pytest.raises(Exception, match="apart: grid mismatch"):
         catalog.rgb_files(bands.where("scene = 'apart'"), meta).collect()
+
+
+def test_boxes_go_to_another_reference_system_by_their_edges(spark):
+    schema = "k string, crs string, minx double, miny double, maxx double, maxy double"
+    df = spark.createDataFrame([("same", "EPSG:32638", 4e5, 4.4e6, 4.1e5, 4.42e6), ("next", "EPSG:32637", 8e5, 4.4e6, 8.1e5, 4.42e6), ("deg", "EPSG:4326", 42.0, 39.0, 42.5, 40.0)], schema)
+    got = {r.k: r for r in grid.reprojected(df, "k", "EPSG:32638").collect()}
+    assert got["same"][1:] == (4e5, 4.4e6, 4.1e5, 4.42e6)
+    # by a second program in plain Python, which searches on the forward formula for the inverse
+    want = {"next": (285539.0997129637, 4396468.173085152, 296849.7798482358, 4417080.703215189), "deg": (240199.8078775529, 4319750.015383783, 286588.8521329659, 4432069.0568985175)}
+    for k, box in want.items():
+        assert all(abs(a - b) < 1e-6 for a, b in zip(got[k][1:], box, strict=True))
+    back = grid.reprojected(df.where("k = 'deg'"), "k", "EPSG:4326").first()
+    assert back[1:] == (42.0, 39.0, 42.5, 40.0)
+    with pytest.raises(Exception, match="unknown reference system: EPSG:3857"):
+        grid.reprojected(df.withColumn("crs", F.lit("EPSG:3857")), "k", "EPSG:32638").collect()
