@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, htmltext, interaction, katz, langid, licenses, packing, pii, quality, simhash, suffixes
+from geoloom.llm import decontaminate, divergence, htmltext, interaction, katz, langid, licenses, packing, pii, quality, simhash, suffixes, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,14 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
+def op12_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 def op13_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -70,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_html": op10_html,
+    "op11_divergence": op11_divergence,
+    "op12_urls": op12_urls,
     "op13_interaction": op13_interaction,
 }
-ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.oracle(), "op6_licenses": licenses.oracle(), "op13_interaction": interaction.oracle()}
+ORACLES: dict[str, str] = {"op2_decontaminate": decontaminate.oracle(), "op6_licenses": licenses.oracle(), "op11_divergence": divergence.oracle(), "op13_interaction": interaction.oracle()}
