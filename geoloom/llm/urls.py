@@ -5,7 +5,7 @@ whole words (of two letters or more) of a public vocabulary, with Zipf's law ove
 UNKNOWN_LETTER a letter more. Path words are split likewise; runs of digits are one token.
 
 Naive Bayes learns from the table itself: a URL whose host has a word of SEEDS counts as blocked, any other with a host as
-allowed. Tokens are hashed into BUCKETS, so the model, which the driver gathers and sends out, has one bounded size however
+allowed. Each token counts once a URL, so one that repeats itself does not outweigh others. Tokens are hashed into BUCKETS, so the model, which the driver gathers and sends out, has one bounded size however
 many tokens there are; its counts cover all rows. Rules say which sections are blocked or allowed whatever their words, so they
 are no labels; where a rule fits, its verdict stands, and elsewhere that of the model.
 
@@ -131,7 +131,7 @@ def learned(places: DataFrame, words: dict[str, float], seeds: frozenset[str] =
                 if host:
                     of_host = split(host)
                     label = int(not seeds.isdisjoint(of_host))
-                    np.add.at(found[:, label], [bucket(t, buckets) for t in of_host + split(path.lower())] + [buckets], 1)
+                    np.add.at(found[:, label], [bucket(t, buckets) for t in {*of_host, *split(path.lower())}] + [buckets], 1)
         at = np.flatnonzero(found.any(axis=1))
         yield pa.record_batch([pa.array(at), pa.array(found[at, 0]), pa.array(found[at, 1])], names=["bucket", "allowed", "blocked"])
 
@@ -163,7 +163,7 @@ def judged(pages: DataFrame, vocabulary: str | None = None, rules: Iterable[tupl
             for host, path in zip(batch["host"].to_pylist(), batch["path"].to_pylist(), strict=True):
                 of_host = split(host)
                 names.append(" ".join(of_host))
-                values.append(prior + math.fsum(odds[bucket(t, len(odds))] for t in of_host + split(path.lower())))
+                values.append(prior + math.fsum(odds[bucket(t, len(odds))] for t in {*of_host, *split(path.lower())}))
             yield pa.record_batch([*batch.columns, pa.array(names, pa.string()), pa.array(values, pa.float64())], names=[*batch.schema.names, "words", "odds"])
 
     found = places.select("page_id", "host", "path", rule.alias("rule"), said.alias("said")).mapInArrow(scored, "page_id long, host string, path string, rule string, said string, words string, odds double")

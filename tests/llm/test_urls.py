@@ -55,7 +55,7 @@ def brute(rows, words):
         if h:
             bad = bool(urls.SEEDS & set(tokens(h)))
             seen[bad] += 1
-            counts[bad].update(urls.bucket(t) for t in tokens(h) + tokens(p.lower()))
+            counts[bad].update(urls.bucket(t) for t in set(tokens(h) + tokens(p.lower())))
     kinds = len(counts[True] | counts[False])
     odds = lambda b: math.log((counts[True][b] + 1) / (counts[True].total() + kinds)) - math.log((counts[False][b] + 1) / (counts[False].total() + kinds)) if counts[True][b] + counts[False][b] else 0.0
     out = []
@@ -63,7 +63,7 @@ def brute(rows, words):
         h, p = parts(u)
         fits = [(r, v) for v, r in urls.RULES for rh, rp in [(r[: r.index("/")], r[r.index("/") :])] if (h == rh or h.endswith("." + rh)) and p.startswith(rp)]
         rule, verdict = max(fits, key=lambda x: len(x[0]), default=(None, None))
-        score = math.log((seen[True] + 1) / (seen[False] + 1)) + sum(odds(urls.bucket(t)) for t in tokens(h) + tokens(p.lower()))
+        score = math.log((seen[True] + 1) / (seen[False] + 1)) + sum(odds(urls.bucket(t)) for t in set(tokens(h) + tokens(p.lower())))
         out.append((i, h, p, rule, verdict or ("block" if score > 0 else "allow")))
     return out
 
