@@ -108,8 +108,8 @@ class HeaderSource(DataSource):
         return HeaderReader(self.options)
 
 
-def directory(f) -> dict[int, tuple | bytes]:
-    """Values of the tags of a TIFF file's first directory, of 32-bit or 64-bit offsets."""
+def directory(f, wanted: tuple[int, ...] | None = None) -> dict[int, tuple | bytes]:
+    """Values of the wanted tags (those of a header) of a TIFF file's first directory, of 32-bit or 64-bit offsets; 0 has the byte order."""
     order = {b"II": "<", b"MM": ">"}.get(f.read(2))
     magic = struct.unpack(order + "H", f.read(2))[0] if order else 0
     if magic not in (42, 43):
@@ -126,9 +126,9 @@ def directory(f) -> dict[int, tuple | bytes]:
     entry = f"{order}HH{place}{room}s"
     entries = [struct.unpack(entry, f.read(struct.calcsize(entry))) for _ in range(number(count))]
     kinds = {1: "B", 2: "c", 3: "H", 4: "I", 5: "II", 12: "d", 16: "Q"}
-    got: dict[int, tuple | bytes] = {}
+    got: dict[int, tuple | bytes] = {0: order.encode()}
     for tag, kind, n, raw in entries:
-        if tag in TAGS and kind in kinds:
+        if tag in (wanted or TAGS) and kind in kinds:
             size = struct.calcsize("<" + kinds[kind]) * n
             if size > room:
                 f.seek(struct.unpack(order + place, raw)[0])
@@ -154,7 +154,11 @@ def by_band(metadata: str, role: str, bands: int, default: float) -> list[float]
 
 def header(f) -> tuple:
     """Width, height, bands, six affine coefficients, missing value, reference system (EPSG:number, the text of one without a number, or null), scales and offsets of an open TIFF file."""
-    got = directory(f)
+    return placed(directory(f))
+
+
+def placed(got: dict[int, tuple | bytes]) -> tuple:
+    """What header() gives, from the tags."""
     listed = got.get(34735, ())
     keys = {listed[i]: listed[i + 3] for i in range(4, len(listed) - 3, 4) if listed[i + 1] == 0}
     code = keys.get(PROJECTED) or keys.get(GEOGRAPHIC) or 0
