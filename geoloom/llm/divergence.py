@@ -28,7 +28,8 @@ from geoloom.llm import common
 
 #: A kept term stands in so many documents of its language; a group lists so many of its terms.
 LEAST_DOCS, TOP = 3, 200
-SCALE_STEPS, STEP = 3, 1000
+#: Shares are in 1 / STEP^3; below FITS occurrences, STEP^3 times a count fits 63 bits.
+STEP, FITS = 1000, 9 * 10**9
 #: Entries of a task's table before it is handed on.
 ENTRIES = 250_000
 #: Terms as words of a byte string: A-Z lowered, whatever is no letter and below 128 a space.
@@ -80,12 +81,13 @@ def sized(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(10^9 (count + 1) / (total + terms)), by long division."""
-    by = F.greatest(total + terms, F.lit(1))
-    whole, rest = F.call_function("div", count + 1, by), (count + 1) % by
-    state = F.struct(whole.alias("q"), rest.alias("r"))
-    steps = F.array_repeat(F.lit(STEP).cast("long"), SCALE_STEPS)
-    return 1 + F.aggregate(steps, state, lambda a, s: F.struct((a["q"] * s + F.call_function("div", a["r"] * s, by)).alias("q"), (a["r"] * s % by).alias("r")), lambda a: a["q"])
+    """1 + floor(10^9 (count + 1) / (total + terms)): one division where the product fits, else long division by thousands."""
+    by, div = F.greatest(total + terms, F.lit(1)), lambda a, b: F.call_function("div", a, b)
+    one = (count + 1) % by
+    two = one * STEP % by
+    three = two * STEP % by
+    long = div(count + 1, by) * STEP**3 + div(one * STEP, by) * STEP**2 + div(two * STEP, by) * STEP + div(three * STEP, by)
+    return 1 + F.when(by < FITS, div((count + 1) * STEP**3, by)).otherwise(long)
 
 
 def divergence(p: Column, q: Column) -> Column:
@@ -98,16 +100,18 @@ def tally(kept: DataFrame, groups: DataFrame) -> DataFrame:
     sources = groups.select("lang", F.col("source").alias("b"))
     both = kept.select("lang", "cells", F.posexplode("cells").alias("i", "x")).select("lang", F.col("x.source").alias("a"), F.col("x.n").alias("na"), F.explode(F.slice("cells", F.col("i") + 2, F.size("cells"))).alias("y"))
 
-    def moved(na: Column, nb: Column, m: int) -> Column:
-        return F.struct(na.alias("na"), nb.alias("nb"), F.lit(m).cast("long").alias("m"))
+    seen = both.groupBy("lang", "a", F.col("y.source").alias("b"), "na", F.col("y.n").alias("nb")).agg(F.count("*").alias("m"))
 
-    zero, na, nb = F.lit(0).cast("long"), F.col("na"), F.col("y.n")
-    seen = both.select("lang", "a", F.col("y.source").alias("b"), F.inline(F.array(moved(na, nb, 1), moved(na, zero, -1), moved(zero, nb, -1), moved(zero, zero, 1))))
+    def cell(na: Column, nb: Column, m: Column) -> Column:
+        return F.struct(na.alias("na"), nb.alias("nb"), m.alias("m"))
+
+    zero, na, nb, m = F.lit(0).cast("long"), F.col("na"), F.col("nb"), F.col("m")
+    seen = seen.select("lang", "a", "b", F.inline(F.array(cell(na, nb, m), cell(na, zero, -m), cell(zero, nb, -m), cell(zero, zero, m))))
     # by itself, each source has its counts against zero; those where the other has the term too were taken away above
     own = kept.select("lang", F.inline("cells")).groupBy("lang", "source", "n").agg(F.count("*").alias("m")).join(sources, "lang").where("source <> b")
     first = F.col("source") < F.col("b")
     own = own.select("lang", F.least("source", "b").alias("a"), F.greatest("source", "b").alias("b"), F.when(first, F.col("n")).otherwise(0).alias("na"), F.when(first, 0).otherwise(F.col("n")).alias("nb"), "m")
-    own = own.select("lang", "a", "b", F.inline(F.array(F.struct("na", "nb", "m"), F.struct(zero.alias("na"), zero.alias("nb"), (-F.col("m")).alias("m")))))
+    own = own.select("lang", "a", "b", F.inline(F.array(cell(na, nb, m), cell(zero, zero, -m))))
     every = groups.select("lang", F.col("source").alias("a"), F.col("terms").alias("m")).join(sources, "lang").where("a < b").select("lang", "a", "b", zero.alias("na"), zero.alias("nb"), "m")
     return seen.unionByName(own).unionByName(every).groupBy("lang", "a", "b", "na", "nb").agg(F.sum("m").alias("m"))
 
