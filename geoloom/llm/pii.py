@@ -10,7 +10,8 @@ only, so half of the token forms must be found again by context: `recovered` cou
 Confidence of a pattern: known instances of its kind, by score, to all known ones and UNKNOWN times the unlabelled ones.
 
 Regular expressions are written for one linear scan: a match can only begin where a run begins or where the last match
-ended, and repeated groups are possessive, so that long runs neither backtrack nor recurse. Contexts are cut from REACH
+ended, and repeated groups are possessive, so that long runs neither backtrack nor recurse. Positions are running sums by blocks,
+overlaps one sort and a running furthest end, and contexts are cut from short pieces of the text: the work grows with the text's length, not its square. Contexts are cut from REACH
 characters on either side, which is part of what a pattern is; identifiers themselves have no greatest length.
 
 Defined results: null and empty texts have no spans; spans are in code points, end excluded; equal rows get equal
@@ -21,6 +22,8 @@ of different kinds may overlap; added spans overlap no base span and begin after
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +46,10 @@ TOKEN = r"^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[0-9A-Za-z_-]{20,}$"
 REACH = 40
 #: A pattern needs this score of different known instances of its kind, and this confidence; unlabelled instances count UNKNOWN each against it.
 SUPPORT, CONFIDENCE, UNKNOWN, ROUNDS = 4, 0.75, 0.25, 3
-SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
+SPAN = "struct<kind:string,start:int,end:int,value:string>"
+SPANS = f"array<{SPAN}>"
+#: Numbers that running() folds together, and code points of a text that cut() keeps together.
+BLOCK, PIECE = 64, 512
 
 
 def luhn(digits: Column) -> Column:
@@ -65,19 +71,56 @@ def valid(kind: str, m: Column) -> Column:
     return F.length(digits).between(9, 15)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once however often use names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, fold: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """What fold makes of 0 and all values before each, and in the end of all of them: one number more than values. Blocks of
+    BLOCK numbers are folded by themselves and then from where the ones before them ended, so an array is never copied more than a block at a time."""
+    zero = F.lit(0)
+
+    def within(start: Column, block: Column) -> Column:
+        state = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block, state, lambda a, v: F.struct(fold(a["at"], v).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    if not levels:
+        return bound(values, lambda v: F.concat(within(zero, v), F.array(F.aggregate(v, zero, fold))))
+
+    def blockwise(v: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.call_function("div", F.size(v), F.lit(BLOCK)).cast("int")), lambda i: F.slice(v, i * BLOCK + 1, F.lit(BLOCK)))
+        return bound(cut, whole)
+
+    def whole(blocks: Column) -> Column:
+        starts = running(F.transform(blocks, lambda b: F.aggregate(b, zero, fold)), fold, levels - 1)
+        return bound(starts, lambda at: F.concat(F.flatten(F.transform(blocks, lambda b, i: within(F.get(at, i), b))), F.slice(at, -1, 1)))
+
+    return bound(values, blockwise)
+
+
+def cut(text: Column) -> Column:
+    """text in pieces of PIECE code points, for between()."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from start to end (code points from 0, clipped to the text), by way of the pieces that hold it alone."""
+    low = F.greatest(start, F.lit(0))
+    first = F.call_function("div", low, F.lit(PIECE)).cast("int")
+    count = F.call_function("div", F.greatest(end - 1, low), F.lit(PIECE)).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(pieces, first + 1, count), ""), low - first * PIECE + 1, F.greatest(end - low, F.lit(0)))
+
+
 def located(text: Column, kind: str, pattern: str) -> Column:
     """All matches as spans. What stands between matches comes from a split by the same pattern, so positions are running sums of lengths."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.arrays_zip(gaps.alias("g"), found.alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["g"])
-        end = begin + F.length(x["m"])
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.when(x["m"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")))
+    def spans(z: Column) -> Column:
+        steps = F.transform(z["m"], lambda m, i: F.length(F.element_at(z["g"], i + 1)) + F.length(m))
+        return bound(running(steps, lambda a, x: a + x), lambda at: F.transform(z["m"], lambda m, i: F.struct(F.lit(kind).alias("kind"), (F.get(at, i + 1) - F.length(m)).alias("start"), F.get(at, i + 1).alias("end"), m.alias("value"))))
 
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda a: a["spans"])).otherwise(F.array().cast(SPANS))
+    return F.when(text.rlike(pattern), bound(F.struct(gaps.alias("g"), found.alias("m")), spans)).otherwise(F.array().cast(SPANS))
 
 
 def base(text: Column) -> dict[str, Column]:
@@ -95,15 +138,29 @@ def mentions(text: Column, spans: Column) -> Column:
     def side(s: Column) -> Column:
         return F.regexp_replace(F.lower(s), "[0-9]+", "#")
 
-    def of(s: Column) -> Column:
-        left = side(F.substring(text, F.greatest(s["start"] - REACH, F.lit(0)) + 1, F.least(s["start"], F.lit(REACH))))
-        right = side(F.substring(text, s["end"] + 1, F.lit(REACH)))
+    def of(pieces: Column, s: Column) -> Column:
+        left, right = side(between(pieces, s["start"] - REACH, s["start"])), side(between(pieces, s["end"], s["end"] + REACH))
         three, two = F.regexp_extract(left, r"([^\s]+\s+[^\s]+\s+[^\s]*\s*)$", 1), F.regexp_extract(left, r"([^\s]+\s+[^\s]*\s*)$", 1)
         one, nxt = F.regexp_extract(left, r"([^\s]+\s*)$", 1), F.regexp_extract(right, r"^(\s*[^\s]*)", 1)
         words = F.array(F.concat(F.lit("l3 "), F.trim(three)), F.concat(F.lit("l "), F.trim(two)), F.concat(F.lit("lr "), F.trim(one), F.lit(" _ "), F.trim(nxt)))
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), words.alias("contexts"))
 
-    return F.transform(spans, of)
+    some = bound(cut(text), lambda pieces: F.transform(spans, lambda s: of(pieces, s)))
+    return F.when(F.size(spans) > 0, some).otherwise(F.transform(spans, lambda s: of(F.array(F.lit("")), s)))
+
+
+def apart(known: Column, others: Column) -> Column:
+    """Those of others (in order, without overlap) that overlap no known span: one sort by place, and the furthest end so far."""
+    at = lambda s: F.struct(s["start"].alias("at"), F.lit(1).alias("turn"), s["end"].alias("reach"), F.lit(None).cast(SPAN).alias("span"))
+    end = lambda s: F.struct(s["end"].alias("at"), F.lit(0).alias("turn"), F.lit(0).alias("reach"), s.alias("span"))
+    events = F.array_sort(F.concat(F.transform(known, at), F.transform(others, end)))
+
+    def free(e: Column) -> Column:
+        reach = running(F.transform(e, lambda x: x["reach"]), lambda a, x: F.greatest(a, x))
+        zipped = bound(reach, lambda r: F.filter(F.transform(e, lambda x, i: F.struct(x["turn"].alias("turn"), F.get(r, i).alias("reach"), x["span"].alias("span"))), lambda x: (x["turn"] == 0) & (x["reach"] <= x["span"]["start"])))
+        return F.transform(zipped, lambda x: x["span"])
+
+    return F.when((F.size(known) > 0) & (F.size(others) > 0), bound(events, free)).otherwise(others)
 
 
 def candidates(text: Column) -> Column:
@@ -122,8 +179,8 @@ def extracted(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
     one = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *whole)
     two = one.select("*", *[c.alias(f"s_{k}") for k, c in base(F.col("text")).items()], candidates(F.col("text")).alias("other"))
     known = F.concat(*[f"s_{k}" for k in KINDS])
-    free = F.filter("other", lambda o: ~F.exists(known, lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"])))
-    return common.written(two.select("key", "doc_id", *[f"s_{k}" for k in KINDS], mentions(F.col("text"), F.concat(known, free)).alias("mentions"), *(["whole"] if keep_rows else [])))
+    three = two.withColumn("free", apart(known, F.col("other")))
+    return common.written(three.select("key", "doc_id", *[f"s_{k}" for k in KINDS], mentions(F.col("text"), F.concat(known, "free")).alias("mentions"), *(["whole"] if keep_rows else [])))
 
 
 def is_seed(value: Column) -> Column:
@@ -201,11 +258,13 @@ def redact(docs: DataFrame) -> DataFrame:
     f = found(docs, keep_rows=True)
     spans = F.array_sort(F.transform(F.concat(*[f"s_{k}" for k in KINDS], "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     text, f = F.col("whole.text"), f.select("whole", spans.alias("spans"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["parts"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["parts"]).alias("parts"))
+    def cleaned(z: Column) -> Column:
+        """Spans that begin where all before them have ended are named; each takes the text since then with it."""
+        p, reach = z["pieces"], z["reach"]
+        parts = F.transform("spans", lambda s, i: F.when(s["start"] >= F.get(reach, i), F.concat(between(p, F.get(reach, i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+        return F.concat(F.array_join(parts, ""), between(p, F.element_at(reach, -1), F.length(text)))
 
-    clean = F.aggregate("spans", start, step, lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))))
+    ends = running(F.transform("spans", lambda s: s["end"]), lambda a, x: F.greatest(a, x))
+    clean = bound(F.struct(cut(text).alias("pieces"), ends.alias("reach")), cleaned)
     return f.select(*[F.when(F.size("spans") > 0, clean).otherwise(text).alias("text") if c == "text" else F.col("whole").getField(c).alias(c) for c in docs.columns])
