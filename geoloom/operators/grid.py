@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, invert_affine, raster_side, utm_from_wgs84, utm_zone, wgs84_from_utm
+from geoloom.functions.geodesy import LONLAT, NORTH_ZONES, SOUTH_ZONES
 
 
 def axis_starts(length: Column, tile: int, overlap: int) -> Column:
@@ -173,10 +173,6 @@ def wgs84_bounds(boxes: DataFrame, key: str, zone: Column, south: Column, points
     return p.select(key, lon.alias("lon"), lat.alias("lat")).groupBy(key).agg(F.min("lon").alias("west"), F.min("lat").alias("south"), F.max("lon").alias("east"), F.max("lat").alias("north"))
 
 
-#: The number of the longitude-latitude system, and what UTM zones of the northern and southern half are added to.
-LONLAT, NORTH_ZONES, SOUTH_ZONES = 4326, 32600, 32700
-
-
 def reprojected(boxes: DataFrame, key: str, target: str, points: int = 21) -> DataFrame:
     """key, minx, miny, maxx, maxy in the target reference system of each box of its own (crs, as EPSG:number), from points along its edges. Longitude-latitude (4326) and UTM zones are known, others are an error; boxes in the target's system stay as they are."""
 
