@@ -66,6 +66,86 @@ def crossfit_residuals(p0: np.ndarray, p1: np.ndarray, width: int, height: int,
     return (out, None) if np.isfinite(out).all() else (None, "non_finite_crossfit_residuals")
 
 
+#: Rows of a block in the factorisation below; the sides' product is what numpy does fast.
+BLOCK = 256
+
+
+def inverse(a: np.ndarray) -> np.ndarray:
+    """Inverse of a symmetric positive definite matrix, in its place: Cholesky by block columns, the factor's inverse by block rows, and their product."""
+    n = len(a)
+    cuts = [(j, min(j + BLOCK, n)) for j in range(0, n, BLOCK)]
+    for j, k in cuts:
+        if j:
+            a[j:, j:k] -= a[j:, :j] @ a[j:k, :j].T
+        own = np.linalg.cholesky(a[j:k, j:k])
+        a[j:k, j:k] = inv = np.linalg.inv(own)
+        if k < n:
+            a[k:, j:k] = a[k:, j:k] @ inv.T
+    for j, k in cuts:  # diagonal blocks are inverted already
+        if j:
+            a[j:k, :j] = -a[j:k, j:k] @ (a[j:k, :j] @ a[:j, :j])
+        a[j:k, k:] = 0
+    for j, k in cuts:
+        a[:k, j:k] = a[j:, :k].T @ a[j:, j:k]
+        a[j:k, :j] = a[:j, j:k].T
+    return a
+
+
+class LeftOut:
+    """Errors of a spline at points that it is not fitted to, for any such set, from one factorisation.
+
+    With B the block of the inverse of the spline's system that belongs to the points, and w = B y its weights, the error at a left-out set S is
+    the solution of B_SS e = w_S. Points are taken out of the whole by the same rule, so all rounds of a filter share one inverse.
+    """
+
+    def __init__(self, src: np.ndarray, dst: np.ndarray, scale: float, smoothing: float) -> None:
+        at = src / scale
+        self.scale, n = scale, len(at)
+        k = np.empty((n, n))
+        for i in range(0, n, BLOCK):
+            r2 = (at[i : i + BLOCK, None, 0] - at[None, :, 0]) ** 2
+            r2 += (at[i : i + BLOCK, None, 1] - at[None, :, 1]) ** 2
+            k[i : i + BLOCK] = np.log(np.where(r2 > 0, r2, 1.0)) * r2 * 0.5
+        k[np.diag_indices(n)] += smoothing
+        # reflections that turn the plane's three columns to the first three places leave a positive definite rest
+        (h, tau), v = np.linalg.qr(np.column_stack((np.ones(n), at)), mode="raw"), np.zeros((n, 3))
+        for i in range(3):
+            v[i + 1 :, i], v[i, i] = h[i, i + 1 :], 1.0
+        if min(abs(h[i, i]) for i in range(3)) < 1e-12:
+            raise np.linalg.LinAlgError("points on one line")
+        t = np.zeros((3, 3))
+        for i in range(3):
+            t[:i, i], t[i, i] = -tau[i] * (t[:i, :i] @ (v[:, :i].T @ v[:, i])), tau[i]
+        k -= (k @ v @ t) @ v.T
+        k -= v @ (t.T @ (v.T @ k))
+        b = np.zeros((n, n))
+        b[3:, 3:] = inverse(np.ascontiguousarray(k[3:, 3:]))
+        del k
+        b -= v @ (t @ (v.T @ b))
+        b -= (b @ v @ t.T) @ v.T
+        self.b, self.w = b, b @ (dst / scale)
+
+    def errors(self, out: np.ndarray) -> np.ndarray:
+        """Error vectors at the left-out points (a mask)."""
+        return np.linalg.solve(self.b[np.ix_(out, out)], self.w[out]) * self.scale
+
+    def drop(self, out: np.ndarray) -> None:
+        """Takes points (a mask) out for good."""
+        on, cut = ~out, self.b[:, out]
+        gone = np.linalg.solve(cut[out], np.column_stack((cut[on].T, self.w[out])))
+        self.w = self.w[on] - cut[on] @ gone[:, -2:]
+        self.b = self.b[np.ix_(on, on)]
+        self.b -= cut[on] @ gone[:, :-2]
+
+
+def fold_problem(fold: np.ndarray | None, n: int, least_train: int) -> str | None:
+    """Why folds can't be cross-fitted."""
+    if fold is None:
+        return f"not_enough_spatial_blocks({n})"
+    few = [k for k in (len(fold) - np.bincount(fold, minlength=n)).tolist() if k < least_train]
+    return f"too_few_train_matches_in_fold({few[0]})" if few else None
+
+
 def threshold(r: np.ndarray, least: float, k: float) -> float:
     med = np.median(r)
     return float(max(least, med + k * 1.4826 * np.median(np.abs(r - med))))
@@ -87,18 +167,33 @@ def distinct_moving(p0: np.ndarray, step: float = 0.25) -> int:
     return len(np.unique(np.rint(p0 / step), axis=0)) if len(p0) else 0
 
 
-def spline_filter(m: DataFrame, width: int, height: int, block: int = 512, folds: int = 5, least_train: int = 6, least_total: int = 8, smoothing: float = 1e-3, rounds: int = 5, fraction: float = 0.2, least_px: float = 6.0, k: float = 3.0, need: int = 12, strong: int = 80) -> DataFrame:
-    """By scene: drops the worst pairs by cross-fitted residual, round by round, until none is above the robust threshold."""
+def spline_filter(m: DataFrame, width: int, height: int, block: int = 512, folds: int = 5, least_train: int = 6, least_total: int = 8, smoothing: float = 1e-3, rounds: int = 5, fraction: float = 0.2, least_px: float = 6.0, k: float = 3.0, need: int = 12, strong: int = 80, scenes_at_once: int = 200) -> DataFrame:
+    """By scene: drops the worst pairs by cross-fitted residual, round by round, until none is above the robust threshold. A scene of n pairs takes 16 n^2 bytes, and half as much again while it is factorised, in its task."""
+
+    def residuals(p1: np.ndarray, sides: list[LeftOut]) -> tuple[np.ndarray | None, str | None]:
+        fold, n = fold_of(p1, block, width, height, folds)
+        if why := fold_problem(fold, n, least_train):
+            return None, why
+        out = np.zeros(len(p1))
+        for f in range(n):
+            test = fold == f
+            out[test] = sum(np.linalg.norm(side.errors(test), axis=1) for side in sides) / 2
+        return (out, None) if np.isfinite(out).all() else (None, "non_finite_crossfit_residuals")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         p0, p1 = _rows(pdf)
-        on, last, reason, iters = np.arange(len(p0)), None, None, 0
+        on, last, reason, iters, sides = np.arange(len(p0)), None, None, 0, []
         for _ in range(rounds):
             if len(on) < least_total:
                 reason = f"too_few_matches_before_iteration({len(on)})"
                 break
             try:
-                r, why = crossfit_residuals(p0[on], p1[on], width, height, block, folds, least_train, smoothing)
+                r, why = None, fold_problem(*fold_of(p1[on], block, width, height, folds), least_train)
+                if not why:
+                    if not sides:
+                        scale = float(max(width, height))
+                        sides = [LeftOut(p0, p1, scale, smoothing), LeftOut(p1, p0, scale, smoothing)]
+                    r, why = residuals(p1[on], sides)
             except (np.linalg.LinAlgError, ValueError, FloatingPointError) as e:  # a scene that fails has its reason, and the others go on
                 reason = f"tps_filter_failed:{e}"
                 break
@@ -109,14 +204,18 @@ def spline_filter(m: DataFrame, width: int, height: int, block: int = 512, folds
             bad = np.flatnonzero(r > threshold(r, least_px, k))
             if not len(bad):
                 break
-            worst = bad[np.argsort(-r[bad], kind="stable")][: max(1, int(len(on) * fraction))]
-            on = np.delete(on, worst)
+            worst = np.zeros(len(on), bool)
+            worst[bad[np.argsort(-r[bad], kind="stable")][: max(1, int(len(on) * fraction))]] = True
+            on = on[~worst]
             if len(on) < least_total:
                 reason = f"too_few_matches_after_tps_clean({len(on)})"
                 break
+            for side in sides:
+                side.drop(worst)
         return _result(int(key[0]), len(p0), 0 if reason else distinct_moving(p0[on]), need, strong, "tps", reason, iters, last)
 
-    return m.groupBy("scene").applyInPandas(run, RESULT)
+    # rows say nothing of the work: without a number of its own, small scenes would be put together in one task
+    return m.repartition(scenes_at_once, "scene").groupBy("scene").applyInPandas(run, RESULT)
 
 
 def homography(p0: np.ndarray, p1: np.ndarray) -> np.ndarray | None:
