@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.functions.columns import c
-from geoloom.operators import classify, selection
+from geoloom.operators import classify, finalise, selection
 
 
 def csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -57,3 +60,19 @@ def job_rows(spark: SparkSession, path: str) -> DataFrame:
     e = t.select("file", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "text")).where(F.ltrim("text").startswith("{"))
     row = F.from_json("text", "map<string,string>")
     return e.select("file", "pos", F.get(F.filter(F.map_values(F.map_filter(row, lambda k, v: (k == "scene") & (v != ""))), lambda v: v.isNotNull()), F.lit(0)).alias("scene"), row.alias("row")).where("row is not null")
+
+
+def merged_summaries(report: DataFrame, path: str, buckets: int = 64) -> None:
+    """Updates the table of scene summaries at path by a finalising report, scene by scene. Only buckets with new scenes are written; they are staged whole first, so a run that is cut off in between is simply done again."""
+    spark, staged = report.sparkSession, f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    of = lambda k: F.pmod(F.xxhash64(k), F.lit(buckets)).cast("int")
+    schema = T.StructType([*T._parse_datatype_string(finalise.SUMMARY).fields, T.StructField("bucket", T.IntegerType())])
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    existing = spark.read.schema(schema).parquet(path) if there.exists(at) else spark.createDataFrame([], schema)
+    touched = report.where("summary is not null").select(of("scene").alias("bucket")).distinct()
+    finalise.updated(existing.join(touched, "bucket", "left_semi").drop("bucket"), report).withColumn("bucket", of("scene")).write.parquet(staged)
+    fresh = spark.read.schema(schema).parquet(staged)
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    gone = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    there.delete(gone, True)
