@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geoloom.adapters import sql, v_matches, v_pixels
+from geoloom.adapters import sql, table, v_matches
 from geoloom.functions.columns import c, d
 from geoloom.operators import refine
 
@@ -20,7 +20,8 @@ def inputs(spark, sf):
     one, zero = d(1), d(0)
     shift = (c("scene") * 37 % 90 - 40).cast("double") + d(0.25)
     shapes = scenes.select("scene", F.lit("affine").alias("kind"), F.array(one, zero, shift, zero, one, (c("scene") % 3).cast("double"), zero, zero, one).alias("h"))
-    cells = v_pixels(spark, sf).where("valid").select(c("scene_ord").cast("long").alias("scene"), (c("row") - c("row") % 4).alias("r"), (c("col") - c("col") % 4).alias("q")).distinct()
+    lines = table(spark, sf, "lineitem").where("l_returnflag <> 'N'")
+    cells = lines.select((c("l_orderkey") % 8).alias("scene"), (c("l_partkey") % 16 * 4).cast("int").alias("r"), (F.floor(c("l_orderkey") / 8) % 16 * 4).cast("int").alias("q")).distinct()
     four = F.sequence(F.lit(0), F.lit(3))
     masks = cells.select("scene", "q", F.explode(F.transform(four, lambda i: c("r") + i)).alias("row")).select("scene", "row", F.explode(F.transform(four, lambda i: c("q") + i)).alias("col"))
     moving = masks.where("not (scene = 5 and col >= 30)")
@@ -61,7 +62,7 @@ def _starts(side: str) -> str:
 
 TILES_SQL = f"""scenes AS (SELECT DISTINCT scene FROM v_matches),
 images AS (SELECT scene, CAST(scene * 8 + 8 AS INT) AS h, CAST(64 - scene * 3 AS INT) AS w, CAST(scene * 37 % 90 - 40 AS DOUBLE) + 0.25::DOUBLE AS dx, CAST(scene % 3 AS DOUBLE) AS dy FROM scenes),
-masks AS (SELECT scene, r * 4 + i.i AS "row", q * 4 + j.j AS col FROM (SELECT DISTINCT CAST(scene_ord AS BIGINT) AS scene, "row" // 4 AS r, col // 4 AS q FROM v_pixels WHERE valid), range(4) i(i), range(4) j(j)),
+masks AS (SELECT scene, r * 4 + i.i AS "row", q * 4 + j.j AS col FROM (SELECT DISTINCT l_orderkey % 8 AS scene, l_partkey % 16 AS r, l_orderkey // 8 % 16 AS q FROM lineitem WHERE l_returnflag <> 'N'), range(4) i(i), range(4) j(j)),
 ty AS (SELECT *, CAST(unnest({_starts("h")}) AS INT) AS y0 FROM images), tx AS (SELECT *, CAST(unnest({_starts("w")}) AS INT) AS x0 FROM ty),
 windows AS (SELECT *, CAST(row_number() OVER (PARTITION BY scene ORDER BY y0, x0) - 1 AS INT) AS tile_id, least(y0 + {TILE}, h) AS y1, least(x0 + {TILE}, w) AS x1 FROM tx),
 predicted AS (SELECT *, greatest(0, least(CAST(floor(y0 + dy) AS INT) - {MARGIN}, h)) AS ry0, greatest(0, least(CAST(ceil(y1 - 1 + dy) AS INT) + {MARGIN + 1}, h)) AS ry1,
@@ -88,9 +89,9 @@ o AS (SELECT * EXCLUDE (ord, tile_id), row_number() OVER (PARTITION BY scene ORD
 SELECT scene, ord, round(x0, 6) AS x0, round(y0, 6) AS y0, round(x1, 6) AS x1, round(y1, 6) AS y1, round(conf, 6) AS conf FROM (SELECT *, row_number() OVER (PARTITION BY scene, round_even(x0 / 0.5::DOUBLE, 0), round_even(y0 / 0.5::DOUBLE, 0), round_even(x1 / 0.5::DOUBLE, 0), round_even(y1 / 0.5::DOUBLE, 0) ORDER BY conf DESC, ord) AS n FROM o) WHERE n = 1"""
 
 QUERIES = {
-    "q_tile_states": (tile_states, sql(STATES_SQL, "v_matches", "v_pixels")),
+    "q_tile_states": (tile_states, sql(STATES_SQL, "v_matches")),
     "q_tile_counters": (lambda s, sf: refine.tile_counters(job(s, sf)[0]), sql(f"""WITH states AS ({STATES_SQL}) SELECT scene, count(*) AS n_tiles_total, count(*) FILTER (status = 'used_refined') AS n_tiles_used, count(*) FILTER (status = 'skip_small') AS n_tiles_skip_small, count(*) FILTER (status = 'skip_low_valid') AS n_tiles_skip_valid,
  count(*) FILTER (status IN ('skip_empty_pred_window', 'skip_empty_ref')) AS n_tiles_skip_empty_ref, count(*) FILTER (status = 'zero_raw') AS n_tiles_zero_raw, count(*) FILTER (status IN ('worker_error', 'rejected_by_tile_filter')) AS n_tiles_rejected_filter, count(*) FILTER (status = 'rejected_by_prior_gate') AS n_tiles_rejected_prior
- FROM states GROUP BY scene""", "v_matches", "v_pixels")),
-    "q_refined_pairs": (refined_pairs, sql(PAIRS_SQL, "v_matches", "v_pixels")),
+ FROM states GROUP BY scene""", "v_matches")),
+    "q_refined_pairs": (refined_pairs, sql(PAIRS_SQL, "v_matches")),
 }
