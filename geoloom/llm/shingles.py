@@ -4,8 +4,10 @@ Candidates come from two sides, and every link is checked against the full sets.
 SimHash fingerprints (of the same shingles) lie within a few bits. Pairs at the threshold differ in some ten bits, which no
 Hamming search finds cheaply, so a prefix filter adds every pair that it leaves out: with all shingles in one global
 order, two sets that are 4/5 alike share one of the first n - ceil(4n/5) + 1 of each set's n. Sets meet in groups by
-these shingles alone; no such pair is missed, and the order (shingles that a sample of texts often has come last) only
-decides how many others meet.
+these shingles alone; no such pair is missed, and the order only
+decides how many others meet: shingles that a sample of texts often has come last, and so do those that are then counted in more
+than CROWD prefixes of all texts. What groups of more than GROUP members are left (texts that have frequent shingles alone) is compared
+by pairs of blocks, each in a task of its own.
 
 Groups of near copies are dense, so pairs come in two turns. First come the pigeonring pairs, and each prefix group
 links its members to one of them; what is then checked and joined to components is tried no more. The second turn takes
@@ -35,6 +37,10 @@ SHARE = (4, 5)
 #: Texts that the order of shingles is estimated from, how often one must occur there to be put last, and how many of those are kept at most. Results don't depend on them.
 SAMPLE, OFTEN, KNOWN = 5_000, 3, 200_000
 PAIRS = 1_000_000
+#: A prefix shingle of more texts than this is counted and put last for all; a group of more members is compared block by block.
+CROWD, GROUP = 1_000, 2_000
+#: How often the order is made anew from exact counts; shingles that then move up may be frequent, too.
+ORDERS = 1
 #: Up to so many ids (8 bytes each) are broadcast to pick their texts in the scan; more are joined by a shuffle.
 FEW_IDS = 2_000_000
 #: Bits of a set's small bitmap, a power of two, and the least number of bits a shingle of its wide one.
@@ -78,9 +84,25 @@ def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return h.view(np.uint64)[order], n[order]
 
 
-def marked(docs: DataFrame, words: int) -> DataFrame:
-    """id, digest of the set, n (its size), fp (its SimHash), bitmap, wide (bitmap), first (the shingles of its prefix in order) of each row."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
+def counted(dealt: DataFrame, before: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
+    """The order's shingles with their exact numbers of prefixes, where some stands in more than CROWD prefixes and was not among those put last; else None. At most KNOWN, the most frequent."""
+    h = dealt.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).orderBy(F.desc("n"), "h").limit(KNOWN).toArrow()
+    found = dict(zip(h.column(0).to_numpy().view(np.uint64).tolist(), h.column(1).to_pylist(), strict=True))
+    if found.keys() <= set(before[0].tolist()):
+        return None
+    # those of the sample stay behind all that it did not have, by how often all texts would have them
+    scale = max(1, int(max(found.values())))
+    every = {k: int(n) * scale for k, n in zip(before[0].tolist(), before[1].tolist(), strict=True)}
+    for k, n in found.items():
+        every[k] = max(every.get(k, 0), n)
+    most = sorted(every, key=lambda k: (-every[k], k))[: 2 * KNOWN]
+    keys = np.array(sorted(most), np.uint64)
+    return keys, np.array([every[int(k)] for k in keys], np.int64)
+
+
+def marked(docs: DataFrame, words: int, order: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """id, digest of the set, n (its size), fp (its SimHash), bitmap, wide (bitmap), first (the shingles of its prefix in order) of each row. order: shingles (sorted) that come last, and how often each is."""
+    sent = docs.sparkSession.sparkContext.broadcast(order)
     p, q = SHARE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,17 +180,26 @@ def mixed(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in c], names=["h", "id", "n", "at", "label"])
 
 
+def blockwise(rows: DataFrame) -> DataFrame:
+    """Rows of groups (h), those of large groups once for each pair of blocks that theirs is in, under a hash of their own; block is their own, and alone tells pairs of a block with itself (and small groups)."""
+    size = rows.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > GROUP).select("h", F.ceil(F.col("m") / GROUP).cast("int").alias("blocks"))
+    j = rows.join(size, "h", "left").withColumn("block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), "blocks").cast("int")))
+    j = j.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    key = F.when(F.col("blocks").isNull(), F.col("h")).otherwise(F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other")))
+    return j.select(key.alias("h"), "id", "n", "at", "label", "bitmap", "block", (F.col("block") == F.col("other")).alias("alone"))
+
+
 def apart(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of a group's members that have different labels and whose bitmaps allow the overlap."""
+    """All pairs of a group's members that have different labels and whose bitmaps allow the overlap; of two blocks, those of one member each."""
     p, q = SHARE
-    for h, i, n, at, label, odd in groups(run):
+    for h, i, n, at, label, odd, block, alone in groups(run):
         bits = np.frombuffer(b"".join(odd), np.uint64).reshape(len(h), -1)
         edge = np.concatenate(([0], np.flatnonzero(np.diff(h)) + 1, [len(h)]))
         a, b, held = [], [], 0
         for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
             for x in range(lo, hi - 1):
                 y = np.arange(x + 1, hi)
-                y = y[label[y] != label[x]]
+                y = y[(label[y] != label[x]) & (alone[x] | (block[y] != block[x]))]
                 y = y[possible(n, at, np.full(len(y), x), y)]
                 both = n[x] + n[y]
                 y = y[(both - np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)) * (p + q) >= 2 * p * both]
@@ -226,10 +257,18 @@ def verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame, words: int) ->
 def near_copies(docs: DataFrame, words: int) -> DataFrame:
     """id, label (smallest id of its component) of each row; doc_id is unique and not null."""
     common.ship(docs.sparkSession)
-    marks = common.written(marked(docs, words))
+    order = frequent(docs, words)
+    marks = common.written(marked(docs, words, order))
     first = marks.groupBy("digest").agg(F.min("id").alias("rep"))
     tagged = common.written(marks.select("id", "digest").join(first, "digest").select("id", "rep"))
-    nodes = marks.join(tagged.where("id <> rep"), "id", "left_anti")
+    copies = tagged.where("id <> rep")
+    for _ in range(ORDERS):
+        exact = counted(marks.join(copies, "id", "left_anti").select(F.explode("first").alias("h")), order)
+        if exact is None:
+            break
+        common.drop(marks)
+        order, marks = exact, common.written(marked(docs, words, exact))
+    nodes = marks.join(copies, "id", "left_anti")
     dealt = nodes.select("id", "n", F.posexplode("first").alias("at", "h")).select("h", "id", "n", F.col("at").cast("long").alias("at"))
 
     def several(run: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +287,7 @@ def near_copies(docs: DataFrame, words: int) -> DataFrame:
     part = simhash.components(good)
     named = met.join(part.select(F.col("node").alias("id"), "label"), "id", "left").select("h", "id", "n", "at", F.coalesce("label", "id").alias("label"))
     open_groups = sorted_by_group(named).mapInArrow(mixed, "h long, id long, n long, at long, label long").join(marks.select("id", "bitmap"), "id").select("h", "id", "n", "at", "label", "bitmap")
-    rest = common.written(sorted_by_group(open_groups).mapInArrow(apart, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
+    rest = common.written(sorted_by_group(blockwise(common.written(open_groups))).mapInArrow(apart, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
     more = common.written(verified(docs, rest, marks, words))
     if not more.isEmpty():
         part = simhash.components(good.union(more))

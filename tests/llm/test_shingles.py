@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from geoloom.llm import shingles, simhash
 
@@ -21,7 +23,11 @@ def brute(rows, words=5):
     return {d for d in s if label[d] == d}
 
 
-def test_components_of_all_pairs(spark):
+@pytest.mark.parametrize("crowd,group", [(1_000, 2_000), (3, 4)])
+def test_components_of_all_pairs(spark, monkeypatch, crowd, group):
+    """Also where most shingles are frequent and most groups are large."""
+    monkeypatch.setattr(shingles, "CROWD", crowd)
+    monkeypatch.setattr(shingles, "GROUP", group)
     r = random.Random(4)
     words, texts = [f"w{i}" for i in range(400)], []
     for _ in range(40):
@@ -69,3 +75,22 @@ def test_bitmaps_rule_out_no_pair_that_is_alike_enough(spark):
     alike = {(a, b) for a, b in pairs if 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
     assert {(0, 1), (0, 2), (1, 3)} <= alike <= got
     assert not got & {(a, b) for a, b in pairs if b >= 4}
+
+
+def test_one_line_in_every_text_makes_no_large_group(spark, monkeypatch):
+    """The sample knows nothing here; exact counts put the line's shingles last, and no group is larger than the few texts that share more."""
+    monkeypatch.setattr(shingles, "CROWD", 20)
+    monkeypatch.setattr(shingles, "frequent", lambda docs, words: (np.empty(0, np.uint64), np.empty(0, np.int64)))
+    r, line = random.Random(9), "this very line of ten words stands in every text"
+    rows = [(i, f"{line} " + " ".join(f"w{r.randrange(10**6)}" for _ in range(60))) for i in range(300)] + [(900, f"{line} a b c"), (901, f"{line} a b c d")]
+    docs, sizes = spark.createDataFrame(rows, "doc_id long, text string"), []
+    plain, make = shingles.blockwise, shingles.marked
+    monkeypatch.setattr(shingles, "marked", lambda d, w, o: sizes.append(make(d, w, o).select(F.explode("first").alias("h")).groupBy("h").count().agg(F.max("count")).first()[0]) or make(d, w, o))
+    assert sorted(x.doc_id for x in shingles.deduplicated(docs, 5).collect()) == sorted(brute(rows)) == sorted(d for d, _ in rows if d != 901)
+    assert sizes[0] > 100 and sizes[-1] <= 20
+    monkeypatch.setattr(shingles, "GROUP", 7)
+    big = spark.createDataFrame([(5, i, 9, 0, i, b"\0" * 128) for i in range(100)] + [(6, 1, 9, 0, 1, b"\0" * 128)], "h long, id long, n long, at long, label long, bitmap binary")
+    dealt = plain(big)
+    assert dealt.groupBy("h").count().agg(F.max("count")).first()[0] < 40
+    pairs = [(x.a, x.b) for x in dealt.repartition(3, "h").sortWithinPartitions("h", "id").mapInArrow(shingles.apart, "a long, b long").distinct().collect()]
+    assert len(pairs) == len(set(pairs)) == 4950
