@@ -20,6 +20,7 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,9 +115,6 @@ def blocks(bench: DataFrame, most: int = BLOCK_BYTES) -> Iterator[tuple[tuple[st
     yield tuple(block)
 
 
-ROW = "geoloom_row_number"
-
-
 def scanned(docs: DataFrame, bench: DataFrame, size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with n_words, hit_runs (array of struct first, last: word numbers, last excluded), spans (array of struct start, end: code points of the hit runs) and items (sorted array of item ids)."""
     spark = docs.sparkSession
@@ -145,21 +143,24 @@ def scanned(docs: DataFrame, bench: DataFrame, size: int = SIZE, block_bytes: in
 
         return docs.mapInArrow(run, schema)
 
-    items = list(blocks(bench, block_bytes))
-    if len(items) == 1:
-        return over(items[0], docs)
-    numbered = common.written(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    return merged(docs.columns, [over(b, numbered) for b in items])
+    read = blocks(bench, block_bytes)
+    first, second = next(read), next(read, None)
+    if second is None:
+        return over(first, docs)
+    row = f"row_{uuid.uuid4().hex}"
+    numbered = common.written(docs.withColumn(row, F.monotonically_increasing_id()))
+    # the driver has one block in hand at a time; what is sent out lies in files
+    return merged(docs.columns, row, [over(b, numbered) for b in itertools.chain((first, second), read)])
 
 
-def merged(columns: list[str], parts: list[DataFrame]) -> DataFrame:
+def merged(columns: list[str], row: str, parts: list[DataFrame]) -> DataFrame:
     """The blocks' hits of each document together: only documents with hits travel, keyed by the row number."""
     base, more = parts[0], None
     for p in parts[1:]:
-        hit = p.where(F.size("hit_runs") > 0).select(ROW, "hit_runs", "spans", "items")
+        hit = p.where(F.size("hit_runs") > 0).select(row, "hit_runs", "spans", "items")
         more = hit if more is None else more.unionByName(hit)
-    more = more.groupBy(ROW).agg(F.flatten(F.collect_set("hit_runs")).alias("r2"), F.flatten(F.collect_set("spans")).alias("s2"), F.flatten(F.collect_set("items")).alias("i2"))
-    j = base.join(more, ROW, "left")
+    more = more.groupBy(row).agg(F.flatten(F.collect_set("hit_runs")).alias("r2"), F.flatten(F.collect_set("spans")).alias("s2"), F.flatten(F.collect_set("items")).alias("i2"))
+    j = base.join(more, row, "left")
 
     def joined(own: str, other: str, lo: str, hi: str):
         """Runs that touch or overlap become one; `last` and `end` are excluded, and runs that only touch stay apart in characters as in words."""

@@ -8,7 +8,7 @@ Words are runs of letters, lower-cased, with a space before them, in UTF-8, of a
 summed together in one table, longer ones (scripts without spaces) one by one in logarithms, which gives the same sum
 without underflow. Every single byte is a piece, so every word has a segmentation. The piece probabilities are fitted by expectation
 maximisation to the words of at most SAMPLE labelled texts of each language (those with the smallest hash of doc_id);
-the bound makes the driver's share of the work, and what is broadcast (one number per piece and language), constant.
+each language in a task of its own, which has that many texts, of any length. The driver gets, and sends out, one number per piece and language.
 
 Defined results: `und` with score 0 for a null text, a text without letters, or where no labelled text exists; ties go
 to the first language by name; rows without a language or doc_id are scored but never learned from; other columns are
@@ -38,6 +38,8 @@ ROUNDS = 2
 #: Longest word, in bytes, that is summed as plain numbers.
 SHORT = 32
 SMOOTH = 0.3
+#: Tasks that languages are dealt to for fitting.
+LANGS_AT_ONCE = 64
 #: Words, and characters of words, whose probabilities a worker remembers; beyond either, the memory starts anew.
 MEMORY, LETTERS_KEPT = 400_000, 1 << 24
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -161,16 +163,19 @@ def added(x: float, y: float) -> float:
     return hi if lo == -math.inf else hi + math.log1p(math.exp(lo - hi))
 
 
+def fitted(words: Counter, root: list, found: list[bytes], rounds: int = ROUNDS) -> list[float]:
+    """Piece probabilities of one language."""
+    p = [1 / 256 ** min(len(x), 3) if len(x) == 1 else 0.02 / len(found) * 50 for x in found]
+    for _ in range(rounds + 1):
+        got = np.array(expected(words, root, p)) + SMOOTH
+        p = (got / got.sum()).tolist()
+    return p
+
+
 def fit(by: dict[str, Counter], found: list[bytes], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities (a column each)."""
-    root, langs, columns = tree(found), sorted(by), []
-    for lang in langs:
-        p = [1 / 256 ** min(len(x), 3) if len(x) == 1 else 0.02 / len(found) * 50 for x in found]
-        for _ in range(rounds + 1):
-            got = np.array(expected(by[lang], root, p)) + SMOOTH
-            p = (got / got.sum()).tolist()
-        columns.append(p)
-    return langs, np.array(columns).T
+    root, langs = tree(found), sorted(by)
+    return langs, np.array([fitted(by[lang], root, found, rounds) for lang in langs]).T
 
 
 def sampled(docs: DataFrame, train: Column, most: int = SAMPLE) -> DataFrame:
@@ -196,12 +201,16 @@ def learned(docs: DataFrame, train: Column, vocabulary: str, most: int = SAMPLE,
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in c], pa.string()), pa.array([k[1] for k in c], pa.binary()), pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
 
     counts = sampled(docs, train, most).mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    by: dict[str, Counter] = {}
-    for r in counts.toLocalIterator():
-        by.setdefault(r.lang, Counter())[bytes(r.word)] = r.n
     found = pieces(vocabulary)
-    langs, p = fit(by, found, rounds) if by else ([], np.zeros((len(found), 0)))
-    return langs, found, p
+
+    def one(key: tuple, t: pa.Table) -> pa.Table:
+        words = Counter(dict(sorted(zip(map(bytes, t.column("word").to_pylist()), t.column("n").to_pylist(), strict=True))))
+        return pa.table({"lang": [key[0].as_py()], "p": pa.array([fitted(words, tree(found), found, rounds)], pa.list_(pa.float64()))})
+
+    # rows say nothing of the work: without a number of its own, languages would be fitted one after another in one task
+    models = counts.repartition(LANGS_AT_ONCE, "lang").groupBy("lang").applyInArrow(one, "lang string, p array<double>").toArrow().sort_by("lang")
+    langs = models.column("lang").to_pylist()
+    return langs, found, np.array(models.column("p").to_pylist()).T if langs else np.zeros((len(found), 0))
 
 
 def identified(docs: DataFrame, model: tuple[list[str], list[bytes], np.ndarray]) -> DataFrame:
