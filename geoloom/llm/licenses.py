@@ -1,12 +1,12 @@
 """License scans by canonical digest: texts are normalised as a whole and joined to the digests of known licences.
 
-Normalising lower-cases A-Z, drops lines that are a licence's title, a copyright line or "All rights reserved", unifies equivalent spellings, and turns everything that is neither
+Normalising drops lines that are a licence's title, a copyright line (with a year, a mark, or a name alone) or "All rights reserved", lower-cases A-Z, unifies equivalent spellings, and turns everything that is neither
 a letter, a digit nor non-ASCII into single spaces. The whole text is looked up, and so is each of its lines by itself,
 for the one-line notices that documents carry. With the table below, only text that names a word which every known licence
 has is hashed; with a caller's table, all text is.
 
 Defined results: null and empty texts, and texts without a match, have no licence (null) and no notices (empty
-string); equal rows get equal results; other columns are not read.
+string); rows are told apart by a row number, so repeated rows are rows of their own with equal results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ TITLES = (
     r"apache license(, version 2\.0)?", r"version 2\.0, january 2004", r"https?://www\.apache\.org/licenses/", r"gnu (lesser )?general public license", r"version (2, june 1991|2\.1, february 1999|3, 29 june 2007)",
     r"mozilla public license,? (version )?2\.0", r"creative commons legal code", r"cc0 1\.0 universal",
 )
-COPYRIGHT = rf"(?m)^[ \t]*((copyright|\(c\)|©)[^\n]*|(all rights reserved\.?|{'|'.join(TITLES)})[ \t\r]*)$"
+#: Lines that say whose copyright it is: with a year or a mark, or with nothing but a name. A line of a licence that merely begins with the word stays.
+OWNER = r"(?i:copyright|copr\.|\(c\))[^\n]*(?:\([cC]\)|©|[12][0-9]{3}|[yY]{4}|(?i:<year>|\[year\]))[^\n]*|©[^\n]*|Copyright(?:[ \t]+(?:by|the|of|and|[A-Z][a-z][^ \t\n]*)){1,9}[ \t\r]*"
+COPYRIGHT = rf"(?m)^[ \t]*(?:{OWNER}|(?i:all rights reserved\.?|{'|'.join(TITLES)})[ \t\r]*)$"
 OTHER = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 #: Every known text has one of these after lower-casing.
 KEYWORDS = r"(licen[sc]e|permission|redistribution|warrant|public domain)"
@@ -77,7 +79,7 @@ KNOWN["BSD-3-Clause"] = KNOWN["BSD-2-Clause"].replace("THIS SOFTWARE IS", "3. Ne
 
 def normalised(text: Column) -> Column:
     """The words of a text in one spelling, between single spaces."""
-    t = F.regexp_replace(F.translate(text, UPPER, LOWER), COPYRIGHT, "")
+    t = F.translate(F.regexp_replace(text, COPYRIGHT, ""), UPPER, LOWER)
     t = F.regexp_replace(t, OTHER, " ")
     for old, new in SPELLINGS:
         t = F.replace(t, F.lit(old), F.lit(new))
@@ -101,7 +103,7 @@ def report(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     named = likely(F.col("text"))
     lines = F.filter(F.split("text", "\n", -1), likely)
     digests = F.array_distinct(F.transform(lines, digest))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), F.when(named, digest(F.col("text"))).alias("whole"), F.when(named, digests).alias("lines"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("key"), F.when(named, digest(F.col("text"))).alias("whole"), F.when(named, digests).alias("lines"))
     rows = common.written(rows)
     parts = F.concat(F.array(F.struct(F.col("whole").alias("digest"), F.lit(True).alias("whole"))), F.transform("lines", lambda d: F.struct(d.alias("digest"), F.lit(False).alias("whole"))))
     hits = rows.where("lines is not null").select("key", F.explode(parts).alias("p")).select("key", "p.*").join(F.broadcast(table), "digest")
@@ -113,7 +115,7 @@ def oracle() -> str:
     """The same rows in DuckDB SQL."""
 
     def norm(t: str) -> str:
-        t = f"regexp_replace(regexp_replace(translate({t}, '{UPPER}', '{LOWER}'), '{COPYRIGHT}', '', 'g'), '{OTHER}', ' ', 'g')"
+        t = f"regexp_replace(translate(regexp_replace({t}, '{COPYRIGHT}', '', 'g'), '{UPPER}', '{LOWER}'), '{OTHER}', ' ', 'g')"
         for old, new in SPELLINGS:
             t = f"replace({t}, '{old}', '{new}')"
         return f"sha256(trim({t}))"
