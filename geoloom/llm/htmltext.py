@@ -8,7 +8,7 @@ The potentials are fitted by gradient ascent on the likelihood of labelled pages
 `labelled_pages` writes the training pages: layouts, class names and markup habits of web pages with known labels.
 
 Defined results: null and empty pages have the text ""; malformed markup never fails (a `<` that begins no tag is text,
-unclosed elements end with their parent, stray end tags are ignored); what script, style, template, noscript, iframe,
+unclosed elements end with their parent, stray end tags are ignored); what script, style, template, iframe,
 noembed and noframes hold is no text, up to the page's end where one is not closed; a line break inside a block is white space; all
 Unicode white space, no-break spaces too, counts as white space; parsing takes time in proportion to a page's length, whatever
 its markup; repeated rows give repeated results; of the columns
@@ -17,6 +17,7 @@ page_id, url and html are read.
 
 from __future__ import annotations
 
+import functools
 import html
 import random
 import re
@@ -37,7 +38,7 @@ START = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/><]*)")
 MARK = re.compile(r"[>\"']")
 ATTR = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"']++))?|["']""")
 CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-RAW = {"script", "style", "template", "noscript", "iframe", "noembed", "noframes"}
+RAW = {"script", "style", "template", "iframe", "noembed", "noframes"}
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I | re.A) for name in RAW}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul"}
@@ -418,6 +419,12 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
     return out
 
 
+@functools.cache
+def default_model() -> Model:
+    """The model of labelled_pages(), fitted once in a process."""
+    return trained()
+
+
 def trained(pages: list[str] | None = None) -> Model:
     return fit([parse(s) for s in (labelled_pages() if pages is None else pages)])
 
@@ -426,7 +433,7 @@ def extracted(pages: DataFrame, model: Model | None = None, together: int = 200)
     """page_id, url, text, n_chars of each row."""
     spark = pages.sparkSession
     common.ship(spark)
-    sent = spark.sparkContext.broadcast(model or trained())
+    sent = spark.sparkContext.broadcast(model or default_model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

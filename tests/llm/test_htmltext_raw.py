@@ -42,3 +42,10 @@ def test_a_very_long_page_keeps_all_text():
 def test_quotes_hide_ends_of_tags():
     assert texts("<p title='a > b' class=\"x>y\">One.</p><p a='>Two.</p>") == ["One.", "Two."]
     assert texts("a < b <c") == ["a < b <c"]
+
+
+def test_noscript_in_the_article_is_kept_and_in_a_notice_is_not(spark):
+    body = "<article><h1>A title of five words</h1><p>" + "Plain words of the story go on and on. " * 8 + "</p><noscript><p>" + "What readers without scripts see of the story, in many words. " * 4 + "</p></noscript><p>" + "More words of the story. " * 9 + "</p></article>"
+    page = f'<html><body><div class="notice cookie"><noscript>Please enable scripts</noscript></div>{body}</body></html>'
+    text = htmltext.extracted(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")).first().text
+    assert "without scripts see" in text and "Please enable" not in text
