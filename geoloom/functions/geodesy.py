@@ -55,3 +55,22 @@ def between(x: np.ndarray, y: np.ndarray, source: int, target: int) -> tuple[np.
         return x, y
     lon, lat = (x, y) if source == LONLAT else from_utm(x, y, source)
     return (lon, lat) if target == LONLAT else to_utm(lon, lat, target)
+
+
+def geodesic_sql(way: str, source: str = "s", x: str = "x", y: str = "y", zone: str = "zone") -> str:
+    """DuckDB SQL of the series, for the north: `forward` adds x, y to the source's rows from longitude and latitude, `inverse` adds u, v (longitude, latitude) from x, y."""
+    big, e, alpha, beta = series()
+    n = lambda v: f"{v!r}::DOUBLE"
+    if way == "forward":
+        terms = lambda f, g: " + ".join(f"{n(a)} * {f}({2 * j}.0::DOUBLE * xi) * {g}({2 * j}.0::DOUBLE * eta)" for j, a in enumerate(alpha, 1))
+        return f"""SELECT * EXCLUDE (_phi, _lam, _t, xi, eta), {n(EAST)} + {n(SCALE * big)} * (eta + {terms("cos", "sinh")}) AS x, {n(SCALE * big)} * (xi + {terms("sin", "cosh")}) AS y FROM (
+ SELECT *, atan2(_t, cos(_lam)) AS xi, atanh(sin(_lam) / sqrt(1 + _t * _t)) AS eta FROM (SELECT *, sinh(atanh(sin(_phi)) - {n(e)} * atanh({n(e)} * sin(_phi))) AS _t FROM (SELECT * {"EXCLUDE (x, y)" if "x" in (x, y) else ""}, radians({y}) AS _phi, radians({x} - ({zone} * 6 - 183)::DOUBLE) AS _lam FROM {source})))"""
+    terms = lambda f, g: " - ".join(f"{n(k)} * {f}({2 * j}.0::DOUBLE * _xi) * {g}({2 * j}.0::DOUBLE * _eta)" for j, k in enumerate(beta, 1))
+    body = f"SELECT *, sin(_a) / sqrt(sinh(_b) * sinh(_b) + cos(_a) * cos(_a)) AS _tau FROM (SELECT *, _xi - {terms('sin', 'cosh')} AS _a, _eta - {terms('cos', 'sinh')} AS _b FROM (SELECT *, {y} / {n(SCALE * big)} AS _xi, ({x} - {n(EAST)}) / {n(SCALE * big)} AS _eta FROM {source}))"
+    before = "_tau"
+    for i in range(5):
+        root = f"sqrt(1 + {before} * {before})"
+        sigma = f"sinh({n(e)} * atanh({n(e)} * {before} / {root}))"
+        body = f"SELECT *, {before} + (_tau - _near{i}) / sqrt(1 + _near{i} * _near{i}) * (1 + {n(1 - e * e)} * {before} * {before}) / ({n(1 - e * e)} * {root}) AS _t{i} FROM (SELECT *, {before} * sqrt(1 + _s{i} * _s{i}) - _s{i} * {root} AS _near{i} FROM (SELECT *, {sigma} AS _s{i} FROM ({body})))"
+        before = f"_t{i}"
+    return f"SELECT *, ({zone} * 6 - 183)::DOUBLE + degrees(atan2(sinh(_b), cos(_a))) AS u, degrees(atan({before})) AS v FROM ({body})"

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from geoloom.functions.columns import c, is_band_file, scene_key, scene_times, stem
+from geoloom.functions.columns import OFFSETS, c, is_band_file, is_quicklook, scene_key, scene_times, stem
 from geoloom.operators import grid
+from geoloom.sources import shared
 
 
 def parts(path: Column | str) -> Column:
@@ -117,13 +118,26 @@ def missing(wanted: DataFrame, have: DataFrame) -> DataFrame:
     return wanted.join(have, "scene", "left_anti")
 
 
+def numbered(scenes: DataFrame) -> DataFrame:
+    """scenes with their places in order (from 0): sorted by ranges, counted by range, and numbered inside each; no task has them all."""
+    spark = scenes.sparkSession
+    path = shared.scratch(spark)
+    scenes.repartitionByRange("scene").sortWithinPartitions("scene").withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    part = F.shiftright("_id", 33)
+    counts = dealt.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # a row a range
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return dealt.withColumn("_part", part).join(before, "_part").withColumn("place", c("_before") + c("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_part", "_before")
+
+
 def batch(scenes: DataFrame, start: int | None, end: int | None) -> DataFrame:
-    """Scenes in order from start to end, as Python slices a list (negative numbers count from the end)."""
-    n = scenes.count() if (start or 0) < 0 or (end or 0) < 0 else None
+    """Scenes whose places in order lie from start to end, as Python slices a list (negative numbers count from the end)."""
+    n = scenes.count() if (start or 0) < 0 or (end or 0) < 0 else 0
     lo = max(0, (start or 0) + (n if (start or 0) < 0 else 0))
-    hi = None if end is None else end + (n if end < 0 else 0)
-    ranked = scenes.orderBy("scene").limit(hi if hi is not None else 2**31 - 1) if hi is None or hi > 0 else scenes.limit(0)
-    return ranked.offset(lo) if lo else ranked
+    found = numbered(scenes).where(c("place") >= lo)
+    if end is not None:
+        found = found.where(c("place") < end + (n if end < 0 else 0))
+    return found.drop("place").orderBy("scene")
 
 
 def exact_or_one(files: DataFrame, exact: Column, pattern: Column) -> DataFrame:
@@ -159,3 +173,81 @@ def tile_paths(files: DataFrame, datasets: list[str] | None = None) -> DataFrame
     """path, dataset, scene, tile_name of tile files below dataset/scene/."""
     t = files.where(c("path").rlike(r"(?i)\.tiff?$")).select("*", F.element_at(parts("path"), -3).alias("dataset"), F.element_at(parts("path"), -2).alias("scene"), stem("path").alias("tile_name"))
     return t.where(c("dataset").isin(datasets)) if datasets else t
+
+
+#: Names of a scene's template and reference below its folder, in order, and of the original bands.
+TEMPLATES, REFERENCES = [r"^armsat_rgb_utm.*\.tif$", r"^armsat_rgb_native.*\.tif$"], [r"^sentinel2_rgb_utm.*\.tif$"]
+ORIGINAL = r"_[BGNR]\.tiff?$"
+
+
+def scene_inputs(current: DataFrame, legacy: DataFrame) -> DataFrame:
+    """scene, template, reference, legacy (whether both come from the legacy folder): the current folder's files (scene, path) where it has both kinds, else the legacy one's where that has both, else nulls."""
+
+    def of(files: DataFrame, name: str) -> DataFrame:
+        t, r = first_match(files, TEMPLATES).select("scene", c("path").alias("t")), first_match(files, REFERENCES).select("scene", c("path").alias("r"))
+        return t.join(r, "scene").select("scene", F.struct("t", "r").alias(name))
+
+    every = current.select("scene").union(legacy.select("scene")).distinct()
+    j = every.join(of(current, "now"), "scene", "left").join(of(legacy, "old"), "scene", "left")
+    found = F.coalesce("now", "old")
+    return j.select("scene", found["t"].alias("template"), found["r"].alias("reference"), (c("now").isNull() & c("old").isNotNull()).alias("legacy"))
+
+
+def original_bands(files: DataFrame) -> DataFrame:
+    """scene, band, path, n of the original band files (scene, path), in order of their paths; quicklooks are none."""
+    name = F.substring_index("path", "/", -1)
+    found = files.where(name.rlike(ORIGINAL) & ~is_quicklook("path")).withColumn("band", F.regexp_extract(name, r"_([BGNR])\.tiff?$", 1))
+    return found.select("scene", "band", "path", F.row_number().over(W.partitionBy("scene").orderBy("path")).alias("n"))
+
+
+def georeferenced_band(files: DataFrame) -> DataFrame:
+    """scene, band, path of georeferenced bands (scene, path): the file that is named exactly, else the only one; null and an error where several or none fit."""
+    name = F.substring_index("path", "/", -1)
+    f = files.withColumn("band", F.regexp_extract(name, r"_([BGNR])_georef_tps\.tif$", 1)).where("band <> ''")
+    keyed = f.select(F.struct("scene", "band").alias("scene"), "path", (name == F.concat("scene", F.lit("_"), "band", F.lit("_georef_tps.tif"))).alias("exact"))
+    one = exact_or_one(keyed, c("exact"), F.lit(True))
+    return one.select("scene.scene", "scene.band", "path", F.when(c("path").isNull(), F.format_string("expected one band, found %d", "n_pattern")).alias("error"))
+
+
+def aligned_root(files: DataFrame) -> DataFrame:
+    """files (root, path) of the aligned folder below each root that has one, else those of the root itself."""
+    inside = F.startswith("path", F.concat("root", F.lit("/aligned/")))
+    has = files.groupBy("root").agg(F.bool_or(inside).alias("_has"))
+    return files.join(has, "root").where(~c("_has") | inside).withColumn("base", F.when(c("_has"), F.concat("root", F.lit("/aligned"))).otherwise(c("root"))).drop("_has")
+
+
+FIELDS = ("overlap", "directions")
+
+
+def checked_settings(config: DataFrame) -> DataFrame:
+    """scene, overlap, directions, error of configuration entries (scene, entry: a JSON object): unknown fields, an overlap that is missing, no number or outside [0, 1), directions that are no list or none of the known ones."""
+    e = config.withColumn("m", F.from_json("entry", "map<string,string>")).withColumn("unknown", F.array_sort(F.array_except(F.map_keys("m"), F.array(*map(F.lit, FIELDS)))))
+    overlap = F.get(F.map_values(F.map_filter("m", lambda k, v: k == "overlap")), F.lit(0)).try_cast("double")
+    text = F.get(F.map_values(F.map_filter("m", lambda k, v: k == "directions")), F.lit(0))
+    listed = F.from_json(text, "array<string>")
+    up = F.transform(listed, F.upper)
+    bad = F.array_except(up, F.array(*map(F.lit, OFFSETS)))
+    error = (
+        F.when(c("m").isNull(), "no object")
+        .when(F.size("unknown") > 0, F.concat(F.lit("unknown fields: "), F.array_join("unknown", ",")))
+        .when(overlap.isNull() | F.isnan(overlap) | (overlap < 0) | (overlap >= 1), "overlap is no number in [0, 1)")
+        .when(text.isNotNull() & (listed.isNull() | ~F.startswith(F.ltrim(text), F.lit("["))), "directions are no list")
+        .when(F.size(bad) > 0, F.concat(F.lit("unknown directions: "), F.array_join(F.array_distinct(bad), ",")))
+    )
+    every = F.array(*[F.lit(k) for k in OFFSETS if k != "C"])
+    ok = error.isNull()
+    return e.select("scene", F.when(ok, overlap).alias("overlap"), F.when(ok, F.concat(F.array(F.lit("C")), F.array_remove(F.array_distinct(F.coalesce(up, every)), "C"))).alias("directions"), error.alias("error"))
+
+
+def everywhere(use: bool, overlap: float | None, directions: list[str] | None) -> tuple[float, list[str]] | None:
+    """The settings for all scenes that settings() takes, from a job's flags; flags that contradict each other are an error."""
+    if not use:
+        if overlap is not None or directions is not None:
+            raise ValueError("overlap and directions need the flag for all scenes")
+        return None
+    if overlap is None or not 0 <= overlap < 1:
+        raise ValueError("all scenes need an overlap in [0, 1)")
+    up = list(dict.fromkeys(x.upper() for x in directions)) if directions else [k for k in OFFSETS if k != "C"]
+    if bad := [x for x in up if x not in OFFSETS]:
+        raise ValueError(f"unknown directions: {','.join(bad)}")
+    return overlap, ["C", *[x for x in up if x != "C"]]

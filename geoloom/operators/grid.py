@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, invert_affine, raster_side, utm_from_wgs84, utm_zone, wgs84_from_utm
+from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, held, invert_affine, raster_side, utm_from_wgs84, utm_place, utm_zone, wgs84_from_utm, wgs84_place
 from geoloom.functions.geodesy import LONLAT, NORTH_ZONES, SOUTH_ZONES
 
 
@@ -150,6 +150,33 @@ def control_points(matches: DataFrame, template: dict[str, float], band: dict[st
     return matches.select("scene", "ord", sx.alias("sx"), sy.alias("sy"), mx.alias("mx"), my.alias("my"), "conf")
 
 
+def utm_zones(code: Column) -> Column:
+    return code.between(NORTH_ZONES + 1, NORTH_ZONES + 60) | code.between(SOUTH_ZONES + 1, SOUTH_ZONES + 60)
+
+
+def between_systems(x: Column, y: Column, source: Column, target: Column) -> Column:
+    """A place (x, y in a struct) of one system in another, both EPSG numbers by row; equal systems leave it as it is, unknown ones are an error."""
+    known = lambda code: (code == LONLAT) | utm_zones(code)
+    failed = F.raise_error(F.concat(F.lit("unknown reference system: "), source.cast("string"), F.lit(" or "), target.cast("string"))).cast("struct<x:double,y:double>")
+    place = F.struct(x.alias("x"), y.alias("y"))
+    own = F.when(source == LONLAT, place).otherwise(wgs84_place(x, y, source % 100, source > SOUTH_ZONES))
+    moved = held({"p": own}, lambda q: F.when(target == LONLAT, q["p"]).otherwise(utm_place(q["p"]["x"], q["p"]["y"], target % 100, target > SOUTH_ZONES)))
+    return F.when(source == target, place).when(known(source) & known(target), moved).otherwise(failed)
+
+
+def band_control_points(matches: DataFrame, templates: DataFrame, bands: DataFrame) -> DataFrame:
+    """scene, band, ord, sx, sy, mx, my, conf: each pair for every band of its scene, on the band's own grid and in its own system. templates: scene, a to f, epsg; bands: scene, band, a to f, epsg."""
+    t = templates.select("scene", F.struct(*"abcdef", "epsg").alias("t"))
+    b = bands.select("scene", "band", F.struct(*"abcdef", "epsg").alias("b"))
+    j = matches.join(t, "scene").join(b, "scene")
+    of = lambda k: {n: c(f"{k}.{n}") for n in "abcdef"}
+    at = between_systems(*apply_affine(of("t"), c("x0"), c("y0")), c("t.epsg"), c("b.epsg"))
+    j = j.withColumn("p", at)
+    sx, sy = invert_affine(of("b"), c("p.x"), c("p.y"))
+    mx, my = apply_affine(of("t"), c("x1"), c("y1"))
+    return j.select("scene", "band", "ord", sx.alias("sx"), sy.alias("sy"), mx.alias("mx"), my.alias("my"), "conf")
+
+
 def expand_box(west: Column, south: Column, east: Column, north: Column, by: float) -> tuple[Column, ...]:
     return west - d(by), south - d(by), east + d(by), north + d(by)
 

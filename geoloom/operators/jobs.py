@@ -81,9 +81,9 @@ def fewest_control_points(gcps: DataFrame, step: float) -> DataFrame:
 
 
 def band_stack(pixels: DataFrame, radiometry: DataFrame, nodata: float) -> DataFrame:
-    """scene, row, col and the four bands on one grid, as single floats: value times scale plus offset, `nodata` where masked. Only pixels that all bands have."""
+    """From pixels and radiometry (scene, band, scale, offset: each scene's own): scene, row, col and the four bands on one grid, as single floats: value times scale plus offset, `nodata` where masked. Only pixels that all bands have."""
     one = F.when(c("valid"), (c("value").cast("float") * c("scale").cast("float") + c("offset").cast("float")).cast("float")).otherwise(F.lit(nodata).cast("float"))
-    p = pixels.join(F.broadcast(radiometry), "band").select("scene", "row", "col", "band", one.alias("v"))
+    p = pixels.join(radiometry, ["scene", "band"]).select("scene", "row", "col", "band", one.alias("v"))
     wide = p.groupBy("scene", "row", "col").agg(*[F.max(F.when(c("band") == b, c("v"))).alias(b) for b in BANDS])
     return wide.where(" and ".join(f"{b} is not null" for b in BANDS))
 
@@ -97,12 +97,15 @@ def routed(chunks: DataFrame, rules: dict[str, list[str]]) -> DataFrame:
 
 
 def tiling_report(pixels: DataFrame, bands: DataFrame, chunks: DataFrame, rules: dict[str, list[str]], tile: int, height: int, width: int, least: float) -> DataFrame:
-    """dataset (with the mode, unless it is native), scene, raw_tiles, valid_tiles, rejected_shape, rejected_valid_ratio of each routed scene that has all four bands. bands: scene_ord, band; chunks: scene_ord, name."""
+    """dataset (with the mode, unless it is native), scene, raw_tiles, valid_tiles, rejected_shape, rejected_valid_ratio of each routed scene that has all four bands. pixels: valid, and valid_float where the float mode's mask is another (it leaves out the float missing value as well); bands: scene_ord, band; chunks: scene_ord, name."""
     whole = bands.groupBy("scene_ord").agg(F.count_distinct(F.when(c("band").isin(*BANDS), c("band"))).alias("n")).where(c("n") == len(BANDS)).select("scene_ord")
-    tiles = coverage.tile_validity(pixels.join(F.broadcast(whole), "scene_ord"), tile, height, width, least)
-    r = routed(chunks, rules)
+    own = pixels.join(whole, "scene_ord")
+    float_mask = c("valid_float") if "valid_float" in pixels.columns else c("valid")
+    count = lambda mask, mode: coverage.tile_validity(own.withColumn("valid", mask), tile, height, width, least).withColumn("floats", F.lit(mode))
+    tiles = count(c("valid"), False).unionByName(count(float_mask, True))
+    r = routed(chunks, rules).withColumn("floats", c("mode") == "float32")
     name = F.when(c("mode") == "native", c("dataset")).otherwise(F.concat_ws("-", "dataset", "mode"))
-    return tiles.join(r, "scene_ord").select(name.alias("dataset"), "scene_ord", "raw_tiles", "valid_tiles", "rejected_shape", "rejected_valid_ratio")
+    return tiles.join(r, ["scene_ord", "floats"]).select(name.alias("dataset"), "scene_ord", "raw_tiles", "valid_tiles", "rejected_shape", "rejected_valid_ratio")
 
 
 def by_dataset(report: DataFrame) -> DataFrame:
@@ -125,6 +128,6 @@ def one_band(files: DataFrame, band: str) -> DataFrame:
 
 def prior_gated(m: DataFrame, tiles: DataFrame, h: tuple[float, ...], most: float) -> DataFrame:
     """Tile pairs in coordinates of the whole images (tiles: tile_id, mov_x, mov_y, ref_x, ref_y), where the coarse model leaves at most a distance."""
-    j = m.join(F.broadcast(tiles), "tile_id")
+    j = m.join(tiles, "tile_id")
     j = j.withColumn("x0", c("x0") + c("mov_x")).withColumn("y0", c("y0") + c("mov_y")).withColumn("x1", c("x1") + c("ref_x")).withColumn("y1", c("y1") + c("ref_y"))
     return j.withColumn("residual", points.homography_residual(h)).where(c("residual") <= d(most)).select(*m.columns, "residual")

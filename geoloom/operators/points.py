@@ -72,7 +72,7 @@ def balanced(m: DataFrame, width: float, height: float, grid: int, most: int, le
     """At most `most` points of each scene, taken round by round: one of every cell, then a second one, the most confident first. A scene with no more than that keeps all, in its own order."""
     m = m.where(c("conf") >= least)
     n = m.groupBy("scene").agg(F.count(F.lit(1)).alias("n"))
-    m = m.join(F.broadcast(n), "scene").withColumn("cx", F.least(F.lit(grid - 1), F.floor(c("x1") / d(width / grid)))).withColumn("cy", F.least(F.lit(grid - 1), F.floor(c("y1") / d(height / grid))))
+    m = m.join(n, "scene").withColumn("cx", F.least(F.lit(grid - 1), F.floor(c("x1") / d(width / grid)))).withColumn("cy", F.least(F.lit(grid - 1), F.floor(c("y1") / d(height / grid))))
     few = (c("n") <= most) | F.lit(most <= 0)
     ok = few | inside("x1", "y1", width, height)
     m = m.where(ok).withColumn("round", F.row_number().over(W.partitionBy("scene", "cy", "cx").orderBy(*best_first())))

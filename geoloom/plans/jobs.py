@@ -132,7 +132,7 @@ def chunks(spark):
 
 
 def tiling(spark, sf):
-    return jobs.tiling_report(v_pixels(spark, sf), band_files(spark), chunks(spark), ROUTES, 10, 64, 64, 0.05)
+    return jobs.tiling_report(v_pixels(spark, sf).withColumn("valid_float", c("valid") & (c("value") != 7)), band_files(spark), chunks(spark), ROUTES, 10, 64, 64, 0.05)
 
 
 def gcps(spark, sf):
@@ -143,7 +143,8 @@ def gcps(spark, sf):
 def stacked(spark, sf):
     t = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag").where("l_linenumber <= 4")
     p = t.select((c("l_orderkey") % 8).alias("scene"), c("l_orderkey").alias("row"), F.lit(0).alias("col"), F.element_at(F.array(*map(F.lit, jobs.BANDS)), c("l_linenumber").cast("int")).alias("band"), c("l_quantity").cast("double").alias("value"), (c("l_returnflag") != "R").alias("valid"))
-    r = spark.createDataFrame([("R", 0.5, 1.0), ("G", 1.0, 0.0), ("B", 0.25, -3.0), ("N", 2.0, 0.5)], "band string, scale double, offset double")
+    base = F.array(*[F.struct(F.lit(b).alias("band"), d(k).alias("scale"), d(o).alias("offset")) for b, k, o in (("R", 0.5, 1.0), ("G", 1.0, 0.0), ("B", 0.25, -3.0), ("N", 2.0, 0.5))])
+    r = p.select("scene").distinct().select("scene", F.inline(base)).withColumn("scale", c("scale") + c("scene").cast("double") / d(4)).withColumn("offset", c("offset") - c("scene").cast("double"))
     return jobs.band_stack(p, r, -9999.0).select("scene", "row", "col", *[c(b).cast("double").alias(b) for b in jobs.BANDS])
 
 
@@ -216,14 +217,14 @@ SELECT scene, CASE WHEN path IS NOT NULL THEN direction END AS direction, path,
     ),
     "q_band_stack": (
         stacked,
-        """WITH p AS (SELECT l_orderkey % 8 AS scene, l_orderkey AS "row", ['R', 'G', 'B', 'N'][CAST(l_linenumber AS INT)] AS band, CASE WHEN l_returnflag <> 'R' THEN l_quantity::FLOAT * s::FLOAT + o::FLOAT ELSE -9999.0::FLOAT END AS v FROM lineitem JOIN (VALUES (1, 0.5, 1.0), (2, 1.0, 0.0), (3, 0.25, -3.0), (4, 2.0, 0.5)) r(b, s, o) ON l_linenumber = b)
+        """WITH p AS (SELECT l_orderkey % 8 AS scene, l_orderkey AS "row", ['R', 'G', 'B', 'N'][CAST(l_linenumber AS INT)] AS band, CASE WHEN l_returnflag <> 'R' THEN l_quantity::FLOAT * (s + (l_orderkey % 8)::DOUBLE / 4.0::DOUBLE)::FLOAT + (o - (l_orderkey % 8)::DOUBLE)::FLOAT ELSE -9999.0::FLOAT END AS v FROM lineitem JOIN (VALUES (1, 0.5, 1.0), (2, 1.0, 0.0), (3, 0.25, -3.0), (4, 2.0, 0.5)) r(b, s, o) ON l_linenumber = b)
 SELECT scene, "row", 0 AS col, max(v) FILTER (band = 'R')::DOUBLE AS R, max(v) FILTER (band = 'G')::DOUBLE AS G, max(v) FILTER (band = 'B')::DOUBLE AS B, max(v) FILTER (band = 'N')::DOUBLE AS N FROM p GROUP BY 1, 2 HAVING count(DISTINCT band) = 4""",
     ),
     "q_tiling_report": (
         tiling,
-        sql("""WITH p AS (SELECT scene_ord, "row", col, bool_and(valid) AS ok FROM v_pixels WHERE scene_ord <> 5 GROUP BY 1, 2, 3), t AS (SELECT scene_ord, "row" // 10 AS tr, col // 10 AS tc, count(*) FILTER (ok) AS n FROM p GROUP BY 1, 2, 3), u AS (SELECT *, least(10, 64 - tr * 10) AS h, least(10, 64 - tc * 10) AS w FROM t),
-r AS (SELECT scene_ord, count(*) AS raw_tiles, count(*) FILTER (h = 10 AND w = 10 AND n / 100.0::DOUBLE >= 0.05) AS valid_tiles, count(*) FILTER (h < 10 OR w < 10) AS rejected_shape, count(*) FILTER (h = 10 AND w = 10 AND n / 100.0::DOUBLE < 0.05) AS rejected_valid_ratio FROM u GROUP BY 1)
-SELECT 'survey-' || CAST(scene_ord % 3 + 2023 AS VARCHAR) || m AS dataset, scene_ord, raw_tiles, valid_tiles, rejected_shape, rejected_valid_ratio FROM r JOIN (VALUES ('', 0), ('-float32', 1)) v(m, k) ON k = 0 OR scene_ord % 3 > 0""", "v_pixels"),
+        sql("""WITH p AS (SELECT m, scene_ord, "row", col, bool_and(valid AND (m = '' OR value <> 7)) AS ok FROM v_pixels CROSS JOIN (VALUES (''), ('-float32')) v(m) WHERE scene_ord <> 5 GROUP BY ALL), t AS (SELECT m, scene_ord, "row" // 10 AS tr, col // 10 AS tc, count(*) FILTER (ok) AS n FROM p GROUP BY ALL), u AS (SELECT *, least(10, 64 - tr * 10) AS h, least(10, 64 - tc * 10) AS w FROM t),
+r AS (SELECT m, scene_ord, count(*) AS raw_tiles, count(*) FILTER (h = 10 AND w = 10 AND n / 100.0::DOUBLE >= 0.05) AS valid_tiles, count(*) FILTER (h < 10 OR w < 10) AS rejected_shape, count(*) FILTER (h = 10 AND w = 10 AND n / 100.0::DOUBLE < 0.05) AS rejected_valid_ratio FROM u GROUP BY ALL)
+SELECT 'survey-' || CAST(scene_ord % 3 + 2023 AS VARCHAR) || m AS dataset, scene_ord, raw_tiles, valid_tiles, rejected_shape, rejected_valid_ratio FROM r WHERE m = '' OR scene_ord % 3 > 0""", "v_pixels"),
     ),
     "q_mean_validity": (
         lambda s, sf: jobs.mean_validity(v_pixels(s, sf), 16),

@@ -113,8 +113,8 @@ QUERIES = {
         sql(f'WITH {WINDOW_SQL} SELECT "row", col, repeated_fraction, round(mean_date_count, 6) AS mean_date_count, max_date_count FROM stats WHERE repeated_fraction >= {SHARE}', "v_pixels"),
     ),
     "q_candidates_in_core": (
-        lambda s, sf: (lambda b: stats(s, sf).where(grid.inside(b, d(40), d(-600), d(600), d(-40))).select("row", "col", *[v.alias(k) for k, v in b.items()]))(grid.candidate_bounds(d(0), d(0), c("row"), c("col"), TILE, 10.0)),
-        sql(f'WITH {WINDOW_SQL} SELECT "row", col, 0.0::DOUBLE + col * 10.0::DOUBLE AS west, 0.0::DOUBLE - "row" * 10.0::DOUBLE - 160.0::DOUBLE AS south, 0.0::DOUBLE + col * 10.0::DOUBLE + 160.0::DOUBLE AS east, 0.0::DOUBLE - "row" * 10.0::DOUBLE AS north FROM stats WHERE col * 10 >= 40 AND -"row" * 10 - 160 >= -600 AND col * 10 + 160 <= 600 AND -"row" * 10 <= -40', "v_pixels"),
+        lambda s, sf: (lambda b: stats(s, sf).where((c("repeated_fraction") >= SHARE / 2) & grid.inside(b, d(40), d(-600), d(600), d(-40))).select("row", "col", "repeated_fraction", F.round("mean_date_count", 6).alias("mean_date_count"), "max_date_count", *[v.alias(k) for k, v in b.items()]))(grid.candidate_bounds(d(0), d(0), c("row"), c("col"), TILE, 10.0)),
+        sql(f'WITH {WINDOW_SQL} SELECT "row", col, repeated_fraction, round(mean_date_count, 6) AS mean_date_count, max_date_count, 0.0::DOUBLE + col * 10.0::DOUBLE AS west, 0.0::DOUBLE - "row" * 10.0::DOUBLE - 160.0::DOUBLE AS south, 0.0::DOUBLE + col * 10.0::DOUBLE + 160.0::DOUBLE AS east, 0.0::DOUBLE - "row" * 10.0::DOUBLE AS north FROM stats WHERE repeated_fraction >= {SHARE / 2} AND col * 10 >= 40 AND -"row" * 10 - 160 >= -600 AND col * 10 + 160 <= 600 AND -"row" * 10 <= -40', "v_pixels"),
     ),
     "q_nonoverlap": (
         nonoverlap,
@@ -186,7 +186,6 @@ SELECT 'BLK_000001' AS block_id, "row", col, repeated_fraction, mean_date_count,
         lambda s, sf: points.without_copies(grid.control_points(v_matches(s, sf), TEMPLATE, BAND), ("sx", "sy"), 500.0).select("scene", "ord", "first_ord"),
         sql("WITH m AS (SELECT *, 10.0::DOUBLE * x0 + 0.5::DOUBLE * y0 + 300000.0::DOUBLE AS ax, -0.5::DOUBLE * x0 + -10.0::DOUBLE * y0 + 4600000.0::DOUBLE AS ay FROM v_matches), g AS (SELECT scene, ord, conf, (-2.0::DOUBLE * (ax - 299900.0::DOUBLE)) / -4.0::DOUBLE AS sx, (2.0::DOUBLE * (ay - 4600100.0::DOUBLE)) / -4.0::DOUBLE AS sy FROM m) SELECT scene, ord, first_ord FROM (SELECT *, row_number() OVER (k ORDER BY conf DESC, ord) AS rn, min(ord) OVER k AS first_ord FROM g WINDOW k AS (PARTITION BY scene, round_even(sx / 500, 0), round_even(sy / 500, 0))) WHERE rn = 1", "v_matches"),
     ),
-    "q_utm_bounds": (lambda s, sf: grid.utm_bounds(boxes(s, sf), "scene").select("scene", "zone", *[F.round(k, 2).alias(k) for k in ("minx", "miny", "maxx", "maxy")]), None),
     "q_reproject_nearest": (
         lambda s, sf: raster.nearest(coverage.dense_grid(s, SIDE, SIDE), source_values(s, sf), SOURCE, TARGET),
         sql(f'SELECT tr AS "row", tc AS col, v AS value FROM {NEAREST} t LEFT JOIN (SELECT "row" AS r, col AS c, max(value) AS v FROM v_pixels GROUP BY 1, 2) p ON p.r = floor(sy) AND p.c = floor(sx)', "v_pixels"),
