@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from geoloom.sources import shared
+
 #: A-Z to a-z on UTF-8 bytes; other bytes stay.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -34,14 +36,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the shared checkpoint folder that the cluster names. Only a local master may go without one: a folder of one machine is no shared folder."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        top = tempfile.mkdtemp(prefix="geoloom-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    path = f"{top.rstrip('/')}/geoloom-{uuid.uuid4().hex}"
+    """A new path in the shared folder, for release() to remove."""
+    path = shared.scratch(spark)
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -312,8 +313,8 @@ def wanted(table: DataFrame, parts: int, hot: int = HOT) -> DataFrame:
     return batches.answered(batches.asked(table, ask), several)
 
 
-def taken(table: DataFrame, told: DataFrame, before: DataFrame | None, parts: int, closed: bool, keep: bool) -> DataFrame:
-    """One generation (a table of batches): its marks against itself and the levels before, and, if they are to be kept, the levels with it."""
+def taken(table: DataFrame, told: DataFrame, before: DataFrame | None, parts: int, closed: bool, keep: bool, number: int | None = None) -> DataFrame:
+    """One generation (a table of batches): its marks against itself and the levels before, and, if they are to be kept, the levels with it. With its number, only levels that it changes (and which it empties, as `gone`) are kept, as batch -number; of several tables before, the highest number holds for each level."""
 
     def contexts(batch: int, blob: bytes, by: dict) -> pa.Table:
         _, _, _, e, part, sent = Batch(blob).asked(by, parts, closed)
@@ -323,7 +324,10 @@ def taken(table: DataFrame, told: DataFrame, before: DataFrame | None, parts: in
         return batches.messages(rows)
 
     def scan(part: int, got: list[tuple[int, str, bytes]], old: list[tuple[int, str, bytes]]) -> list[tuple[int, int, str, bytes]]:
-        levels = {int(kind[5:]): unpacked([blob]) for _, kind, blob in old}
+        newest: dict[int, tuple[str, bytes]] = {}
+        for _, kind, blob in old:  # the highest number first
+            newest.setdefault(int(kind.lstrip("levgon")), (kind, blob))
+        levels = {i: unpacked([blob]) for i, (kind, blob) in newest.items() if kind.startswith("level")}
         out, array = [], None
         if got:
             e = unpacked([blob for _, _, blob in got])
@@ -346,7 +350,10 @@ def taken(table: DataFrame, told: DataFrame, before: DataFrame | None, parts: in
                     out.append((batch, part, "marks", common.pack(np.packbits(back[lo : lo + n]))))
                 lo += n
         if keep:
-            out += [(-1, part, f"level{i}", a.packed()) for i, a in (carried(levels, array) if array is not None else levels).items()]
+            now = carried(levels, array) if array is not None else levels
+            changed = now if number is None else {i: a for i, a in now.items() if a is not levels.get(i)}
+            out += [(-(number or 1), part, f"level{i}", a.packed()) for i, a in changed.items()]
+            out += [(-number, part, f"gone{i}", b"") for i in levels.keys() - now.keys()] if number else []
         return out
 
     return batches.continued(batches.together(table, told, contexts, batches.MESSAGE), before, scan)
@@ -387,21 +394,39 @@ def finished(table: DataFrame, answers: DataFrame, parts: int, closed: bool, kep
 
 
 class Family:
-    """Levels for tables of documents that come one after another: each is scanned against all that came before."""
+    """Levels for tables of documents that come one after another: each is scanned against all that came before.
+
+    Every table writes the levels that it changes, and no others: n tables write n log n, not n squared. Tables that later ones
+    have replaced altogether are forgotten. All are bucketed by range, so a scan reads them where they lie. parts: hash ranges; about as many as
+    the tables to come have RANGE bytes, as a task holds the levels of one range.
+    """
 
     def __init__(self, parts: int = 1024) -> None:
-        self.parts, self.tables = parts, None
+        self.parts, self.number, self.tables = parts, 0, {}
 
     def add(self, docs: DataFrame, size: int = batches.SIZE, kept: bool = True) -> DataFrame:
         """The columns of report() for new documents: removed is what an earlier table has, or a smaller doc_id of this one. The levels then hold this table, too."""
         table = batches.split(docs.select("doc_id", "text", F.lit(False).alias("flag")), size)
         none = docs.sparkSession.createDataFrame([], batches.MESSAGE)
-        self.tables = taken(table, none, self.levels(), self.parts, closed=False, keep=True)
-        return finished(table, self.tables.where("kind = 'marks'"), self.parts, closed=False, kept=kept)
+        self.number += 1
+        done = taken(table, none, self.stored(), self.parts, closed=False, keep=True, number=self.number)
+        self.tables[self.number] = done
+        used = {-r.batch for r in self.newest().select("batch").distinct().collect()}  # a row a table
+        self.tables = {n: t for n, t in self.tables.items() if n in used}
+        return finished(table, done.where("kind = 'marks'"), self.parts, closed=False, kept=kept)
+
+    def stored(self) -> DataFrame | None:
+        """MESSAGE rows of all tables: levels, and which were emptied."""
+        return reduce(DataFrame.unionByName, [t.where("kind <> 'marks'") for t in self.tables.values()]) if self.tables else None
+
+    def newest(self) -> DataFrame:
+        """part, level, batch (the number of the table that says so, negative) and kind of what holds."""
+        level = F.regexp_extract("kind", r"([0-9]+)$", 1).cast("int")
+        return self.stored().select("part", level.alias("level"), "batch", "kind").groupBy("part", "level").agg(F.min("batch").alias("batch"), F.min_by("kind", "batch").alias("kind"))
 
     def levels(self) -> DataFrame | None:
-        """batch (-1), part, kind (`level0`, `level1` ...), blob of the levels that hold something."""
-        return None if self.tables is None else self.tables.where("kind like 'level%'")
+        """batch, part, kind (`level0`, `level1` ...), blob of the levels that hold something."""
+        return self.stored().join(self.newest().drop("level"), ["part", "batch", "kind"], "left_semi").where("kind like 'level%'") if self.tables else None
 
 
 def report(docs: DataFrame, size: int = batches.SIZE, range_size: int = batches.RANGE, generations: int = GENERATIONS, kept: bool = True, hot: int = HOT) -> DataFrame:

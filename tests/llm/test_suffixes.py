@@ -122,3 +122,16 @@ def test_very_long_text(spark):
     rows = [(1, text), (2, text[700_000:700_049] + "#" + text[1_200_000:1_200_060]), (3, text)]
     got = {x.doc_id: (x.n_removed, x.n_spans) for x in suffixes.report(spark.createDataFrame(rows, "doc_id long, text string"), kept=False).collect()}
     assert got == {1: (0, 0), 2: (60, 1), 3: (2_500_000, 1)}
+
+
+def test_only_changed_levels_are_written(spark):
+    """Eight tables of the same size: what each writes is what the binary count of tables changes; plain rewriting would write 36 units."""
+    r = random.Random(12)
+    family, written = suffixes.Family(parts=8), []
+    for i in range(8):
+        part = [(100 * i + j, "".join(r.choice("abcdefghij ") for _ in range(1500))) for j in range(20)]
+        family.add(spark.createDataFrame(part, "doc_id long, text string"), 3000).collect()
+        written.append(family.tables[family.number].where("kind like 'level%'").selectExpr("sum(length(blob)) AS n").first().n)
+    unit = written[0]
+    assert [round(w / unit) for w in written] == [1, 2, 1, 4, 1, 2, 1, 8]
+    assert {x.kind for x in family.levels().select("kind").distinct().collect()} == {"level3"} and len(family.tables) == 1
