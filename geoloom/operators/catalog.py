@@ -175,16 +175,16 @@ def tile_paths(files: DataFrame, datasets: list[str] | None = None) -> DataFrame
     return t.where(c("dataset").isin(datasets)) if datasets else t
 
 
-#: Names of a scene's template and reference below its folder, in order, and of the original bands.
-TEMPLATES, REFERENCES = [r"^armsat_rgb_utm.*\.tif$", r"^armsat_rgb_native.*\.tif$"], [r"^sentinel2_rgb_utm.*\.tif$"]
+#: Names of a scene's template and reference below its folder, in order (callers with other names pass their own), and of the original bands.
+TEMPLATES, REFERENCES = [r"^template_rgb_utm.*\.tif$", r"^template_rgb_native.*\.tif$"], [r"^sentinel2_rgb_utm.*\.tif$"]
 ORIGINAL = r"_[BGNR]\.tiff?$"
 
 
-def scene_inputs(current: DataFrame, legacy: DataFrame) -> DataFrame:
+def scene_inputs(current: DataFrame, legacy: DataFrame, templates: list[str] | None = None, references: list[str] | None = None) -> DataFrame:
     """scene, template, reference, legacy (whether both come from the legacy folder): the current folder's files (scene, path) where it has both kinds, else the legacy one's where that has both, else nulls."""
 
     def of(files: DataFrame, name: str) -> DataFrame:
-        t, r = first_match(files, TEMPLATES).select("scene", c("path").alias("t")), first_match(files, REFERENCES).select("scene", c("path").alias("r"))
+        t, r = first_match(files, templates or TEMPLATES).select("scene", c("path").alias("t")), first_match(files, references or REFERENCES).select("scene", c("path").alias("r"))
         return t.join(r, "scene").select("scene", F.struct("t", "r").alias(name))
 
     every = current.select("scene").union(legacy.select("scene")).distinct()

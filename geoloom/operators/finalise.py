@@ -10,11 +10,11 @@ from geoloom.operators import catalog, grid
 
 #: What an export's name has after its scene, the files of a scene's folder, and the words of a summary.
 EXPORT, RAW, CENTRE, SHIFTED = "_sentinel2_rgb_raw", "sentinel2_rgb_raw.tif", "sentinel2_rgb_utm.tif", "sentinel2_rgb_utm_ref_"
-FINALISED, STRATEGY = "OK_GEE_DRIVE_EXPORT_FINALIZED", "gee_drive_sentinel2_rgb_then_warp_to_native_armsat_grid"
+FINALISED, STRATEGY = "OK_GEE_DRIVE_EXPORT_FINALIZED", "gee_drive_sentinel2_rgb_then_warp_to_native_template_grid"
 CANDIDATES = "array<struct<direction:string,path:string,crop_bounds:array<double>>>"
-SUMMARY = f"scene string, status string, armsat_rgb_utm string, gee_local_raw string, sentinel_clipped array<string>, utm_epsg int, dstnodata int, grid_strategy string, multi_reference struct<overlap:double,directions:array<string>,candidates:{CANDIDATES}>, other map<string,string>"
+SUMMARY = f"scene string, status string, template_rgb_utm string, gee_local_raw string, sentinel_clipped array<string>, utm_epsg int, dstnodata int, grid_strategy string, multi_reference struct<overlap:double,directions:array<string>,candidates:{CANDIDATES}>, other map<string,string>"
 #: The fields that finalising sets anew; the others of a summary stay.
-SET = ("status", "armsat_rgb_utm", "gee_local_raw", "sentinel_clipped", "utm_epsg", "dstnodata", "grid_strategy", "multi_reference")
+SET = ("status", "template_rgb_utm", "gee_local_raw", "sentinel_clipped", "utm_epsg", "dstnodata", "grid_strategy", "multi_reference")
 
 
 def exports(files: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def finalised(scenes: DataFrame, found: DataFrame, settings: DataFrame, epsg: in
     j = j.withColumn("error", error).withColumn("made", F.when(c("directions").isNotNull() & c("error").isNull(), made))
     multi = F.when(c("made").isNotNull(), F.struct(c("overlap"), F.filter(F.transform("made", lambda x: x["direction"]), lambda x: x != "C").alias("directions"), c("made").alias("candidates")))
     summary = F.struct(
-        F.lit(FINALISED).alias("status"), c("template").alias("armsat_rgb_utm"), raw.alias("gee_local_raw"), F.array(centre).alias("sentinel_clipped"), F.lit(epsg).alias("utm_epsg"), F.lit(0).alias("dstnodata"), F.lit(STRATEGY).alias("grid_strategy"), multi.alias("multi_reference"),
+        F.lit(FINALISED).alias("status"), c("template").alias("template_rgb_utm"), raw.alias("gee_local_raw"), F.array(centre).alias("sentinel_clipped"), F.lit(epsg).alias("utm_epsg"), F.lit(0).alias("dstnodata"), F.lit(STRATEGY).alias("grid_strategy"), multi.alias("multi_reference"),
     )
     ok = c("error").isNull()
     return j.select(

@@ -7,19 +7,27 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.columns import c, d
 from geoloom.operators import coverage, models, points
+from geoloom.sources import shared
 
 BANDS = ("R", "G", "B", "N")
 MODELS = {"homography_ransac": ("homography", 4), "affine_ransac": ("affine", 3), "tps": (None, 3)}
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, for what several branches read."""
+    path = shared.scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def match_ladder(m: DataFrame, model: str, side: int, least: float = 0.2, keep: float = 100.0, cell: int = 128, most: int = 8, step: float = 0.25, need: int = 12, strong: int = 80, **options) -> DataFrame:
     """Result of each scene: pairs are gated by confidence, thinned and freed of copies, then go to the model; the first stage that leaves too few gives the reason, and only scenes that pass reach the model. Columns of models.RESULT, and n_raw, n_conf, n_spatial."""
     if model not in MODELS:
         raise ValueError(f"unknown filter model: {model}")
     kind, fewest = MODELS[model]
     fewest = max(fewest, need)
-    gated = points.confidence_gate(m, least, keep)
-    thin = points.without_copies(points.spatial_thin(gated, cell, most, side, side), ("x0", "y0"), step)
+    gated = kept(points.confidence_gate(m, least, keep))
+    thin = kept(points.without_copies(points.spatial_thin(gated, cell, most, side, side), ("x0", "y0"), step))
     n = lambda x, name: x.groupBy("scene").agg(F.count(F.lit(1)).cast("int").alias(name))
     counts = n(m, "n_raw").join(n(gated, "n_conf"), "scene", "left").join(n(thin, "n_spatial"), "scene", "left").na.fill(0)
     reason = F.when(c("n_raw") < need, F.format_string("too_few_matches_raw(%d)", "n_raw")).when(c("n_conf") < fewest, F.format_string("too_few_matches_after_conf(%d)", "n_conf")).when(c("n_spatial") < fewest, F.format_string("too_few_matches_after_spatial(%d)", "n_spatial"))
@@ -51,27 +59,42 @@ def batch_of(place: Column, size: int) -> Column:
     return F.floor((place - 1) / F.lit(size)).cast("long")
 
 
+#: Where the work on a scene can raise an error, in order.
+STAGES = ("matches", "template", "selection", "bands", "warp")
+
+
 def georeferencing_state(s: DataFrame, need: int) -> DataFrame:
-    """status and reason of a scene: the first thing that is missing, in the order in which the work needs it. Columns: has_template_dir, has_original_dir, has_matches, has_template, has_reference, has_crs (booleans), matches_total, gcps_selected, bands_found, bands_written, error (message or null)."""
+    """status and reason of a scene: the first thing that ends its work, in the order of the work. An error ends it at its own stage, before any later test, with its own text as the reason.
+
+    Columns: has_template_dir, has_original_dir, has_matches, has_template, has_reference, has_crs (booleans), matches_total, gcps_selected, bands_found,
+    bands_written, error (text or null); optional: error_stage (one of STAGES; null: warp), reference_path (of the selected reference, for its text).
+    """
     few = lambda name, text: F.format_string(f"{text}(%d)", name)
-    skipped = (
-        (~c("has_template_dir"), F.lit("missing_template_scene_dir")),
-        (~c("has_original_dir"), F.lit("missing_original_scene_dir")),
-        (~c("has_matches"), F.lit("missing_matches_filtered")),
-        (~c("has_template"), F.lit("missing_rgb_template")),
-        (~c("has_reference"), None),
-        (c("matches_total") < need, few("matches_total", "too_few_matches")),
-        (~c("has_crs"), F.lit("template_has_no_crs")),
-        (c("gcps_selected") < need, few("gcps_selected", "too_few_gcps_after_selection")),
-        (c("bands_found") == 0, F.lit("no_original_bands_found")),
+    at = F.coalesce("error_stage", F.lit("warp")) if "error_stage" in s.columns else F.lit("warp")
+    raised = lambda stage: (c("error").isNotNull() & (at == stage), "failed", c("error"))
+    path = c("reference_path") if "reference_path" in s.columns else F.lit("")
+    lost = F.concat(F.lit("FileNotFoundError('Selected matching reference no longer exists: "), path, F.lit("')"))
+    ladder = (
+        (~c("has_template_dir"), "skipped", F.lit("missing_template_scene_dir")),
+        (~c("has_original_dir"), "skipped", F.lit("missing_original_scene_dir")),
+        (~c("has_matches"), "skipped", F.lit("missing_matches_filtered")),
+        (~c("has_template"), "skipped", F.lit("missing_rgb_template")),
+        raised("matches"),
+        (~c("has_reference"), "failed", lost),
+        (c("matches_total") < need, "skipped", few("matches_total", "too_few_matches")),
+        raised("template"),
+        (~c("has_crs"), "skipped", F.lit("template_has_no_crs")),
+        raised("selection"),
+        (c("gcps_selected") < need, "skipped", few("gcps_selected", "too_few_gcps_after_selection")),
+        raised("bands"),
+        (c("bands_found") == 0, "skipped", F.lit("no_original_bands_found")),
+        raised("warp"),
+        (c("bands_written") > 0, "success", F.lit("")),
     )
     status, reason = F.when(F.lit(False), ""), F.when(F.lit(False), "")
-    for test, text in skipped:
-        status = status.when(test, "failed" if text is None else "skipped")
-        reason = reason.when(test, F.lit("selected_reference_missing") if text is None else text)
-    status = status.when(c("error").isNotNull(), "failed").when(c("bands_written") > 0, "success").otherwise("failed")
-    reason = reason.when(c("error").isNotNull(), c("error")).when(c("bands_written") > 0, "").otherwise("no_bands_written")
-    return s.withColumn("status", status).withColumn("reason", reason)
+    for test, name, text in ladder:
+        status, reason = status.when(test, name), reason.when(test, text)
+    return s.withColumn("status", status.otherwise("failed")).withColumn("reason", reason.otherwise("no_bands_written"))
 
 
 def fewest_control_points(gcps: DataFrame, step: float) -> DataFrame:

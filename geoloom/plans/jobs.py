@@ -104,7 +104,8 @@ def states(spark, sf):
     k = c("c_custkey")
     return table(spark, sf, "customer").select(
         k.alias("scene"), (k % 11 != 0).alias("has_template_dir"), (k % 13 != 0).alias("has_original_dir"), (k % 7 != 0).alias("has_matches"), (k % 17 != 0).alias("has_template"), (k % 19 != 0).alias("has_reference"), (k % 23 != 0).alias("has_crs"),
-        (k * 7 % 40).cast("int").alias("matches_total"), (k * 5 % 40).cast("int").alias("gcps_selected"), (k % 5).cast("int").alias("bands_found"), (k % 3).cast("int").alias("bands_written"), F.when(k % 29 == 0, "boom").alias("error"),
+        (k * 7 % 40).cast("int").alias("matches_total"), (k * 5 % 40).cast("int").alias("gcps_selected"), (k % 5).cast("int").alias("bands_found"), (k % 3).cast("int").alias("bands_written"), F.when((k % 29 == 0) | (k % 31 == 0), "boom").alias("error"),
+        F.when(k % 31 == 0, "matches").alias("error_stage"), F.concat(F.lit("/r/"), k.cast("string"), F.lit(".tif")).alias("reference_path"),
     )
 
 
@@ -208,8 +209,8 @@ SELECT scene, CASE WHEN path IS NOT NULL THEN direction END AS direction, path,
     "q_georeferencing_states": (
         lambda s, sf: jobs.georeferencing_state(states(s, sf), 12).select("scene", "status", "reason"),
         """WITH s AS (SELECT c_custkey AS k, c_custkey * 7 % 40 AS m, c_custkey * 5 % 40 AS g FROM customer), r AS (SELECT k, CASE WHEN k % 11 = 0 THEN 'missing_template_scene_dir' WHEN k % 13 = 0 THEN 'missing_original_scene_dir' WHEN k % 7 = 0 THEN 'missing_matches_filtered' WHEN k % 17 = 0 THEN 'missing_rgb_template'
- WHEN k % 19 = 0 THEN 'selected_reference_missing' WHEN m < 12 THEN 'too_few_matches(' || CAST(m AS VARCHAR) || ')' WHEN k % 23 = 0 THEN 'template_has_no_crs' WHEN g < 12 THEN 'too_few_gcps_after_selection(' || CAST(g AS VARCHAR) || ')' WHEN k % 5 = 0 THEN 'no_original_bands_found'
- WHEN k % 29 = 0 THEN 'boom' WHEN k % 3 > 0 THEN '' ELSE 'no_bands_written' END AS reason FROM s) SELECT k AS scene, CASE WHEN reason = '' THEN 'success' WHEN reason IN ('selected_reference_missing', 'boom', 'no_bands_written') THEN 'failed' ELSE 'skipped' END AS status, reason FROM r""",
+ WHEN k % 31 = 0 THEN 'boom' WHEN k % 19 = 0 THEN 'FileNotFoundError(''Selected matching reference no longer exists: /r/' || CAST(k AS VARCHAR) || '.tif'')' WHEN m < 12 THEN 'too_few_matches(' || CAST(m AS VARCHAR) || ')' WHEN k % 23 = 0 THEN 'template_has_no_crs' WHEN g < 12 THEN 'too_few_gcps_after_selection(' || CAST(g AS VARCHAR) || ')' WHEN k % 5 = 0 THEN 'no_original_bands_found'
+ WHEN k % 29 = 0 THEN 'boom' WHEN k % 3 > 0 THEN '' ELSE 'no_bands_written' END AS reason FROM s) SELECT k AS scene, CASE WHEN reason = '' THEN 'success' WHEN reason IN ('boom', 'no_bands_written') OR starts_with(reason, 'FileNotFound') THEN 'failed' ELSE 'skipped' END AS status, reason FROM r""",
     ),
     "q_fewest_control_points": (
         lambda s, sf: jobs.fewest_control_points(gcps(s, sf), 500.0),

@@ -17,16 +17,16 @@ def csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def predictions(found: DataFrame, path: str) -> None:
-    """predictions, prediction_summary, prediction_summary_by_dataset, prediction_summary_by_scene, and tiles_by_class (the paths of each class, dataset and scene in folders)."""
+    """predictions, prediction_summary, prediction_summary_by_dataset, prediction_summary_by_scene, and tiles_by_class (the paths of each class in a folder, in order of dataset and scene)."""
     csv(found, f"{path}/predictions")
     csv(classify.class_summary(found), f"{path}/prediction_summary")
     for name, by in (("dataset", ["dataset"]), ("scene", ["dataset", "scene"])):
         csv(classify.counts_by(found, *by), f"{path}/prediction_summary_by_{name}")
-    found.select("path", "pred_label", "dataset", "scene").write.mode("overwrite").partitionBy("pred_label", "dataset", "scene").parquet(f"{path}/tiles_by_class")
+    found.select("path", "pred_label", "dataset", "scene").sortWithinPartitions("pred_label", "dataset", "scene").write.mode("overwrite").partitionBy("pred_label").parquet(f"{path}/tiles_by_class")
 
 
 def block_outputs(pixels: DataFrame, rules: selection.Rules, path: str) -> None:
-    """tiles, observations, footprints and the observations' pixels (by tile and day), each block in folders; what is empty has no rows."""
+    """tiles, observations, footprints and the observations' pixels (in order of tile and day), a folder a block; what is empty has no rows."""
     tiles, seen = selection.extracted(pixels, rules)
     tiles.write.mode("overwrite").partitionBy("block_id").parquet(f"{path}/tiles")
     spark = pixels.sparkSession
@@ -34,7 +34,7 @@ def block_outputs(pixels: DataFrame, rules: selection.Rules, path: str) -> None:
     seen.write.mode("overwrite").partitionBy("block_id").parquet(f"{path}/observations")
     seen = spark.read.schema(seen.schema).parquet(f"{path}/observations")
     csv(selection.footprints(tiles), f"{path}/footprints")
-    selection.observation_pixels(pixels, tiles, seen, rules).write.mode("overwrite").partitionBy("tile_id", "acq_day").parquet(f"{path}/observation_pixels")
+    selection.observation_pixels(pixels, tiles, seen, rules).withColumn("block_id", F.regexp_extract("tile_id", "^(.*)_TS_", 1)).repartition("block_id").sortWithinPartitions("block_id", "tile_id", "acq_day").write.mode("overwrite").partitionBy("block_id").parquet(f"{path}/observation_pixels")
 
 
 def coverage_raster(counts: DataFrame, least: int, path: str) -> None:

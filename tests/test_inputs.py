@@ -10,10 +10,10 @@ def paths(spark, rows, names="scene string, path string"):
 
 
 def test_scene_inputs_with_legacy_fallback(spark):
-    now = paths(spark, [("a", "/n/a/armsat_rgb_native.tif"), ("a", "/n/a/armsat_rgb_utm.tif"), ("a", "/n/a/sentinel2_rgb_utm_ref_W.tif"), ("a", "/n/a/sentinel2_rgb_utm.tif"), ("b", "/n/b/armsat_rgb_native.tif"), ("c", "/n/c/x.tif")])
-    old = paths(spark, [("a", "/o/a/armsat_rgb_utm.tif"), ("b", "/o/b/armsat_rgb_utm_1.tif"), ("b", "/o/b/sentinel2_rgb_utm.tif"), ("d", "/o/d/sentinel2_rgb_utm.tif")])
+    now = paths(spark, [("a", "/n/a/template_rgb_native.tif"), ("a", "/n/a/template_rgb_utm.tif"), ("a", "/n/a/sentinel2_rgb_utm_ref_W.tif"), ("a", "/n/a/sentinel2_rgb_utm.tif"), ("b", "/n/b/template_rgb_native.tif"), ("c", "/n/c/x.tif")])
+    old = paths(spark, [("a", "/o/a/template_rgb_utm.tif"), ("b", "/o/b/template_rgb_utm_1.tif"), ("b", "/o/b/sentinel2_rgb_utm.tif"), ("d", "/o/d/sentinel2_rgb_utm.tif")])
     got = {r.scene: (r.template, r.reference, r.legacy) for r in catalog.scene_inputs(now, old).collect()}
-    assert got == {"a": ("/n/a/armsat_rgb_utm.tif", "/n/a/sentinel2_rgb_utm.tif", False), "b": ("/o/b/armsat_rgb_utm_1.tif", "/o/b/sentinel2_rgb_utm.tif", True), "c": (None, None, False), "d": (None, None, False)}
+    assert got == {"a": ("/n/a/template_rgb_utm.tif", "/n/a/sentinel2_rgb_utm.tif", False), "b": ("/o/b/template_rgb_utm_1.tif", "/o/b/sentinel2_rgb_utm.tif", True), "c": (None, None, False), "d": (None, None, False)}
 
 
 def test_bands(spark):
