@@ -40,6 +40,16 @@ def tile_statuses(spark, sf):
     return points.tile_status(m, 64, 0.2).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Blocks one after another, the largest first, each to the fold with the least so far.
+CV_SQL = sql(
+    f"""WITH b AS (SELECT scene, least(greatest(floor(x1 / 512), 0), {(IMAGE - 1) // 512})::BIGINT AS bx, least(greatest(floor(y1 / 512), 0), {(IMAGE - 1) // 512})::BIGINT AS "by", count(*) AS n FROM v_matches GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY scene ORDER BY n DESC, bx, "by") AS k, count(*) OVER (PARTITION BY scene) AS blocks FROM b),
+walk AS (SELECT DISTINCT scene, 0::BIGINT AS k, CAST([0 for i in range(least(5, blocks))] AS BIGINT[]) AS loads, NULL::INT AS fold FROM o WHERE blocks >= 2
+ UNION ALL SELECT scene, k, [CASE WHEN i = f THEN loads[i] + n ELSE loads[i] END for i in range(1, len(loads) + 1)], CAST(f - 1 AS INT) FROM (SELECT w.scene, o.k, w.loads, o.n, list_position(w.loads, list_min(w.loads)) AS f FROM walk w JOIN o ON o.scene = w.scene AND o.k = w.k + 1))
+SELECT o.scene, bx, "by", n, fold FROM o LEFT JOIN walk ON walk.scene = o.scene AND walk.k = o.k""",
+    "v_matches",
+).replace("WITH ", "WITH RECURSIVE ", 1)
+
 QUERIES = {
     "q_raw_valid": (
         lambda s, sf: points.raw_valid(v_matches(s, sf), (IMAGE, IMAGE), (IMAGE, IMAGE)).groupBy("scene").agg(F.count(F.lit(1)).alias("n"), F.sum("ord").alias("ords")),
@@ -115,7 +125,7 @@ SELECT scene, ord, place FROM p WHERE n <= 300 OR place <= 300""",
         lambda s, sf: points.fold_blocks(v_matches(s, sf), 512, IMAGE, IMAGE),
         sql(f"SELECT scene, least(greatest(floor(x1 / 512), 0), {(IMAGE - 1) // 512})::BIGINT AS bx, least(greatest(floor(y1 / 512), 0), {(IMAGE - 1) // 512})::BIGINT AS \"by\", count(*) AS n FROM v_matches GROUP BY 1, 2, 3", "v_matches"),
     ),
-    "q_cv_folds": (cv_folds, None),
+    "q_cv_folds": (cv_folds, CV_SQL),
     "q_tile_status": (
         tile_statuses,
         sql("SELECT CASE WHEN ord % 1200 + 1 < 64 OR ord * 7 % 1200 + 1 < 64 THEN 'skip_small' WHEN (ord * 31 % 100) / 100.0::DOUBLE < 0.2 THEN 'skip_low_valid' WHEN ord % 5 <= 0 OR ord % 7 <= 0 THEN 'skip_empty_pred_window' WHEN ord * 13 % 10 <= 0 THEN 'skip_empty_ref' ELSE 'eligible' END AS status, count(*) AS n FROM v_matches GROUP BY 1", "v_matches"),
