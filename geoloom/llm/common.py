@@ -19,8 +19,15 @@ from geoloom.sources import shared
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+#: Rows and bytes of a batch of rows on its way to a Python worker: texts are long, and a worker holds a batch several times over.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers once a session, for drivers that found it by sys.path alone."""
+    """Sends this package to the Python workers once a session, for drivers that found it by sys.path alone, and lets no batch of rows be larger than BATCH_ROWS and BATCH_BYTES."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if not 0 < int(spark.conf.get(key).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
     sc = spark.sparkContext
     if getattr(sc, "_geoloom_shipped", False):
         return

@@ -150,6 +150,7 @@ def learned(places: DataFrame, words: dict[str, float], seeds: frozenset[str] =
 
 def judged(pages: DataFrame, vocabulary: str | None = None, rules: Iterable[tuple[str, str]] = RULES, seeds: frozenset[str] = SEEDS) -> DataFrame:
     """page_id, host, path, rule, verdict, words (of the host, by spaces), odds (the model's log odds of block)."""
+    common.ship(pages.sparkSession)
     words = unigrams(vocabulary or common.tokenizer_path(VOCABULARY))
     host, path = located(F.col("url"))
     places = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
