@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,3 +77,36 @@ def merged_summaries(report: DataFrame, path: str, buckets: int = 64) -> None:
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
     gone = spark._jvm.org.apache.hadoop.fs.Path(staged)
     there.delete(gone, True)
+
+
+def match_documents(pairs: DataFrame, about: DataFrame, path: str) -> None:
+    """One JSON document a scene, as files.matches() reads them: pts_mov_on_ref, pts_ref and confidence of its pairs (scene, ord, x0, y0, x1, y1, conf) in order, and the columns of `about` (a row a scene: method, counts, residuals, the selected candidate). A scene of `about` without pairs has empty lists; a scene's pairs are as few as its filters leave."""
+    p = F.array_sort(F.collect_list(F.struct("ord", "x0", "y0", "x1", "y1", "conf")))
+    lists = pairs.groupBy("scene").agg(p.alias("p"))
+    of = lambda f: F.coalesce(F.transform("p", f), F.array())
+    j = about.join(lists, "scene", "left")
+    doc = j.select(*about.columns, of(lambda x: F.array(x["x0"], x["y0"])).alias("pts_mov_on_ref"), of(lambda x: F.array(x["x1"], x["y1"])).alias("pts_ref"), of(lambda x: x["conf"]).alias("confidence"))
+    doc.withColumn("scene", c("scene").cast("string")).write.mode("overwrite").json(path)
+
+
+def row_documents(rows: DataFrame, name: str, path: str) -> None:
+    """One JSON document a scene, with its rows (of tile diagnostics, or of reference candidates) as a list `name`, in order of their first column after the scene; nulls are left out."""
+    own = [k for k in rows.columns if k != "scene"]
+    doc = rows.groupBy("scene").agg(F.array_sort(F.collect_list(F.struct(*own))).alias(name))
+    doc.withColumn("scene", c("scene").cast("string")).write.mode("overwrite").json(path)
+
+
+def block_tables(index: DataFrame, blocks: DataFrame, pairs: DataFrame, tiles: DataFrame, observations: DataFrame, config: dict, path: str) -> None:
+    """scene_index and blocks (Parquet and CSV, boxes as text too), block_summary (CSV) and the configuration (JSON) of a temporal job. pairs: block_id, scene_id, acq_day; blocks without pairs are not summed up."""
+    box = lambda a, b, x, y: F.format_string("POLYGON((%1$s %2$s,%3$s %2$s,%3$s %4$s,%1$s %4$s,%1$s %2$s))", a, b, x, y)
+    index = index.withColumn("geometry", box("minx", "miny", "maxx", "maxy"))
+    blocks = blocks.withColumn("geometry", box(*[f"core_{k}" for k in ("minx", "miny", "maxx", "maxy")])).withColumn("expanded_geometry", box(*[f"expanded_{k}" for k in ("minx", "miny", "maxx", "maxy")]))
+    for name, df in (("scene_index", index), ("blocks", blocks)):
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        csv(df, f"{path}/{name}_csv")
+    n = lambda df, name: df.groupBy("block_id").agg(F.count("*").alias(name))
+    s = pairs.groupBy("block_id").agg(F.count_distinct("scene_id").alias("n_scenes"), F.count_distinct("acq_day").alias("n_dates"))
+    s = s.join(n(tiles, "selected_tiles"), "block_id", "left").join(n(observations, "observations"), "block_id", "left").na.fill(0)
+    csv(s.withColumn("count_raster", F.concat("block_id", F.lit("/date_count.tif"))).withColumn("mask_raster", F.concat("block_id", F.lit("/repeated.tif"))), f"{path}/block_summary")
+    spark = index.sparkSession
+    spark.createDataFrame([(json.dumps(config, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/config")
