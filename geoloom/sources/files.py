@@ -57,20 +57,28 @@ def opened(path: str):
     return store.open_input_file(f"{top.rstrip('/')}/{m[3]}")
 
 
-def headers(files: DataFrame) -> DataFrame:
-    """One row a file (path), as raster_header: headers are read where the rows are, so the list may be of any length. Only the first directory of each file is read."""
+def headers(files: DataFrame, errors: bool = False) -> DataFrame:
+    """One row a file (path), as raster_header: headers are read where the rows are, so the list may be of any length. Only the first directory of each file is read. errors: a file that can't be read has a row, too, of nulls and a text in the column `error`; else it ends the job."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), *[pa.int32()] * 3, *[pa.float64()] * 7, pa.string(), *[pa.list_(pa.float64())] * 2]
+        names = [x.split()[0] for x in HEADER.split(", ")]
         for b in batches:
-            rows = []
+            rows, texts = [], []
             for path in b.column(0).to_pylist():
-                with opened(path) as f:
-                    rows.append((path, *header(f)))
-            kinds = [pa.string(), *[pa.int32()] * 3, *[pa.float64()] * 7, pa.string(), *[pa.list_(pa.float64())] * 2]
-            names = [x.split()[0] for x in HEADER.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
-
-    return files.select("path").where("path is not null").mapInArrow(run, HEADER)
+                try:
+                    with opened(path) as f:
+                        rows.append((path, *header(f)))
+                    texts.append(None)
+                except (OSError, ValueError, KeyError, IndexError, struct.error) as e:
+                    if not errors:
+                        raise
+                    rows.append((path, *[None] * (len(kinds) - 1)))
+                    texts.append(f"{type(e).__name__}: {e}")
+            more = ([pa.array(texts, pa.string())], ["error"]) if errors else ([], [])
+            yield pa.RecordBatch.from_arrays([*[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], *more[0]], names=names + more[1])
+
+    return files.select("path").where("path is not null").mapInArrow(run, HEADER + (", error string" if errors else ""))
 
 
 class Header(InputPartition):

@@ -55,6 +55,12 @@ def test_no_files_and_files_of_another_kind(spark, tmp_path):
     (tmp_path / "x.tif").write_bytes(b"PK")
     with pytest.raises(Exception, match="not a TIFF file"):
         files.headers(spark.createDataFrame([(str(tmp_path / "x.tif"),)], "path string")).collect()
+    raster(tmp_path / "good.tif")
+    (tmp_path / "short.tif").write_bytes((tmp_path / "good.tif").read_bytes()[:40])
+    listed = spark.createDataFrame([(str(tmp_path / n),) for n in ("x.tif", "short.tif", "good.tif", "none.tif")], "path string")
+    got = {r.path.rsplit("/", 1)[1]: r for r in files.headers(listed, errors=True).collect()}
+    assert got["good.tif"].error is None and got["good.tif"].width == 10
+    assert all(got[n].error and got[n].width is None for n in ("x.tif", "short.tif", "none.tif"))
 
 
 def test_index_leaves_out_places_without_a_reference_system_before_the_first_is_taken(spark):
