@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, held, invert_affine, raster_side, utm_from_wgs84, utm_place, utm_zone, wgs84_from_utm, wgs84_place
+from geoloom.functions import geodesy
+from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, invert_affine, raster_side, utm_from_wgs84, utm_zone, wgs84_from_utm
 from geoloom.functions.geodesy import LONLAT, NORTH_ZONES, SOUTH_ZONES
 
 
@@ -130,6 +131,14 @@ def download_box(config: DataFrame, side: float, buffer: float) -> DataFrame:
     return s.select("scene", *[(c(k) - d(buffer)).alias(k) for k in ("west", "south")], *[(c(k) + d(buffer)).alias(k) for k in ("east", "north")])
 
 
+def moved_boxes(boxes: DataFrame, keys: list[str], corners: tuple[str, ...], move: geodesy.Move, a: Column, b: Column, points: int) -> DataFrame:
+    """keys, minx, miny, maxx, maxy: the box around the moved edge points of all boxes of a key. Boxes are dealt by key before their points are worked out, as files of them may be few; points never leave the batch of their box."""
+    names = ("minx", "miny", "maxx", "maxy")
+    p = boxes.select(*keys, *[c(k).cast("double").alias(n) for k, n in zip(corners, names, strict=True)], a.alias("_a"), b.alias("_b")).repartition(keys[0])
+    p = p.select(*keys, geodesy.edge_bounds(move, points)(*names, "_a", "_b").alias("_box")).select(*keys, "_box.*")
+    return p.groupBy(*keys).agg(F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"))
+
+
 def utm_bounds(boxes: DataFrame, key: str, points: int = 21) -> DataFrame:
     """UTM box of each longitude-latitude box (west, south, east, north), from points along its edges; the zone is that of the middle."""
     zone = utm_zone((c("west") + c("east")) / d(2))
@@ -157,11 +166,9 @@ def utm_zones(code: Column) -> Column:
 def between_systems(x: Column, y: Column, source: Column, target: Column) -> Column:
     """A place (x, y in a struct) of one system in another, both EPSG numbers by row; equal systems leave it as it is, unknown ones are an error."""
     known = lambda code: (code == LONLAT) | utm_zones(code)
-    failed = F.raise_error(F.concat(F.lit("unknown reference system: "), source.cast("string"), F.lit(" or "), target.cast("string"))).cast("struct<x:double,y:double>")
-    place = F.struct(x.alias("x"), y.alias("y"))
-    own = F.when(source == LONLAT, place).otherwise(wgs84_place(x, y, source % 100, source > SOUTH_ZONES))
-    moved = held({"p": own}, lambda q: F.when(target == LONLAT, q["p"]).otherwise(utm_place(q["p"]["x"], q["p"]["y"], target % 100, target > SOUTH_ZONES)))
-    return F.when(source == target, place).when(known(source) & known(target), moved).otherwise(failed)
+    failed = F.raise_error(F.concat(F.lit("unknown reference system: "), source.cast("string"), F.lit(" or "), target.cast("string"))).cast("int")
+    checked = F.when((source == target) | (known(source) & known(target)), source).otherwise(failed)
+    return geodesy.places(geodesy.between_rows)(x, y, checked, target)
 
 
 def band_control_points(matches: DataFrame, templates: DataFrame, bands: DataFrame) -> DataFrame:
@@ -181,14 +188,6 @@ def expand_box(west: Column, south: Column, east: Column, north: Column, by: flo
     return west - d(by), south - d(by), east + d(by), north + d(by)
 
 
-def edges(boxes: DataFrame, keep: list[str], points: int) -> DataFrame:
-    """x, y of points along the edges of each box (minx, miny, maxx, maxy), beside the columns to keep."""
-    f = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: i / d(points - 1))
-    x, y = c("minx") + (c("maxx") - c("minx")) * c("_f"), c("miny") + (c("maxy") - c("miny")) * c("_f")
-    sides = F.array(*[F.struct(u.alias("x"), v.alias("y")) for u, v in ((x, c("miny")), (x, c("maxy")), (c("minx"), y), (c("maxx"), y))])
-    return boxes.withColumn("_f", F.explode(f)).select(*keep, F.explode(sides).alias("_p")).select(*keep, "_p.x", "_p.y")
-
-
 def wgs84_bounds(boxes: DataFrame, key: str, zone: Column, south: Column, points: int = 21) -> DataFrame:
     """Longitude-latitude box of each UTM box (minx, miny, maxx, maxy), from points along its edges; two boxes of one key count as one."""
     f = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: i / d(points - 1))
@@ -202,19 +201,9 @@ def wgs84_bounds(boxes: DataFrame, key: str, zone: Column, south: Column, points
 
 def reprojected(boxes: DataFrame, key: str, target: str, points: int = 21) -> DataFrame:
     """key, minx, miny, maxx, maxy in the target reference system of each box of its own (crs, as EPSG:number), from points along its edges. Longitude-latitude (4326) and UTM zones are known, others are an error; boxes in the target's system stay as they are."""
-
-    def utm(code: Column) -> Column:
-        return code.between(NORTH_ZONES + 1, NORTH_ZONES + 60) | code.between(SOUTH_ZONES + 1, SOUTH_ZONES + 60)
-
-    p = edges(boxes, [key, "crs"], points)
-    code = F.regexp_extract("crs", r"^EPSG:(\d{1,9})$", 1).try_cast("int")
-    known = F.when((c("crs") == target) | (code == LONLAT) | utm(code), code).otherwise(F.raise_error(F.concat(F.lit("unknown reference system: "), c("crs"))).cast("int"))
-    p = p.withColumn("code", known)
-    own = wgs84_from_utm(c("x"), c("y"), c("code") % 100, c("code") > SOUTH_ZONES)
-    p = p.select(key, "crs", "x", "y", *[F.when(c("code") == LONLAT, c(a)).otherwise(v).alias(n) for a, v, n in zip("xy", own, ("lon", "lat"), strict=True)])
     to = int(target.removeprefix("EPSG:"))
     if to != LONLAT and not NORTH_ZONES < to <= NORTH_ZONES + 60 and not SOUTH_ZONES < to <= SOUTH_ZONES + 60:
         raise ValueError(f"unknown reference system: {target}")
-    new = (c("lon"), c("lat")) if to == LONLAT else utm_from_wgs84(c("lon"), c("lat"), F.lit(to % 100), F.lit(to > SOUTH_ZONES))
-    q = p.select(key, *[F.when(c("crs") == target, c(a)).otherwise(v).alias(a) for a, v in zip("xy", new, strict=True)])
-    return q.groupBy(key).agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))
+    code = F.regexp_extract("crs", r"^EPSG:(\d{1,9})$", 1).try_cast("int")
+    known = F.when((c("crs") == target) | (code == LONLAT) | utm_zones(code), code).otherwise(F.raise_error(F.concat(F.lit("unknown reference system: "), c("crs"))).cast("int"))
+    return moved_boxes(boxes, [key], ("minx", "miny", "maxx", "maxy"), geodesy.between_rows, known, F.lit(to), points)
