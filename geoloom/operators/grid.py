@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import geodesy
-from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, invert_affine, raster_side, utm_from_wgs84, utm_zone, wgs84_from_utm
+from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, invert_affine, raster_side, utm_from_wgs84, utm_zone
 from geoloom.functions.geodesy import LONLAT, NORTH_ZONES, SOUTH_ZONES
 
 
@@ -190,13 +190,8 @@ def expand_box(west: Column, south: Column, east: Column, north: Column, by: flo
 
 def wgs84_bounds(boxes: DataFrame, key: str, zone: Column, south: Column, points: int = 21) -> DataFrame:
     """Longitude-latitude box of each UTM box (minx, miny, maxx, maxy), from points along its edges; two boxes of one key count as one."""
-    f = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: i / d(points - 1))
-    e = boxes.withColumn("zone", zone).withColumn("south", south).withColumn("f", F.explode(f))
-    x, y = c("minx") + (c("maxx") - c("minx")) * c("f"), c("miny") + (c("maxy") - c("miny")) * c("f")
-    sides = F.array(*[F.struct(u.alias("x"), v.alias("y")) for u, v in ((x, c("miny")), (x, c("maxy")), (c("minx"), y), (c("maxx"), y))])
-    p = e.select(key, "zone", "south", F.explode(sides).alias("p")).select(key, "zone", "south", "p.*")
-    lon, lat = wgs84_from_utm(c("x"), c("y"), c("zone"), c("south"))
-    return p.select(key, lon.alias("lon"), lat.alias("lat")).groupBy(key).agg(F.min("lon").alias("west"), F.min("lat").alias("south"), F.max("lon").alias("east"), F.max("lat").alias("north"))
+    b = moved_boxes(boxes, [key], ("minx", "miny", "maxx", "maxy"), geodesy.inverse, zone, F.coalesce(south, F.lit(False)), points)
+    return b.select(key, c("minx").alias("west"), c("miny").alias("south"), c("maxx").alias("east"), c("maxy").alias("north"))
 
 
 def reprojected(boxes: DataFrame, key: str, target: str, points: int = 21) -> DataFrame:

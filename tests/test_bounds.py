@@ -68,3 +68,13 @@ def test_places_between_systems_by_row(spark):
     assert got[5] == (None, 8.0) and got[6] == (None, None)
     with pytest.raises(Exception, match="unknown reference system: 3857 or"):
         df.select(grid.between_systems(F.col("x"), F.col("y"), F.lit(3857), F.col("b"))).collect()
+
+
+def test_wgs84_bounds_take_seconds(spark):
+    quick(grid.wgs84_bounds(met(spark), "id", F.col("z"), F.lit(False)), "west < east")
+
+
+def test_wgs84_bounds_without_a_zone(spark):
+    df = spark.createDataFrame([(1, 5e5, 4e6, 5.1e5, 4.1e6, 38, False), (2, 5e5, 4e6, 5.1e5, 4.1e6, None, None)], "k int, minx double, miny double, maxx double, maxy double, z int, s boolean")
+    got = {r.k: tuple(r)[1:] for r in grid.wgs84_bounds(df, "k", F.col("z"), F.col("s")).collect()}
+    assert got[1][0] == pytest.approx(45.0) and got[2] == (None, got[1][1], None, got[1][3])
