@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import geodesy
-from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, invert_affine, raster_side, utm_from_wgs84, utm_zone
+from geoloom.functions.columns import OFFSETS, align_down, align_up, apply_affine, c, d, invert_affine, raster_side, utm_zone
 from geoloom.functions.geodesy import LONLAT, NORTH_ZONES, SOUTH_ZONES
 
 
@@ -141,14 +141,8 @@ def moved_boxes(boxes: DataFrame, keys: list[str], corners: tuple[str, ...], mov
 
 def utm_bounds(boxes: DataFrame, key: str, points: int = 21) -> DataFrame:
     """UTM box of each longitude-latitude box (west, south, east, north), from points along its edges; the zone is that of the middle."""
-    zone = utm_zone((c("west") + c("east")) / d(2))
-    f = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: i / d(points - 1))
-    e = boxes.withColumn("zone", zone).withColumn("f", F.explode(f))
-    lon, lat = c("west") + (c("east") - c("west")) * c("f"), c("south") + (c("north") - c("south")) * c("f")
-    sides = F.array(*[F.struct(x.alias("lon"), y.alias("lat")) for x, y in ((lon, c("south")), (lon, c("north")), (c("west"), lat), (c("east"), lat))])
-    p = e.select(key, "zone", F.explode(sides).alias("p")).select(key, "zone", "p.*")
-    x, y = utm_from_wgs84(c("lon"), c("lat"), c("zone"))
-    return p.select(key, "zone", x.alias("x"), y.alias("y")).groupBy(key, "zone").agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))
+    b = boxes.withColumn("zone", utm_zone((c("west") + c("east")) / d(2)))
+    return moved_boxes(b, [key, "zone"], ("west", "south", "east", "north"), geodesy.forward, c("zone"), F.lit(False), points)
 
 
 def control_points(matches: DataFrame, template: dict[str, float], band: dict[str, float]) -> DataFrame:

@@ -78,3 +78,14 @@ def test_wgs84_bounds_without_a_zone(spark):
     df = spark.createDataFrame([(1, 5e5, 4e6, 5.1e5, 4.1e6, 38, False), (2, 5e5, 4e6, 5.1e5, 4.1e6, None, None)], "k int, minx double, miny double, maxx double, maxy double, z int, s boolean")
     got = {r.k: tuple(r)[1:] for r in grid.wgs84_bounds(df, "k", F.col("z"), F.col("s")).collect()}
     assert got[1][0] == pytest.approx(45.0) and got[2] == (None, got[1][1], None, got[1][3])
+
+
+def test_utm_bounds_take_seconds(spark):
+    deg = spark.range(20_000).select("id", (F.col("id") % 350 - 175).cast("double").alias("west"), (F.col("id") % 120 - 60).cast("double").alias("south"))
+    quick(grid.utm_bounds(deg.withColumn("east", F.col("west") + 0.5).withColumn("north", F.col("south") + 0.25), "id"), "minx < maxx")
+
+
+def test_utm_bounds_without_a_corner(spark):
+    df = spark.createDataFrame([(1, 44.0, 40.0, 44.5, 40.5), (2, None, 40.0, 44.5, 40.5)], "k int, west double, south double, east double, north double")
+    got = {r.k: tuple(r)[1:] for r in grid.utm_bounds(df, "k").collect()}
+    assert got[2] == (None,) * 5 and got[1] == pytest.approx((38, *around(forward, 44.0, 40.0, 44.5, 40.5)), abs=1e-6)
