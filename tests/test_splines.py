@@ -1,5 +1,7 @@
 """Left-out errors from one factorisation against splines fitted anew, and the filter against its direct form."""
 
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -55,3 +57,39 @@ def test_filter_equals_its_direct_form(spark):
         n, iters, median = direct(*scenes[k])
         assert (got[k].n_inliers, got[k].n_iters, got[k].reason) == (n, iters, None) and got[k].median_px == pytest.approx(median, abs=1e-6)
     assert got[1].n_inliers < 300 and got[4].reason == "too_few_matches_before_iteration(5)" and got[5].reason == "tps_crossfit_failed:not_enough_spatial_blocks(1)"
+
+
+def test_panels_equal_the_whole_matrix():
+    r = np.random.default_rng(6)
+    a = r.normal(size=(40, 40))
+    a = a @ a.T + 40 * np.eye(40)
+    cuts = [0, 3, 20, 36, 40]
+    m = models.Symmetric([a[j:k, :k].copy() for j, k in zip(cuts, cuts[1:])])
+    at, v, t = np.array([0, 2, 3, 19, 20, 39]), r.normal(size=(40, 3)), r.normal(size=(3, 3))
+    assert np.allclose(m @ v, a @ v) and (m.columns(at) == a[:, at]).all() and (m.part(at) == a[np.ix_(at, at)]).all()
+    on = np.ones(40, bool)
+    on[3:20] = on[37] = False  # a whole panel goes
+    m.keep(on)
+    assert (m.part(np.arange(on.sum())) == a[np.ix_(on, on)]).all()
+    m.turn(v[on], t)
+    q = np.eye(on.sum()) - v[on] @ t @ v[on].T
+    assert np.allclose(m.part(np.arange(on.sum())), q.T @ a[np.ix_(on, on)] @ q)
+
+
+def test_sides_take_half_a_matrix_and_one_at_a_time():
+    n = 1800
+    p0, p1 = scene(n, 7)
+    tracemalloc.start()
+    try:
+        sides = [models.LeftOut(a, b, 4000.0, 1e-3).park() for a, b in ((p0, p1), (p1, p0))]
+        gone, out = np.arange(n) % 6 == 1, np.arange(n - n // 6) % 5 == 2
+        for side in sides:
+            with side.at_hand():
+                side.drop(gone)
+                got = side.errors(out)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 12 * n**2  # 32 n^2 when matrices were whole and both in memory
+    a, b = p1[~gone], p0[~gone]
+    assert np.abs(got - (b[out] - models.Spline(a[~out], b[~out], 4000.0, 1e-3)(a[out]))).max() < 1e-6
