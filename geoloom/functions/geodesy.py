@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from geoloom.functions.columns import EAST, FLAT, SCALE, SOUTH, series
 
+# Python workers get these functions with the column function that uses them, also where a driver found this package by sys.path alone.
+for _name in (__name__, series.__module__):
+    cloudpickle.register_pickle_by_value(sys.modules[_name])
+
 #: The number of the longitude-latitude system, and what UTM zones of the northern and southern half are added to.
 LONLAT, NORTH_ZONES, SOUTH_ZONES = 4326, 32600, 32700
 

@@ -1,7 +1,11 @@
 """Boxes in other reference systems: edge points stay in the batch of their box, and nulls, NaN and repeated keys count as in Spark's min and max."""
 
 import math
+import os
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -89,3 +93,20 @@ def test_utm_bounds_without_a_corner(spark):
     df = spark.createDataFrame([(1, 44.0, 40.0, 44.5, 40.5), (2, None, 40.0, 44.5, 40.5)], "k int, west double, south double, east double, north double")
     got = {r.k: tuple(r)[1:] for r in grid.utm_bounds(df, "k").collect()}
     assert got[2] == (None,) * 5 and got[1] == pytest.approx((38, *around(forward, 44.0, 40.0, 44.5, 40.5)), abs=1e-6)
+
+
+def test_workers_need_no_package(tmp_path):
+    """A driver that has the package by sys.path alone, in a folder of its own."""
+    root = str(Path(grid.__file__).resolve().parents[2])
+    code = f"""import sys
+sys.path.insert(0, {root!r})
+from geoloom import session
+from geoloom.plans import registry
+s = session.build("local[2]", 2)
+for name in ("q_reprojected", "q_wgs84_bounds", "q_utm_bounds", "q_band_control_points"):
+    print(name, registry.QUERIES[name](s, "/root/testdata/sf0.001").count(), len(registry.QUERIES[name](s, "/root/testdata/sf0.001").take(1)))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=150)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert [x.split()[-1] for x in done.stdout.splitlines()] == ["1"] * 4
